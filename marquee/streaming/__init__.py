@@ -1,0 +1,8 @@
+"""Streaming.
+
+The catalogue workload is batch only: its inputs are periodic full dumps and
+its collections are rebuilt by overwrite, with no event time, watermark, or
+state kept between runs. Nothing here is needed to run it; the batch
+operators are plain DataFrame functions, so they apply unchanged to the
+micro-batches of a ``foreachBatch`` sink should dumps ever arrive as a stream.
+"""
