@@ -113,7 +113,8 @@ def with_episodes(series: DataFrame, cat: Catalogue, order_by: str = "title") ->
     are dropped."""
     keys = None
     if order_by == "season_episode":
-        keys = [asc("ordering.Season"), asc("ordering.Episode"), asc("Title")]
+        keys = [asc("ordering.Season"), asc("ordering.Episode"), asc("Title"), asc("year"), asc("runtime"),
+                asc("isAdult"), asc("rating.numVotes"), asc("rating.averageRating")]
     elif order_by != "title":
         raise ValueError(f"order_by must be 'title' or 'season_episode', not {order_by!r}")
     return embed_children(series, episode_rows(cat), "tconst", "parentTconst", EPISODE_FIELDS, "episodes", keys)
