@@ -277,3 +277,7 @@ SELECT t.tconst, e.rpos AS pos, e.Title, e.ep_isAdult, e.ep_year, e.runtime, e.S
 FROM title_basics t LEFT JOIN ranked e ON e.parentTconst = t.tconst
 WHERE t.titleType = 'tvSeries'"""),
 }
+
+# The flat-table routes compute the same answers as the collection routes.
+for _name in ("actor_importance", "credits_per_person", "people_with_titles", "episode_runtime_per_series"):
+    ORACLE[f"{_name}_from_tables"] = ORACLE[_name]

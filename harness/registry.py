@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 import marquee as M
 from marquee.functions.arrays import top_k_elements
 from marquee.plans.collections import PEOPLE_FIELDS, principals_by_title, with_episodes, title_collection
+from marquee.plans import flat
 from marquee.plans.queries import EPISODE_RANK
 from marquee.sources.collections import Collections
 from marquee.sources.fixtures import catalogue_from_driver_tables
@@ -123,8 +124,11 @@ def q_titles_view(spark, sf_dir):
     )
 
 
-def q_people_with_titles(spark, sf_dir):
-    df = M.people_with_titles(_colls(spark, sf_dir))
+def q_people_with_titles(spark, sf_dir, from_tables: bool = False):
+    if from_tables:
+        df = flat.people_with_titles(catalogue_from_driver_tables(spark, sf_dir))
+    else:
+        df = M.people_with_titles(_colls(spark, sf_dir))
     keep = ["nconst", "primaryName", "birthYear", "deathYear", _joined("primaryProfession")]
     return _explode(df, keep, "allTitles", [F.col(f"e.{f}").alias(f) for f in ("tconst", "title", "startYear", "endYear")])
 
@@ -136,9 +140,12 @@ def q_rating_per_genre(spark, sf_dir):
     return df.select("genre", _r6("avgRating"), "totalMovies")
 
 
-def _actor_importance(by: str):
+def _actor_importance(by: str, from_tables: bool = False):
     def run(spark, sf_dir):
-        df = M.actor_importance(M.titles(_colls(spark, sf_dir)), k=10, by=by)
+        if from_tables:
+            df = flat.actor_importance(catalogue_from_driver_tables(spark, sf_dir), k=10, by=by)
+        else:
+            df = M.actor_importance(M.titles(_colls(spark, sf_dir)), k=10, by=by)
         return _explode(df, ["actorName", "overallAvgRating", "totalTitles", _r6("weightedImportance")],
                         "perTitleType",
                         [F.col("e.titleType").alias("titleType"), F.col("e.avgRating").alias("avgRating"),
@@ -156,9 +163,12 @@ def q_titles_credited(spark, sf_dir):
     return df.select(*_short_doc_cols())
 
 
-def q_credits_per_person(spark, sf_dir):
-    colls = _colls(spark, sf_dir)
-    df = M.credits_per_person(colls.movies, colls.tvSeries)
+def q_credits_per_person(spark, sf_dir, from_tables: bool = False):
+    if from_tables:
+        df = flat.credits_per_person(catalogue_from_driver_tables(spark, sf_dir))
+    else:
+        colls = _colls(spark, sf_dir)
+        df = M.credits_per_person(colls.movies, colls.tvSeries)
     return df.select("nconst", "primaryName", "movieCount", "tvSeriesCount", "overallCount", _r6("avgRating"))
 
 
@@ -176,8 +186,11 @@ def q_top_rated(spark, sf_dir):
     return _explode(df, _short_doc_cols(), "people", people_cols())
 
 
-def q_episode_runtime_per_series(spark, sf_dir):
-    df = M.episode_runtime_per_series(_colls(spark, sf_dir).tvSeries)
+def q_episode_runtime_per_series(spark, sf_dir, from_tables: bool = False):
+    if from_tables:
+        df = flat.episode_runtime_per_series(catalogue_from_driver_tables(spark, sf_dir))
+    else:
+        df = M.episode_runtime_per_series(_colls(spark, sf_dir).tvSeries)
     return df.select("title", _r6("avgEpisodeRuntime"), "episodeCount")
 
 
@@ -223,5 +236,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "episode_runtime_per_series": q_episode_runtime_per_series,
     "search_titles": q_search_titles,
     "top_k_elements": q_top_k_elements,
+    "actor_importance_from_tables": _actor_importance("name", from_tables=True),
+    "credits_per_person_from_tables": lambda spark, sf_dir: q_credits_per_person(spark, sf_dir, True),
+    "people_with_titles_from_tables": lambda spark, sf_dir: q_people_with_titles(spark, sf_dir, True),
+    "episode_runtime_per_series_from_tables":
+        lambda spark, sf_dir: q_episode_runtime_per_series(spark, sf_dir, True),
     "episodes_by_season": q_episodes_by_season,
 }

@@ -117,31 +117,27 @@ def invert_array(
     )
 
 
-def lookup_in_array(
+def attach_grouped(
     left: DataFrame,
     left_key: str,
-    sources: Sequence[tuple[DataFrame, str, Sequence[Column]]],
+    pairs: DataFrame,
     name: str,
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """For each ``left`` row, all rows of each source whose array at the given
-    path contains ``left_key``, as one array (sources concatenated in order).
+    """Group ``pairs`` (``left_key``, an optional ``_src`` rank, fields) by
+    key into a duplicate-free array sorted by (``_src``, ``order_by``, other
+    fields), and attach it to ``left`` (left outer); no match gives ``[]``.
 
-    Decorrelated as inverted index + equi join: every source is exploded on its
-    key array, the pieces are unioned with their source rank, grouped by key
-    (one shuffle), and joined back. Rows with no match get an empty array.
+    ``collect_set`` drops duplicates already in the map-side partial
+    aggregate, so a pair repeated many times never piles up in one task.
     """
-    pieces = []
-    for rank, (src, path, fields) in enumerate(sources):
-        pieces.append(invert_array(src, path, [F.lit(rank).alias("_src"), *fields], left_key))
-    union = pieces[0]
-    for p in pieces[1:]:
-        union = union.unionByName(p, allowMissingColumns=True)
-    field_names = [c for c in union.columns if c not in (left_key, "_src")]
+    if "_src" not in pairs.columns:
+        pairs = pairs.withColumn("_src", F.lit(0))
+    field_names = [c for c in pairs.columns if c not in (left_key, "_src")]
     ordered = ["_src", *(order_by or field_names)]
     rest = [c for c in field_names if c not in ordered]
-    grouped = union.groupBy(left_key).agg(
-        F.sort_array(F.collect_list(F.struct(*ordered, *rest))).alias("_items")
+    grouped = pairs.groupBy(left_key).agg(
+        F.sort_array(F.collect_set(F.struct(*ordered, *rest))).alias("_items")
     )
     grouped = grouped.select(
         left_key,
@@ -150,3 +146,28 @@ def lookup_in_array(
     joined = left.join(grouped, left_key, "left")
     empty = F.array().cast(joined.schema[name].dataType)
     return joined.withColumn(name, F.coalesce(F.col(name), empty))
+
+
+def lookup_in_array(
+    left: DataFrame,
+    left_key: str,
+    sources: Sequence[tuple[DataFrame, str, Sequence[Column]]],
+    name: str,
+    order_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """For each ``left`` row, all rows of each source whose array at the given
+    path contains ``left_key``, as one array (sources concatenated in order,
+    each source row once).
+
+    Decorrelated as inverted index + equi join: every source is exploded on its
+    key array, the pieces are unioned with their source rank, grouped by key
+    (one shuffle), and joined back. Rows with no match get an empty array.
+    """
+    pieces = [
+        invert_array(src, path, [F.lit(rank).alias("_src"), *fields], left_key)
+        for rank, (src, path, fields) in enumerate(sources)
+    ]
+    union = pieces[0]
+    for p in pieces[1:]:
+        union = union.unionByName(p, allowMissingColumns=True)
+    return attach_grouped(left, left_key, union, name, order_by)

@@ -37,18 +37,23 @@ def rating_per_genre(movies: DataFrame) -> DataFrame:
     ).orderBy(F.desc_nulls_last("avgRating"), F.asc_nulls_first("genre"))
 
 
-def actor_importance(titles: DataFrame, k: int = 10, by: str = "name") -> DataFrame:
-    """Q3: rank actors by (mean of their per-title-type mean rating) × (acting
-    credits on rated titles). ``by="name"`` merges namesakes and keeps the
-    null-name group of unknown people; ``by="nconst"`` keys by person id.
-
-    Two aggregations (per person and type, then per person), both with
-    map-side partial aggregation, then a top-k.
-    """
+def acting_rows(titles: DataFrame, by: str = "name") -> DataFrame:
+    """Q3 input: one row per acting credit on a rated title:
+    ``titleType, r`` (the title's rating) and ``actorName`` (the credit's
+    ``by`` field). Credits are filtered inside the array before exploding."""
     rated = titles.filter(F.col("rating.averageRating").isNotNull())
     acting = F.filter(_leaves("people", "category", by), lambda p: p["category"].isin(*ACTING))
     rows = rated.select("titleType", F.col("rating.averageRating").alias("r"), F.explode(acting).alias("p"))
-    per_type = rows.groupBy(F.col("p")[by].alias("actorName"), "titleType").agg(
+    return rows.select("titleType", "r", F.col("p")[by].alias("actorName"))
+
+
+def rank_actors(rows: DataFrame, k: int = 10) -> DataFrame:
+    """Q3 aggregation over :func:`acting_rows`: per (actor, type) mean and
+    count, then per actor the mean of those means, the credit total and
+    importance = mean × total; best ``k``. Both aggregations are hash
+    aggregates with map-side partials, so a hot actor (or the null-name group
+    of unknown people) is combined before the shuffle."""
+    per_type = rows.groupBy("actorName", "titleType").agg(
         F.avg("r").alias("avgRating"), F.count(F.lit(1)).alias("numTitles")
     )
     per_actor = per_type.groupBy("actorName").agg(
@@ -68,6 +73,13 @@ def actor_importance(titles: DataFrame, k: int = 10, by: str = "name") -> DataFr
     )
 
 
+def actor_importance(titles: DataFrame, k: int = 10, by: str = "name") -> DataFrame:
+    """Q3: rank actors by (mean of their per-title-type mean rating) × (acting
+    credits on rated titles). ``by="name"`` merges namesakes and keeps the
+    null-name group of unknown people; ``by="nconst"`` keys by person id."""
+    return rank_actors(acting_rows(titles, by), k)
+
+
 def _credited(name: str, category: str):
     return lambda p: (p["category"] == category) & (p["name"] == name)
 
@@ -91,10 +103,9 @@ def titles_up_to_credit(movies: DataFrame, name: str, category: str = "director"
     )
 
 
-def credits_per_person(movies: DataFrame, series: DataFrame) -> DataFrame:
-    """Q6: per person id, acting-or-other credits on rated movies and rated
-    series, and the mean rating over those credits. A person credited twice
-    on a title counts twice."""
+def person_credit_rows(movies: DataFrame, series: DataFrame) -> DataFrame:
+    """Q6 input: one row per credit on a rated movie or series:
+    ``nconst, primaryName, rating, type``."""
     def credits(df: DataFrame, tag: str) -> DataFrame:
         rated = df.filter(F.col("rating.averageRating").isNotNull())
         return rated.select(
@@ -103,16 +114,40 @@ def credits_per_person(movies: DataFrame, series: DataFrame) -> DataFrame:
             F.lit(tag).alias("type"),
         ).select(F.col("p.nconst").alias("nconst"), F.col("p.name").alias("primaryName"), "rating", "type")
 
-    rows = union_with(credits(movies, "movie"), credits(series, "tvSeries"))
-    return rows.groupBy("nconst").agg(
-        F.max("primaryName").alias("primaryName"),  # a function of nconst
+    return union_with(credits(movies, "movie"), credits(series, "tvSeries"))
+
+
+def count_credits(rows: DataFrame) -> DataFrame:
+    """Q6 aggregation over :func:`person_credit_rows`.
+
+    The name is a function of the person id, so the credit stream is first
+    reduced by (id, name) with hash aggregation and map-side partials; only
+    those per-person partials reach the second step, which picks the name
+    (string ``max`` plans as a sort aggregate, here over one row per person
+    instead of one per credit)."""
+    partial = rows.groupBy("nconst", "primaryName").agg(
         F.count_if(F.col("type") == "movie").alias("movieCount"),
         F.count_if(F.col("type") == "tvSeries").alias("tvSeriesCount"),
         F.count(F.lit(1)).alias("overallCount"),
-        F.avg("rating").alias("avgRating"),
+        F.sum("rating").alias("ratingSum"),
+        F.count("rating").alias("ratingCount"),
+    )
+    return partial.groupBy("nconst").agg(
+        F.max("primaryName").alias("primaryName"),
+        F.sum("movieCount").alias("movieCount"),
+        F.sum("tvSeriesCount").alias("tvSeriesCount"),
+        F.sum("overallCount").alias("overallCount"),
+        F.try_divide(F.sum("ratingSum"), F.sum("ratingCount")).alias("avgRating"),
     ).orderBy(F.desc("overallCount"), F.desc_nulls_last("avgRating"), F.asc_nulls_first("nconst"))
 
 
+def credits_per_person(movies: DataFrame, series: DataFrame) -> DataFrame:
+    """Q6: per person id, credits on rated movies and rated series, and the
+    mean rating over those credits. A person credited twice on a title counts
+    twice."""
+    return count_credits(person_credit_rows(movies, series))
+
+
 # Episode order for "best episodes": rating, then votes, then position.
 EPISODE_RANK = (
     desc("rating.averageRating"), desc("rating.numVotes"),
@@ -164,15 +199,19 @@ def top_rated(movies: DataFrame, min_rating: float = 9.0, min_votes: int = 1000,
                  F.asc("tconst"))
 
 
-def episode_runtime_per_series(series: DataFrame) -> DataFrame:
-    """Q10: per series title (same-named series merge), mean episode runtime
-    and number of episodes. Reads only the episodes' runtime leaf."""
-    rows = series.select("title", F.explode("episodes.runtime").alias("runtime"))
+def runtime_per_title(rows: DataFrame) -> DataFrame:
+    """Q10 aggregation over rows of ``title, runtime`` (one per episode)."""
     return rows.groupBy("title").agg(
         F.avg("runtime").alias("avgEpisodeRuntime"), F.count(F.lit(1)).alias("episodeCount")
     ).orderBy(F.desc_nulls_last("avgEpisodeRuntime"), F.asc_nulls_first("title"))
 
 
+def episode_runtime_per_series(series: DataFrame) -> DataFrame:
+    """Q10: per series title (same-named series merge), mean episode runtime
+    and number of episodes. Reads only the episodes' runtime leaf."""
+    return runtime_per_title(series.select("title", F.explode("episodes.runtime").alias("runtime")))
+
+
 def search_titles(df: DataFrame, pattern: str, field: str = "title") -> DataFrame:
     """Q12: documents whose ``field`` matches the regular expression
     ``pattern`` anywhere, ignoring case."""
