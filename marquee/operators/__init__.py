@@ -1,10 +1,11 @@
 """DataFrame -> DataFrame operators for nested data."""
 
 from marquee.operators.nesting import (
-    collect_sorted, embed_children, invert_array, lookup_array, lookup_in_array, nest, unwind,
+    attach_grouped, collect_sorted, embed_children, invert_array, lookup_array, lookup_in_array, nest, unwind,
 )
+from marquee.operators.joins import left_join_spread_nulls
 from marquee.operators.sets import union_with
 from marquee.operators.topk import top_k
 
-__all__ = ["collect_sorted", "embed_children", "invert_array", "lookup_array", "lookup_in_array", "nest",
-           "unwind", "union_with", "top_k"]
+__all__ = ["attach_grouped", "collect_sorted", "embed_children", "invert_array", "lookup_array", "lookup_in_array", "nest",
+           "unwind", "union_with", "top_k", "left_join_spread_nulls"]

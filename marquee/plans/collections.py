@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.arrays import asc, parse_characters, split_list
+from marquee.operators.joins import left_join_spread_nulls
 from marquee.operators.nesting import collect_sorted, embed_children, lookup_array, nest
 from marquee.sources.collections import Collections
 from marquee.sources.tables import Catalogue
@@ -37,7 +38,9 @@ def credits_with_people(cat: Catalogue, titles: DataFrame | None = None, charact
     name and dates. Unknown people keep the credit with null details.
 
     ``titles`` restricts credits to those titles (a left semi join), so credits
-    of titles no collection keeps (episodes) are never aggregated.
+    of titles no collection keeps (episodes) are never aggregated. Credits
+    without a person id are spread over the join's shuffle rather than
+    piling into the partition of the null key.
     """
     credits = cat.title_principals
     if titles is not None:
@@ -45,7 +48,7 @@ def credits_with_people(cat: Catalogue, titles: DataFrame | None = None, charact
     names = cat.name_basics.select(
         "nconst", F.col("primaryName").alias("name"), "birthYear", "deathYear", "primaryProfession"
     )
-    out = credits.join(names, "nconst", "left")
+    out = left_join_spread_nulls(credits, names, "nconst", spread_by=["tconst", "ordering"])
     if characters_as_list:
         out = out.withColumn("characters", parse_characters("characters"))
     return out.select("tconst", *PEOPLE_FIELDS)
@@ -129,15 +132,18 @@ def people_collection(cat: Catalogue) -> DataFrame:
     return lookup_array(people, "nconst", "knownForTitles", lookup, "tconst", ["title", "year"], "mainTitles")
 
 
-def build_collections(cat: Catalogue, episode_order: str = "title") -> tuple[Collections, list[DataFrame]]:
+def build_collections(cat: Catalogue, episode_order: str = "title",
+                      characters_as_list: bool = False) -> tuple[Collections, list[DataFrame]]:
     """N5: all four collections, plus the sub-plans they share.
 
     Credits are nested once, for the titles of the three collection types
     only, and that aggregate feeds all three title collections; pass the
     returned shared list to ``write_collections`` to compute it once.
+    ``characters_as_list`` stores each credit's characters as a parsed list
+    instead of the JSON text of the source.
     """
     kept = cat.title_basics.filter(F.col("titleType").isin(*TITLE_TYPES))
-    people = principals_by_title(cat, titles=kept)
+    people = principals_by_title(cat, titles=kept, characters_as_list=characters_as_list)
     movies = title_collection(cat, "movie", people)
     series = with_episodes(title_collection(cat, "tvSeries", people), cat, episode_order)
     shorts = title_collection(cat, "short", people)

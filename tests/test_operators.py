@@ -84,3 +84,26 @@ def test_top_k_is_take_ordered(spark):
     assert [r.id for r in out.collect()] == [6, 13, 20]
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
     assert desc("x").nulls_last and not asc("x").nulls_last
+
+
+def test_left_join_spread_nulls(spark):
+    from marquee.operators import left_join_spread_nulls
+    left = spark.createDataFrame([("t1", 1, "n1"), ("t1", 2, None), ("t2", 1, None), ("t3", 1, "n9")],
+                                 "tconst string, ordering int, nconst string")
+    right = spark.createDataFrame([("n1", "Ann")], "nconst string, name string")
+    out = left_join_spread_nulls(left, right, "nconst", ["tconst", "ordering"])
+    assert out.columns == left.join(right, "nconst", "left").columns
+    assert sorted(out.collect(), key=lambda r: (r.tconst, r.ordering)) == sorted(
+        left.join(right, "nconst", "left").collect(), key=lambda r: (r.tconst, r.ordering))
+    assert out.filter("nconst IS NULL AND name IS NOT NULL").count() == 0
+
+
+def test_characters_as_list(spark):
+    from conftest import T, make_catalogue
+    import marquee as M
+    cat = make_catalogue(spark, title_basics=[T("tt1", "movie", "A")],
+                         title_principals=[("tt1", 1, "nm1", "actor", None, '["A \\"B\\"","C"]'),
+                                           ("tt1", 2, None, "actor", None, "bad")])
+    colls, _ = M.build_collections(cat, characters_as_list=True)
+    people = colls.movies.first().people
+    assert people[0].characters == ['A "B"', "C"] and people[1].characters is None
