@@ -52,7 +52,7 @@ def _queries_from_tables(cat, colls):
         "q2_rating_per_genre": lambda: M.rating_per_genre(colls.movies),
         "q3_actor_importance": lambda: flat.actor_importance(cat),
         "q6_credits_per_person": lambda: flat.credits_per_person(cat),
-        "q7_top_series_episodes": lambda: M.top_series_episodes(colls.tvSeries),
+        "q7_top_series_episodes": lambda: flat.top_series_episodes(cat),
         "q10_episode_runtime_per_series": lambda: flat.episode_runtime_per_series(cat),
         "q11_people_with_titles": lambda: flat.people_with_titles(cat),
     }

@@ -172,8 +172,11 @@ def q_credits_per_person(spark, sf_dir, from_tables: bool = False):
     return df.select("nconst", "primaryName", "movieCount", "tvSeriesCount", "overallCount", _r6("avgRating"))
 
 
-def q_top_series_episodes(spark, sf_dir):
-    df = M.top_series_episodes(_colls(spark, sf_dir).tvSeries)
+def q_top_series_episodes(spark, sf_dir, from_tables: bool = False):
+    if from_tables:
+        df = flat.top_series_episodes(catalogue_from_driver_tables(spark, sf_dir))
+    else:
+        df = M.top_series_episodes(_colls(spark, sf_dir).tvSeries)
     return _explode(df, _series_doc_cols(), "episodes", episode_cols())
 
 
@@ -239,6 +242,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "actor_importance_from_tables": _actor_importance("name", from_tables=True),
     "credits_per_person_from_tables": lambda spark, sf_dir: q_credits_per_person(spark, sf_dir, True),
     "people_with_titles_from_tables": lambda spark, sf_dir: q_people_with_titles(spark, sf_dir, True),
+    "top_series_episodes_from_tables": lambda spark, sf_dir: q_top_series_episodes(spark, sf_dir, True),
     "episode_runtime_per_series_from_tables":
         lambda spark, sf_dir: q_episode_runtime_per_series(spark, sf_dir, True),
     "episodes_by_season": q_episodes_by_season,

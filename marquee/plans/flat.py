@@ -19,9 +19,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.nesting import attach_grouped
-from marquee.plans.collections import credits_with_people, people_collection
-from marquee.plans.queries import ACTING, count_credits, rank_actors, runtime_per_title
+from marquee.operators.nesting import attach_grouped, embed_children
+from marquee.plans.collections import (
+    EPISODE_FIELDS, credits_with_people, episode_rows, people_collection, title_rows, with_rating,
+)
+from marquee.plans.queries import (
+    ACTING, best_series, count_credits, rank_actors, runtime_per_title, with_top_episodes,
+)
 from marquee.plans.views import VIEW_TAGS
 from marquee.sources.tables import Catalogue
 
@@ -95,3 +99,17 @@ def episode_runtime_rows(cat: Catalogue) -> DataFrame:
 def episode_runtime_per_series(cat: Catalogue) -> DataFrame:
     """Q10, computed from the flat tables."""
     return runtime_per_title(episode_runtime_rows(cat))
+
+
+def top_series_episodes(cat: Catalogue, min_votes: int = 10000, n_series: int = 10,
+                        n_episodes: int = 10) -> DataFrame:
+    """Q7 from the flat tables: pick the best series first, then nest the
+    episodes of those series only. The chosen keys are a top-k result, so at
+    most ``n_series`` rows: broadcasting them is safe at any data size, and
+    the episode scan is reduced to those parents before any shuffle."""
+    series = with_rating(title_rows(cat, "tvSeries"), cat.title_ratings)
+    best = best_series(series, min_votes, n_series)
+    keys = F.broadcast(best.select(F.col("tconst").alias("parentTconst")))
+    eps = episode_rows(cat).join(keys, "parentTconst", "left_semi")
+    return with_top_episodes(embed_children(best, eps, "tconst", "parentTconst", EPISODE_FIELDS, "episodes"),
+                             n_episodes)

@@ -159,18 +159,31 @@ SERIES_COLUMNS = ["tconst", "title", "originalTitle", "isAdult", "startYear", "e
                   "runtimeMinutes", "genres", "rating"]
 
 
+def _series_order():
+    return (F.desc_nulls_last("rating.averageRating"), F.desc_nulls_last("rating.numVotes"), F.asc("tconst"))
+
+
+def best_series(series: DataFrame, min_votes: int = 10000, n_series: int = 10) -> DataFrame:
+    """Q7, step 1: the ``n_series`` best-rated series with at least
+    ``min_votes`` votes (a top-k: at most ``n_series`` rows)."""
+    return top_k(series.filter(F.col("rating.numVotes") >= min_votes), n_series, *_series_order())
+
+
+def with_top_episodes(best: DataFrame, n_episodes: int = 10) -> DataFrame:
+    """Q7, step 2: keep series that have episodes and their ``n_episodes``
+    best episodes, ranked inside each row's array (no shuffle)."""
+    best = best.filter(F.coalesce(F.size("episodes"), F.lit(0)) > 0)
+    return best.select(
+        *SERIES_COLUMNS, top_k_elements("episodes", n_episodes, *EPISODE_RANK).alias("episodes")
+    ).orderBy(*_series_order())
+
+
 def top_series_episodes(series: DataFrame, min_votes: int = 10000, n_series: int = 10,
                         n_episodes: int = 10) -> DataFrame:
     """Q7: the ``n_series`` best-rated series with at least ``min_votes``
     votes, each with its ``n_episodes`` best episodes. The series limit comes
-    first, so a top series without episodes drops out. Episodes are ranked
-    inside each row's array: no shuffle after the series top-k."""
-    order = (F.desc_nulls_last("rating.averageRating"), F.desc_nulls_last("rating.numVotes"), F.asc("tconst"))
-    best = top_k(series.filter(F.col("rating.numVotes") >= min_votes), n_series, *order)
-    best = best.filter(F.coalesce(F.size("episodes"), F.lit(0)) > 0)
-    return best.select(
-        *SERIES_COLUMNS, top_k_elements("episodes", n_episodes, *EPISODE_RANK).alias("episodes")
-    ).orderBy(*order)
+    first, so a top series without episodes drops out."""
+    return with_top_episodes(best_series(series, min_votes, n_series), n_episodes)
 
 
 def top_episodes_of(series: DataFrame, title: str, k: int = 10) -> DataFrame:
