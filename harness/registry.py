@@ -153,13 +153,19 @@ def _actor_importance(by: str, from_tables: bool = False):
     return run
 
 
-def q_titles_up_to_credit(spark, sf_dir):
-    df = M.titles_up_to_credit(_colls(spark, sf_dir).movies, DIRECTOR, "director")
+def q_titles_up_to_credit(spark, sf_dir, from_tables: bool = False):
+    if from_tables:
+        df = flat.titles_up_to_credit(catalogue_from_driver_tables(spark, sf_dir), DIRECTOR, "director")
+    else:
+        df = M.titles_up_to_credit(_colls(spark, sf_dir).movies, DIRECTOR, "director")
     return _explode(df, ["tconst", "title", *_rating()], "people", people_cols())
 
 
-def q_titles_credited(spark, sf_dir):
-    df = M.titles_credited(_colls(spark, sf_dir).movies, DIRECTOR, "director")
+def q_titles_credited(spark, sf_dir, from_tables: bool = False):
+    if from_tables:
+        df = flat.titles_credited(catalogue_from_driver_tables(spark, sf_dir), DIRECTOR, "director")
+    else:
+        df = M.titles_credited(_colls(spark, sf_dir).movies, DIRECTOR, "director")
     return df.select(*_short_doc_cols())
 
 
@@ -180,12 +186,17 @@ def q_top_series_episodes(spark, sf_dir, from_tables: bool = False):
     return _explode(df, _series_doc_cols(), "episodes", episode_cols())
 
 
-def q_top_episodes_of(spark, sf_dir):
+def q_top_episodes_of(spark, sf_dir, from_tables: bool = False):
+    if from_tables:
+        return flat.top_episodes_of(catalogue_from_driver_tables(spark, sf_dir), SERIES_TITLE)
     return M.top_episodes_of(_colls(spark, sf_dir).tvSeries, SERIES_TITLE)
 
 
-def q_top_rated(spark, sf_dir):
-    df = M.top_rated(_colls(spark, sf_dir).movies)
+def q_top_rated(spark, sf_dir, from_tables: bool = False):
+    if from_tables:
+        df = flat.top_rated(catalogue_from_driver_tables(spark, sf_dir))
+    else:
+        df = M.top_rated(_colls(spark, sf_dir).movies)
     return _explode(df, _short_doc_cols(), "people", people_cols())
 
 
@@ -197,8 +208,11 @@ def q_episode_runtime_per_series(spark, sf_dir, from_tables: bool = False):
     return df.select("title", _r6("avgEpisodeRuntime"), "episodeCount")
 
 
-def q_search_titles(spark, sf_dir):
-    df = M.search_titles(_colls(spark, sf_dir).tvSeries, SEARCH_PATTERN)
+def q_search_titles(spark, sf_dir, from_tables: bool = False):
+    if from_tables:
+        df = flat.search_titles(catalogue_from_driver_tables(spark, sf_dir), SEARCH_PATTERN)
+    else:
+        df = M.search_titles(_colls(spark, sf_dir).tvSeries, SEARCH_PATTERN)
     return df.select(*_series_doc_cols(), F.size("episodes").alias("episode_count"))
 
 
@@ -243,6 +257,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "credits_per_person_from_tables": lambda spark, sf_dir: q_credits_per_person(spark, sf_dir, True),
     "people_with_titles_from_tables": lambda spark, sf_dir: q_people_with_titles(spark, sf_dir, True),
     "top_series_episodes_from_tables": lambda spark, sf_dir: q_top_series_episodes(spark, sf_dir, True),
+    "titles_up_to_credit_from_tables": lambda spark, sf_dir: q_titles_up_to_credit(spark, sf_dir, True),
+    "titles_credited_from_tables": lambda spark, sf_dir: q_titles_credited(spark, sf_dir, True),
+    "top_episodes_of_from_tables": lambda spark, sf_dir: q_top_episodes_of(spark, sf_dir, True),
+    "top_rated_from_tables": lambda spark, sf_dir: q_top_rated(spark, sf_dir, True),
+    "search_titles_from_tables": lambda spark, sf_dir: q_search_titles(spark, sf_dir, True),
     "episode_runtime_per_series_from_tables":
         lambda spark, sf_dir: q_episode_runtime_per_series(spark, sf_dir, True),
     "episodes_by_season": q_episodes_by_season,

@@ -64,12 +64,19 @@ def embed_children(
     fields: Sequence[str | Column],
     name: str,
     order_by: Sequence[Key] | None = None,
+    only_parents: bool = False,
 ) -> DataFrame:
     """Attach each parent's children as an array column (left outer: parents
     without children get null). Children with a null parent key belong to no
     parent and are dropped before the shuffle, so they cannot pile up in the
-    one partition that null hashes to."""
+    one partition that null hashes to.
+
+    ``only_parents`` first semi-joins the children to the parent keys, so
+    when ``parent`` is a selection only its children are grouped.
+    """
     kids = child.filter(F.col(child_key).isNotNull())
+    if only_parents:
+        kids = kids.join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_semi")
     grouped = collect_sorted(kids, child_key, fields, name, order_by)
     return parent.join(grouped.withColumnRenamed(child_key, parent_key), parent_key, "left")
 

@@ -29,6 +29,9 @@ PEOPLE_FIELDS = [
     "nconst", "birthYear", "deathYear", "primaryProfession",
 ]
 
+# Columns of the movies and shorts collections, in document order.
+SHORT_COLUMNS = ["tconst", "title", "originalTitle", "isAdult", "year", "runtimeMinutes", "genres", "people", "rating"]
+
 # Fields of one episode inside a series' ``episodes`` array, in document order.
 EPISODE_FIELDS = ["Title", "isAdult", "year", "runtime", "ordering", "rating"]
 
@@ -76,9 +79,13 @@ def title_rows(cat: Catalogue, title_type: str) -> DataFrame:
     return t.withColumn("genres", split_list("genres"))
 
 
-def title_collection(cat: Catalogue, title_type: str, people: DataFrame | None = None) -> DataFrame:
-    """N2: the movies / tvSeries / shorts collection (without episodes)."""
-    t = title_rows(cat, title_type)
+def title_collection(cat: Catalogue, title_type: str, people: DataFrame | None = None,
+                     rows: DataFrame | None = None) -> DataFrame:
+    """N2: the movies / tvSeries / shorts collection (without episodes).
+
+    ``rows`` builds documents for a selection of :func:`title_rows` only;
+    credits are then nested for those titles alone."""
+    t = title_rows(cat, title_type) if rows is None else rows
     if people is None:
         people = principals_by_title(cat, titles=t)
     return with_rating(t.join(people, "tconst", "left"), cat.title_ratings)
@@ -109,18 +116,21 @@ def episode_rows(cat: Catalogue) -> DataFrame:
     )
 
 
-def with_episodes(series: DataFrame, cat: Catalogue, order_by: str = "title") -> DataFrame:
+def with_episodes(series: DataFrame, cat: Catalogue, order_by: str = "title",
+                  only_given_series: bool = False) -> DataFrame:
     """N3: add ``episodes[]`` to series. Episodes sort by their whole struct,
     which starts with ``Title`` (``order_by="title"``), or by season and
     episode number (``"season_episode"``). Episodes without a series parent
-    are dropped."""
+    are dropped. ``only_given_series`` nests just the episodes of ``series``
+    (worth it when ``series`` is a selection)."""
     keys = None
     if order_by == "season_episode":
         keys = [asc("ordering.Season"), asc("ordering.Episode"), asc("Title"), asc("year"), asc("runtime"),
                 asc("isAdult"), asc("rating.numVotes"), asc("rating.averageRating")]
     elif order_by != "title":
         raise ValueError(f"order_by must be 'title' or 'season_episode', not {order_by!r}")
-    return embed_children(series, episode_rows(cat), "tconst", "parentTconst", EPISODE_FIELDS, "episodes", keys)
+    return embed_children(series, episode_rows(cat), "tconst", "parentTconst", EPISODE_FIELDS, "episodes", keys,
+                          only_parents=only_given_series)
 
 
 def people_collection(cat: Catalogue) -> DataFrame:

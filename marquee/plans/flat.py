@@ -19,10 +19,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.nesting import attach_grouped, embed_children
+from marquee.operators.nesting import attach_grouped, collect_sorted, embed_children
 from marquee.plans.collections import (
-    EPISODE_FIELDS, credits_with_people, episode_rows, people_collection, title_rows, with_rating,
+    EPISODE_FIELDS, PEOPLE_FIELDS, SHORT_COLUMNS, credits_with_people, episode_rows, people_collection,
+    principals_by_title, title_collection, title_rows, with_episodes, with_rating,
 )
+from marquee.plans import queries as Q
 from marquee.plans.queries import (
     ACTING, best_series, count_credits, rank_actors, runtime_per_title, with_top_episodes,
 )
@@ -113,3 +115,60 @@ def top_series_episodes(cat: Catalogue, min_votes: int = 10000, n_series: int =
     eps = episode_rows(cat).join(keys, "parentTconst", "left_semi")
     return with_top_episodes(embed_children(best, eps, "tconst", "parentTconst", EPISODE_FIELDS, "episodes"),
                              n_episodes)
+
+
+def _movie_rows(cat: Catalogue) -> DataFrame:
+    """Movie documents without ``people``: title fields and ``rating``."""
+    return with_rating(title_rows(cat, "movie"), cat.title_ratings)
+
+
+def top_rated(cat: Catalogue, min_rating: float = 9.0, min_votes: int = 1000, k: int = 10) -> DataFrame:
+    """Q9 from the flat tables: rank movies on their own fields first, then
+    nest credits for the ``k`` winners only (their keys, at most ``k`` rows,
+    are broadcast)."""
+    best = Q.top_rated(_movie_rows(cat), min_rating, min_votes, k)
+    people = principals_by_title(cat, titles=F.broadcast(best.select("tconst")))
+    return best.join(people, "tconst", "left").select(*SHORT_COLUMNS).orderBy(
+        F.desc_nulls_last("rating.averageRating"), F.desc_nulls_last("rating.numVotes"), F.asc("tconst"))
+
+
+def _credited_titles(cat: Catalogue, name: str, category: str) -> DataFrame:
+    """``tconst, ordering`` of credits of a person called ``name`` in
+    ``category`` (the same credit carries both)."""
+    people = cat.name_basics.filter(F.col("primaryName") == name).select("nconst")
+    credits = cat.title_principals.filter(F.col("category") == category)
+    return credits.join(people, "nconst", "left_semi").select("tconst", "ordering")
+
+
+def titles_credited(cat: Catalogue, name: str, category: str = "director") -> DataFrame:
+    """Q5 from the flat tables: a semi join of movies to the person's
+    credits; no credit list is nested at all."""
+    hits = _movie_rows(cat).join(_credited_titles(cat, name, category), "tconst", "left_semi")
+    return hits.orderBy(*Q._by_rating())
+
+
+def titles_up_to_credit(cat: Catalogue, name: str, category: str = "director") -> DataFrame:
+    """Q4 from the flat tables: per matched movie the cut (lowest matching
+    ordering), then only the credits at or above it are nested."""
+    cuts = _credited_titles(cat, name, category).groupBy("tconst").agg(F.min("ordering").alias("_cut"))
+    movies = _movie_rows(cat).join(cuts, "tconst")
+    credits = credits_with_people(cat, titles=movies).join(cuts, "tconst")
+    kept = credits.filter(F.col("ordering").isNull() | (F.col("ordering") <= F.col("_cut")))
+    people = collect_sorted(kept, "tconst", PEOPLE_FIELDS, "people")
+    return movies.join(people, "tconst", "left").select("tconst", "title", "rating", "people").orderBy(
+        *Q._by_rating())
+
+
+def top_episodes_of(cat: Catalogue, title: str, k: int = 10) -> DataFrame:
+    """Q8 from the flat tables: the episodes of the series with that title,
+    ranked directly; nothing is nested."""
+    series = cat.title_basics.filter((F.col("titleType") == "tvSeries") & (F.col("primaryTitle") == title))
+    eps = episode_rows(cat).join(series.select(F.col("tconst").alias("parentTconst")), "parentTconst", "left_semi")
+    return Q.best_episodes(eps.select(F.struct(*EPISODE_FIELDS).alias("e")), k)
+
+
+def search_titles(cat: Catalogue, pattern: str) -> DataFrame:
+    """Q12 from the flat tables: match series titles first, then build full
+    documents (credits and episodes) for the matches only."""
+    rows = title_rows(cat, "tvSeries").filter(F.col("title").rlike("(?i)" + pattern))
+    return with_episodes(title_collection(cat, "tvSeries", rows=rows), cat, only_given_series=True)

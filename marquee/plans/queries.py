@@ -84,11 +84,15 @@ def _credited(name: str, category: str):
     return lambda p: (p["category"] == category) & (p["name"] == name)
 
 
+def _by_rating():
+    return (F.desc_nulls_last("rating.averageRating"), F.asc("tconst"))
+
+
 def titles_credited(movies: DataFrame, name: str, category: str = "director") -> DataFrame:
     """Q5: movies with a credit of ``name`` in ``category`` (on the same
     credit), without their credits, best rated first."""
     hit = movies.filter(elem_match("people", _credited(name, category)))
-    return hit.drop("people").orderBy(F.desc_nulls_last("rating.averageRating"), F.asc("tconst"))
+    return hit.drop("people").orderBy(*_by_rating())
 
 
 def titles_up_to_credit(movies: DataFrame, name: str, category: str = "director") -> DataFrame:
@@ -98,9 +102,7 @@ def titles_up_to_credit(movies: DataFrame, name: str, category: str = "director"
     match = _credited(name, category)
     hit = movies.filter(elem_match("people", match)).withColumn("_cut", field_min("people", "ordering", match))
     kept = F.filter("people", lambda p: p["ordering"].isNull() | (p["ordering"] <= F.col("_cut")))
-    return hit.select("tconst", "title", "rating", kept.alias("people")).orderBy(
-        F.desc_nulls_last("rating.averageRating"), F.asc("tconst")
-    )
+    return hit.select("tconst", "title", "rating", kept.alias("people")).orderBy(*_by_rating())
 
 
 def person_credit_rows(movies: DataFrame, series: DataFrame) -> DataFrame:
@@ -186,11 +188,10 @@ def top_series_episodes(series: DataFrame, min_votes: int = 10000, n_series: int
     return with_top_episodes(best_series(series, min_votes, n_series), n_episodes)
 
 
-def top_episodes_of(series: DataFrame, title: str, k: int = 10) -> DataFrame:
-    """Q8: the ``k`` best rated episodes of the series called ``title``
-    (all series of that name), unrated episodes left out."""
-    eps = series.filter(F.col("title") == title).select(F.explode("episodes").alias("e"))
-    flat = eps.filter(F.col("e.rating.averageRating").isNotNull()).select(
+def best_episodes(episodes: DataFrame, k: int = 10) -> DataFrame:
+    """Q8 ranking over rows holding one episode struct each (column ``e``):
+    rated episodes only, best ``k`` by rating, votes, then position."""
+    flat = episodes.filter(F.col("e.rating.averageRating").isNotNull()).select(
         F.col("e.Title").alias("Title"),
         F.col("e.ordering.Season").alias("Season"),
         F.col("e.ordering.Episode").alias("Episode"),
@@ -203,6 +204,12 @@ def top_episodes_of(series: DataFrame, title: str, k: int = 10) -> DataFrame:
                  "Title", "Year", "Runtime")
 
 
+def top_episodes_of(series: DataFrame, title: str, k: int = 10) -> DataFrame:
+    """Q8: the ``k`` best rated episodes of the series called ``title``
+    (all series of that name), unrated episodes left out."""
+    return best_episodes(series.filter(F.col("title") == title).select(F.explode("episodes").alias("e")), k)
+
+
 def top_rated(movies: DataFrame, min_rating: float = 9.0, min_votes: int = 1000, k: int = 10) -> DataFrame:
     """Q9: full documents of the ``k`` best movies with rating and votes at
     least the given bounds. Both bounds reach the Parquet scan as pushed

@@ -79,3 +79,13 @@ def test_flat_routes_do_not_nest(built):
     cat, _, _ = built
     for df in (flat.actor_importance(cat), flat.credits_per_person(cat), flat.episode_runtime_per_series(cat)):
         assert "Generate" not in _plan(df)
+
+
+def test_selective_flat_routes_nest_only_what_they_return(built):
+    cat, _, _ = built
+    for df in (flat.titles_credited(cat, "Person 7"), flat.top_episodes_of(cat, "Series 12")):
+        assert "ObjectHashAggregate" not in _plan(df)  # no collect_list at all
+    plan = _plan(flat.top_rated(cat))
+    tree = plan[: plan.index("\n\n(")]
+    # the credits are semi-joined to the broadcast top-k keys before being nested
+    assert "BroadcastHashJoin LeftSemi" in tree or "Join LeftSemi" in tree
