@@ -47,6 +47,11 @@ def _joined(c: str) -> Column:
     return F.array_join(F.col(c), ",").alias(c)
 
 
+def _size(c: str) -> Column:
+    """Array length, null for a null array whatever ``sizeOfNull`` says."""
+    return F.when(F.col(c).isNotNull(), F.size(c))
+
+
 def _rating() -> list[Column]:
     return [F.col("rating.numVotes").alias("numVotes"), F.col("rating.averageRating").alias("averageRating")]
 
@@ -120,7 +125,7 @@ def q_titles_view(spark, sf_dir):
     return t.select(
         "tconst", "titleType", "title", "originalTitle", "isAdult", "startYear", "endYear", "runtimeMinutes",
         _joined("genres"), *_rating(),
-        F.size("people").alias("people_count"), F.size("episodes").alias("episode_count"),
+        _size("people").alias("people_count"), _size("episodes").alias("episode_count"),
     )
 
 
@@ -213,7 +218,7 @@ def q_search_titles(spark, sf_dir, from_tables: bool = False):
         df = flat.search_titles(catalogue_from_driver_tables(spark, sf_dir), SEARCH_PATTERN)
     else:
         df = M.search_titles(_colls(spark, sf_dir).tvSeries, SEARCH_PATTERN)
-    return df.select(*_series_doc_cols(), F.size("episodes").alias("episode_count"))
+    return df.select(*_series_doc_cols(), _size("episodes").alias("episode_count"))
 
 
 # ---------------------------------------------------------------- single operators
