@@ -142,8 +142,8 @@ def people_collection(cat: Catalogue) -> DataFrame:
     return lookup_array(people, "nconst", "knownForTitles", lookup, "tconst", ["title", "year"], "mainTitles")
 
 
-def build_collections(cat: Catalogue, episode_order: str = "title",
-                      characters_as_list: bool = False) -> tuple[Collections, list[DataFrame]]:
+def build_collections(cat: Catalogue, episode_order: str = "title", characters_as_list: bool = False,
+                      cut_lineage: bool = False) -> tuple[Collections, list[DataFrame]]:
     """N5: all four collections, plus the sub-plans they share.
 
     Credits are nested once, for the titles of the three collection types
@@ -151,10 +151,19 @@ def build_collections(cat: Catalogue, episode_order: str = "title",
     returned shared list to ``write_collections`` to compute it once.
     ``characters_as_list`` stores each credit's characters as a parsed list
     instead of the JSON text of the source.
+
+    ``cut_lineage`` instead writes that aggregate once (eagerly) to the
+    session's checkpoint directory — the shared folder named by
+    ``spark.checkpoint.dir`` on a cluster — and builds the collections from
+    the written copy: losing an executor during the later writes then costs
+    a re-read, not a re-run of the credit shuffle. Nothing is left to persist.
     """
     kept = cat.title_basics.filter(F.col("titleType").isin(*TITLE_TYPES))
     people = principals_by_title(cat, titles=kept, characters_as_list=characters_as_list)
+    shared = [people]
+    if cut_lineage:
+        people, shared = people.checkpoint(eager=True), []
     movies = title_collection(cat, "movie", people)
     series = with_episodes(title_collection(cat, "tvSeries", people), cat, episode_order)
     shorts = title_collection(cat, "short", people)
-    return Collections(movies, series, shorts, people_collection(cat)), [people]
+    return Collections(movies, series, shorts, people_collection(cat)), shared
