@@ -281,5 +281,5 @@ WHERE t.titleType = 'tvSeries'"""),
 # The flat-table routes compute the same answers as the collection routes.
 for _name in ("actor_importance", "credits_per_person", "people_with_titles", "episode_runtime_per_series",
               "top_series_episodes", "titles_up_to_credit", "titles_credited", "top_episodes_of", "top_rated",
-              "search_titles"):
+              "search_titles", "titles_view"):
     ORACLE[f"{_name}_from_tables"] = ORACLE[_name]

@@ -120,8 +120,11 @@ def q_people(spark, sf_dir):
 
 # ---------------------------------------------------------------- views
 
-def q_titles_view(spark, sf_dir):
-    t = M.titles(_colls(spark, sf_dir))
+def q_titles_view(spark, sf_dir, from_tables: bool = False):
+    if from_tables:
+        t = M.build_titles(catalogue_from_driver_tables(spark, sf_dir))
+    else:
+        t = M.titles(_colls(spark, sf_dir))
     return t.select(
         "tconst", "titleType", "title", "originalTitle", "isAdult", "startYear", "endYear", "runtimeMinutes",
         _joined("genres"), *_rating(),
@@ -262,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "credits_per_person_from_tables": lambda spark, sf_dir: q_credits_per_person(spark, sf_dir, True),
     "people_with_titles_from_tables": lambda spark, sf_dir: q_people_with_titles(spark, sf_dir, True),
     "top_series_episodes_from_tables": lambda spark, sf_dir: q_top_series_episodes(spark, sf_dir, True),
+    "titles_view_from_tables": lambda spark, sf_dir: q_titles_view(spark, sf_dir, True),
     "titles_up_to_credit_from_tables": lambda spark, sf_dir: q_titles_up_to_credit(spark, sf_dir, True),
     "titles_credited_from_tables": lambda spark, sf_dir: q_titles_credited(spark, sf_dir, True),
     "top_episodes_of_from_tables": lambda spark, sf_dir: q_top_episodes_of(spark, sf_dir, True),

@@ -9,7 +9,8 @@ expressions, so Catalyst and adaptive execution plan the whole query.
 from marquee.sources.tables import Catalogue, load_catalogue, read_table, write_catalogue
 from marquee.sources.collections import Collections, read_collection, read_collections, write_collection, write_collections
 from marquee.plans.collections import (
-    build_collections, people_collection, principals_by_title, title_collection, with_episodes,
+    build_collections, build_titles, people_collection, principals_by_title, read_partitioned_collections,
+    split_titles, title_collection, with_episodes, write_partitioned_collections,
 )
 from marquee.plans.views import people_with_titles, register_views, titles
 from marquee.plans.queries import (
@@ -20,7 +21,8 @@ from marquee.plans.queries import (
 __all__ = [
     "Catalogue", "Collections", "load_catalogue", "read_table", "write_catalogue",
     "read_collection", "read_collections", "write_collection", "write_collections",
-    "build_collections", "people_collection", "principals_by_title", "title_collection", "with_episodes",
+    "build_collections", "build_titles", "split_titles", "write_partitioned_collections",
+    "read_partitioned_collections", "people_collection", "principals_by_title", "title_collection", "with_episodes",
     "people_with_titles", "register_views", "titles",
     "actor_importance", "credits_per_person", "episode_runtime_per_series", "rating_per_genre",
     "search_titles", "titles_credited", "titles_up_to_credit", "top_episodes_of", "top_rated",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from marquee.functions.arrays import asc, parse_characters, split_list
 from marquee.operators.joins import left_join_spread_nulls
 from marquee.operators.nesting import collect_sorted, embed_children, lookup_array, nest
-from marquee.sources.collections import Collections
+from marquee.sources.collections import Collections, read_collection, write_collection
 from marquee.sources.tables import Catalogue
 
 # The title types that get a collection, and their collection names.
@@ -167,3 +167,66 @@ def build_collections(cat: Catalogue, episode_order: str = "title", characters_a
     series = with_episodes(title_collection(cat, "tvSeries", people), cat, episode_order)
     shorts = title_collection(cat, "short", people)
     return Collections(movies, series, shorts, people_collection(cat)), shared
+
+
+# The tag of each title type in the unified ``titles`` documents.
+TITLE_TAGS = {"movie": "movies", "short": "short", "tvSeries": "tvSeries"}
+
+
+def build_titles(cat: Catalogue, episode_order: str = "title", characters_as_list: bool = False) -> DataFrame:
+    """All movie, short and series documents in one DataFrame, in the shape
+    of the ``titles`` view (series fields plus ``titleType``): one scan of
+    the titles, one credit aggregation, one ratings join, one episode
+    aggregation. Written with ``partition_by=["titleType"]`` it is the whole
+    title side of N5 in a single job; :func:`split_titles` gives back the
+    three collections (with partition pruning when read from storage).
+    Episodes attach to series only."""
+    tag = F.create_map(*[F.lit(x) for kv in TITLE_TAGS.items() for x in kv])[F.col("titleType")]
+    rows = cat.title_basics.filter(F.col("titleType").isin(*TITLE_TAGS)).select(
+        "tconst",
+        F.col("primaryTitle").alias("title"),
+        "originalTitle",
+        "isAdult",
+        "startYear",
+        F.when(F.col("titleType") == "tvSeries", F.col("endYear")).alias("endYear"),
+        "runtimeMinutes",
+        split_list("genres").alias("genres"),
+        tag.alias("titleType"),
+    )
+    people = principals_by_title(cat, titles=rows, characters_as_list=characters_as_list)
+    docs = with_rating(rows.join(people, "tconst", "left"), cat.title_ratings)
+    docs = with_episodes(docs, cat, episode_order)
+    is_series = F.col("titleType") == TITLE_TAGS["tvSeries"]
+    return docs.select(
+        "tconst", "title", "originalTitle", "isAdult", "startYear", "endYear", "runtimeMinutes", "genres",
+        "people", "rating", F.when(is_series, F.col("episodes")).alias("episodes"), "titleType",
+    )
+
+
+def split_titles(titles: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(movies, tvSeries, shorts) in their collection shapes, from
+    :func:`build_titles` output or its stored copy."""
+    def kind(type_: str) -> DataFrame:
+        return titles.filter(F.col("titleType") == TITLE_TAGS[type_]).drop("titleType")
+
+    series = kind("tvSeries")
+    movies, shorts = (kind(t).withColumnRenamed("startYear", "year").select(*SHORT_COLUMNS)
+                      for t in ("movie", "short"))
+    return movies, series, shorts
+
+
+def write_partitioned_collections(cat: Catalogue, base: str, episode_order: str = "title",
+                                  characters_as_list: bool = False, **kwargs) -> None:
+    """N5 in two jobs: ``<base>/titles`` (all title documents, partitioned
+    by ``titleType``) and ``<base>/people``. ``kwargs`` go to
+    ``write_collection`` (format, partitions, options)."""
+    write_collection(build_titles(cat, episode_order, characters_as_list), f"{base}/titles",
+                     partition_by=["titleType"], **kwargs)
+    write_collection(people_collection(cat), f"{base}/people", **kwargs)
+
+
+def read_partitioned_collections(spark, base: str, fmt: str = "parquet") -> Collections:
+    """The four collections from :func:`write_partitioned_collections`
+    output; each title collection reads only its own partition."""
+    movies, series, shorts = split_titles(read_collection(spark, f"{base}/titles", fmt))
+    return Collections(movies, series, shorts, read_collection(spark, f"{base}/people", fmt))

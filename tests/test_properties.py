@@ -92,3 +92,20 @@ def test_cut_lineage_build_is_identical(spark):
         other = cut.items()[name]
         assert df.exceptAll(other).count() == 0 and other.exceptAll(df).count() == 0
     assert "ExistingRDD" in cut.movies._jdf.queryExecution().executedPlan().toString()
+
+
+def test_single_pass_titles_match_the_collections(spark, tmp_path):
+    cat = catalogue_from_driver_tables(spark, SF001)
+    colls, _ = M.build_collections(cat)
+    unified = M.build_titles(cat)
+    view = M.titles(colls)
+    assert unified.columns == view.columns
+    assert unified.exceptAll(view).count() == 0 and view.exceptAll(unified).count() == 0
+    M.write_partitioned_collections(cat, str(tmp_path / "store"))
+    back = M.read_partitioned_collections(spark, str(tmp_path / "store"))
+    for name, df in colls.items().items():
+        other = back.items()[name]
+        assert other.columns == df.columns, name
+        assert df.exceptAll(other).count() == 0 and other.exceptAll(df).count() == 0, name
+    plan = back.movies._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(titleType" in plan
