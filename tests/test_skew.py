@@ -59,3 +59,38 @@ def test_hot_person_counts_exactly(spark):
         m, s = want[(n, "movie")], want[(n, "tvSeries")]
         assert got[n] == (m, s, m + s), n
     assert got["nm1"][2] > sum(v[2] for k, v in got.items() if k != "nm1") / 10
+
+
+def test_credit_numbering_splits_a_hot_title(spark):
+    from pyspark.sql import Window
+
+    from marquee.sources.fixtures import number_within
+
+    # a third of all rows share one key; the leading sort column is distinct within a key
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 997).cast("string")).alias("k"),
+        (F.col("id") * 7919 % 30011).alias("a"),
+        F.col("id").alias("b"),
+    )
+    got = number_within(df, "k", ["a", "b"], "rn", width=512)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("a", "b")))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # the hot key is numbered in many (key, bucket) groups, each at most `width` rows
+    groups = df.filter("k = 'hot'").groupBy(F.floor(F.col("a") / 512)).count()
+    assert groups.count() > 20 and groups.agg(F.max("count")).first()[0] <= 512
+
+
+def test_fixture_credits_shuffled_once(spark):
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalogue_from_driver_tables(spark, SF001).title_principals._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    import re
+
+    # the credit window is partitioned by (title, bucket), never by the title alone
+    specs = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*?), a#", plan)
+    assert specs and all(re.fullmatch(r"tconst#\d+, _b#\d+L?", s) for s in specs), specs
+    # the credit rows cross one shuffle (on title and bucket) before the join with the offsets
+    assert re.search(r"SortMergeJoin \[tconst#\d+, _b#\d+L?\]", plan)
