@@ -94,3 +94,31 @@ def test_fixture_credits_shuffled_once(spark):
     assert specs and all(re.fullmatch(r"tconst#\d+, _b#\d+L?", s) for s in specs), specs
     # the credit rows cross one shuffle (on title and bucket) before the join with the offsets
     assert re.search(r"SortMergeJoin \[tconst#\d+, _b#\d+L?\]", plan)
+
+
+def test_hot_person_join_is_split_by_adaptive_execution(spark):
+    from marquee.plans.collections import credits_with_people
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",  # people too large to broadcast
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",  # scaled down from 256 MB
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        cat = catalogue_from_driver_tables(spark, SF001)
+        principals = cat.title_principals.withColumn(
+            "nconst", F.when(F.abs(F.hash("tconst", "ordering")) % 3 == 0, F.lit("nm1")).otherwise(F.col("nconst")))
+        hot = cat.__class__(**{**cat.tables(), "title_principals": principals})
+        df = credits_with_people(hot)
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan  # the hot person's partition is split over several tasks
+    assert len(rows) == principals.count()  # every credit kept once
+    want = principals.filter("nconst = 'nm1'").count()
+    assert sum(r.nconst == "nm1" for r in rows) == want and want > len(rows) / 4
