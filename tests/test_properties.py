@@ -109,3 +109,25 @@ def test_single_pass_titles_match_the_collections(spark, tmp_path):
         assert df.exceptAll(other).count() == 0 and other.exceptAll(df).count() == 0, name
     plan = back.movies._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(titleType" in plan
+
+
+rows_for_numbering = st.lists(
+    st.tuples(st.sampled_from(["hot", "hot", "hot", "k1", "k2", "k3"]), st.integers(-50, 50), st.integers(0, 3)),
+    min_size=1, max_size=60, unique_by=lambda r: (r[0], r[1], r[2]),
+)
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=rows_for_numbering, width=st.sampled_from([1, 3, 7, 1 << 16]))
+def test_number_within_equals_row_number(spark, rows, width):
+    """Bucketed numbering against Python's sort, for negative and repeated
+    leading values and buckets far smaller than a key."""
+    from marquee.sources.fixtures import number_within
+
+    df = spark.createDataFrame(rows, "k string, a long, b long")
+    got = {(r.k, r.a, r.b): r.rn for r in number_within(df, "k", ["a", "b"], "rn", width=width).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        for i, r in enumerate(sorted(r for r in rows if r[0] == k)):
+            want[r] = i + 1
+    assert got == want
