@@ -2,8 +2,8 @@
 
 from marquee.functions.arrays import (
     Key, asc, concat_arrays, desc, elem_match, elements_where, field_min, parse_characters,
-    round_half_even, sort_elements, split_list, top_k_elements,
+    round_half_even, sort_column, sort_elements, split_list, top_k_elements,
 )
 
 __all__ = ["Key", "asc", "concat_arrays", "desc", "elem_match", "elements_where", "field_min",
-           "parse_characters", "round_half_even", "sort_elements", "split_list", "top_k_elements"]
+           "parse_characters", "round_half_even", "sort_column", "sort_elements", "split_list", "top_k_elements"]

@@ -85,6 +85,14 @@ class Key:
         return self.descending if self.nulls_last is None else self.nulls_last
 
 
+def sort_column(key: Key) -> Column:
+    """The same key as a row sort order (``orderBy``, window ``ORDER BY``)."""
+    c = F.col(key.path)
+    if key.descending:
+        return c.desc_nulls_last() if key._nulls_last else c.desc_nulls_first()
+    return c.asc_nulls_last() if key._nulls_last else c.asc_nulls_first()
+
+
 def asc(path: str, nulls_last: bool = False) -> Key:
     return Key(path, False, nulls_last)
 

@@ -89,3 +89,15 @@ def test_selective_flat_routes_nest_only_what_they_return(built):
     tree = plan[: plan.index("\n\n(")]
     # the credits are semi-joined to the broadcast top-k keys before being nested
     assert "BroadcastHashJoin LeftSemi" in tree or "Join LeftSemi" in tree
+
+
+def test_flat_episode_top_k_limits_before_the_shuffle(built):
+    cat, _, _ = built
+    tree = _plan(flat.top_series_episodes(cat))
+    tree = tree[: tree.index("\n\n(")]
+    # a group limit on each side of the episode shuffle: partial (map side) and final
+    assert tree.count("WindowGroupLimit") == 2
+    lines = tree.splitlines()
+    limits = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line]
+    exchanges = [i for i, line in enumerate(lines) if "Exchange" in line and i > limits[0]]
+    assert exchanges and limits[0] < exchanges[0] < limits[1], tree

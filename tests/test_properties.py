@@ -131,3 +131,17 @@ def test_number_within_equals_row_number(spark, rows, width):
         for i, r in enumerate(sorted(r for r in rows if r[0] == k)):
             want[r] = i + 1
     assert got == want
+
+
+def test_flat_episode_top_k_equals_array_top_k(spark):
+    """Per-series top episodes ranked as rows (flat route) equal the array
+    sort and slice over the collection, with a cut below most series' sizes."""
+    from marquee.plans import flat
+
+    cat = catalogue_from_driver_tables(spark, SF001)
+    colls, _ = M.build_collections(cat)
+    args = dict(min_votes=0, n_series=200, n_episodes=2)
+    rows = flat.top_series_episodes(cat, **args).collect()
+    assert rows == M.top_series_episodes(colls.tvSeries, **args).collect()
+    sizes = colls.tvSeries.select(F.size("episodes").alias("n")).filter("n > 2").count()
+    assert sizes > 0 and max(len(r.episodes) for r in rows) == 2  # the cut really trims
