@@ -36,16 +36,18 @@ SHORT_COLUMNS = ["tconst", "title", "originalTitle", "isAdult", "year", "runtime
 EPISODE_FIELDS = ["Title", "isAdult", "year", "runtime", "ordering", "rating"]
 
 
-def credits_with_people(cat: Catalogue, titles: DataFrame | None = None, characters_as_list: bool = False) -> DataFrame:
+def credits_with_people(cat: Catalogue, titles: DataFrame | None = None, characters_as_list: bool = False,
+                        credits: DataFrame | None = None) -> DataFrame:
     """Flat credits (one row per title × person), enriched with the person's
     name and dates. Unknown people keep the credit with null details.
 
     ``titles`` restricts credits to those titles (a left semi join), so credits
-    of titles no collection keeps (episodes) are never aggregated. Credits
+    of titles no collection keeps (episodes) are never aggregated. ``credits``
+    replaces the catalogue's credit table by a selection of it. Credits
     without a person id are spread over the join's shuffle rather than
     piling into the partition of the null key.
     """
-    credits = cat.title_principals
+    credits = cat.title_principals if credits is None else credits
     if titles is not None:
         credits = credits.join(titles.select("tconst"), "tconst", "left_semi")
     names = cat.name_basics.select(

@@ -164,13 +164,21 @@ def titles_credited(cat: Catalogue, name: str, category: str = "director") -> Da
 
 def titles_up_to_credit(cat: Catalogue, name: str, category: str = "director") -> DataFrame:
     """Q4 from the flat tables: per matched movie the cut (lowest matching
-    ordering), then only the credits at or above it are nested."""
+    ordering), then only the credits at or above it are nested.
+
+    The cuts are restricted to movies by their ids alone, the credits meet
+    them in one join, and the cut applies before the people join, so only
+    kept credits look up their person. A matched movie keeps at least its
+    matching credit, so an inner join of the movie rows with the nested
+    credits gives exactly the matched movies, and the movie rows are planned
+    once."""
     cuts = _credited_titles(cat, name, category).groupBy("tconst").agg(F.min("ordering").alias("_cut"))
-    movies = _movie_rows(cat).join(cuts, "tconst")
-    credits = credits_with_people(cat, titles=movies).join(cuts, "tconst")
-    kept = credits.filter(F.col("ordering").isNull() | (F.col("ordering") <= F.col("_cut")))
-    people = collect_sorted(kept, "tconst", PEOPLE_FIELDS, "people")
-    return movies.join(people, "tconst", "left").select("tconst", "title", "rating", "people").orderBy(
+    movie_ids = cat.title_basics.filter(F.col("titleType") == "movie").select("tconst")
+    cuts = cuts.join(movie_ids, "tconst", "left_semi")
+    kept = cat.title_principals.join(cuts, "tconst").filter(
+        F.col("ordering").isNull() | (F.col("ordering") <= F.col("_cut"))).drop("_cut")
+    people = collect_sorted(credits_with_people(cat, credits=kept), "tconst", PEOPLE_FIELDS, "people")
+    return _movie_rows(cat).join(people, "tconst").select("tconst", "title", "rating", "people").orderBy(
         *Q._by_rating())
 
 
@@ -184,6 +192,10 @@ def top_episodes_of(cat: Catalogue, title: str, k: int = 10) -> DataFrame:
 
 def search_titles(cat: Catalogue, pattern: str) -> DataFrame:
     """Q12 from the flat tables: match series titles first, then build full
-    documents (credits and episodes) for the matches only."""
+    documents (credits and episodes) for the matches only. The episodes are
+    restricted by the matched rows' ids, not by the built documents, so the
+    credit nesting is planned once."""
     rows = title_rows(cat, "tvSeries").filter(F.col("title").rlike("(?i)" + pattern))
-    return with_episodes(title_collection(cat, "tvSeries", rows=rows), cat, only_given_series=True)
+    eps = episode_rows(cat).join(rows.select(F.col("tconst").alias("parentTconst")), "parentTconst", "left_semi")
+    return embed_children(title_collection(cat, "tvSeries", rows=rows), eps, "tconst", "parentTconst",
+                          EPISODE_FIELDS, "episodes")
