@@ -116,18 +116,28 @@ def best_children(rows: DataFrame, parent_key: str, n: int, keys=EPISODE_RANK) -
     return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def _rated_ids(cat: Catalogue, title_type: str) -> DataFrame:
+    """``tconst, rating`` of the titles of one type: the narrow rows a top-k
+    ranks on, so the wide title rows are never shuffled just to be ranked."""
+    ids = cat.title_basics.filter(F.col("titleType") == title_type).select("tconst")
+    return with_rating(ids, cat.title_ratings)
+
+
 def top_series_episodes(cat: Catalogue, min_votes: int = 10000, n_series: int = 10,
                         n_episodes: int = 10) -> DataFrame:
     """Q7 from the flat tables: pick the best series first, then nest only
-    the best ``n_episodes`` episodes of those series. The chosen keys are a
-    top-k result, so at most ``n_series`` rows: broadcasting them is safe at
-    any data size, and the episode scan is reduced to those parents before
-    any shuffle. Episodes are ranked as rows (:func:`best_children`), so the
-    nested arrays never hold more than ``n_episodes`` elements."""
-    series = with_rating(title_rows(cat, "tvSeries"), cat.title_ratings)
-    best = best_series(series, min_votes, n_series)
-    keys = F.broadcast(best.select(F.col("tconst").alias("parentTconst")))
-    eps = best_children(episode_rows(cat).join(keys, "parentTconst", "left_semi"), "parentTconst", n_episodes)
+    the best ``n_episodes`` episodes of those series.
+
+    The series are ranked on their ids and ratings alone. The chosen keys are
+    a top-k result, at most ``n_series`` rows, so broadcasting them is safe at
+    any data size. They carry their ``rating`` and select the series rows and
+    the episodes before any shuffle of those rows. Episodes are ranked as rows
+    (:func:`best_children`), so the nested arrays never hold more than
+    ``n_episodes`` elements."""
+    ranked = best_series(_rated_ids(cat, "tvSeries"), min_votes, n_series)  # tconst, rating
+    best = title_rows(cat, "tvSeries").join(F.broadcast(ranked), "tconst")
+    parents = F.broadcast(ranked.select(F.col("tconst").alias("parentTconst")))
+    eps = best_children(episode_rows(cat).join(parents, "parentTconst", "left_semi"), "parentTconst", n_episodes)
     return with_top_episodes(embed_children(best, eps, "tconst", "parentTconst", EPISODE_FIELDS, "episodes"),
                              n_episodes)
 
@@ -138,11 +148,13 @@ def _movie_rows(cat: Catalogue) -> DataFrame:
 
 
 def top_rated(cat: Catalogue, min_rating: float = 9.0, min_votes: int = 1000, k: int = 10) -> DataFrame:
-    """Q9 from the flat tables: rank movies on their own fields first, then
-    nest credits for the ``k`` winners only (their keys, at most ``k`` rows,
-    are broadcast)."""
-    best = Q.top_rated(_movie_rows(cat), min_rating, min_votes, k)
-    people = principals_by_title(cat, titles=F.broadcast(best.select("tconst")))
+    """Q9 from the flat tables: rank movies on their ids and ratings alone,
+    then build documents, credits included, for the ``k`` winners only. The
+    winners, at most ``k`` rows with their ``rating``, are broadcast: they
+    select the movie rows and the credits before any shuffle of either."""
+    ranked = Q.top_rated(_rated_ids(cat, "movie"), min_rating, min_votes, k)  # tconst, rating
+    best = title_rows(cat, "movie").join(F.broadcast(ranked), "tconst")
+    people = principals_by_title(cat, titles=F.broadcast(ranked.select("tconst")))
     return best.join(people, "tconst", "left").select(*SHORT_COLUMNS).orderBy(
         F.desc_nulls_last("rating.averageRating"), F.desc_nulls_last("rating.numVotes"), F.asc("tconst"))
 
