@@ -45,6 +45,13 @@ def test_stored_queries_read_only_needed_leaves(built):
     assert "episodes:array<struct<runtime:int>>" in plan
 
 
+def test_credit_test_reads_two_leaves(built):
+    _, _, stored = built
+    plan = _plan(M.titles_credited(stored.movies, "Person 7"))
+    schemas = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert len(schemas) == 1 and "people:array<struct<name:string,category:string>>" in schemas[0], schemas
+
+
 def test_no_shuffle_after_series_top_k(built):
     _, colls, _ = built
     plan = _plan(M.top_series_episodes(colls.tvSeries))
