@@ -28,7 +28,7 @@ from marquee.plans.collections import (
 )
 from marquee.plans import queries as Q
 from marquee.plans.queries import (
-    ACTING, EPISODE_RANK, best_series, count_credits, rank_actors, runtime_per_title, with_top_episodes,
+    ACTING, EPISODE_RANK, best_series, credit_count_order, rank_per_type, runtime_per_title, with_top_episodes,
 )
 from marquee.plans.views import VIEW_TAGS
 from marquee.sources.tables import Catalogue
@@ -46,28 +46,54 @@ def rated_titles(cat: Catalogue, types: list[str]) -> DataFrame:
     return titles.join(ratings, "tconst")
 
 
-def acting_rows(cat: Catalogue, by: str = "name") -> DataFrame:
-    """Q3 input from the flat tables (see ``queries.acting_rows``)."""
-    credits = credits_with_people(cat).filter(F.col("category").isin(*ACTING))
+def acting_per_person(cat: Catalogue) -> DataFrame:
+    """Q3 input from the flat tables, reduced per person and title type:
+    ``nconst, titleType, _sum, _n`` (sum and count of the ratings of the
+    person's acting credits on rated titles). The credits cross one shuffle,
+    to meet their titles. They are then reduced with map-side partials, so a
+    person holding a third of all credits becomes a handful of rows per task.
+    Only those rows look up the person's name."""
+    credits = cat.title_principals.filter(F.col("category").isin(*ACTING)).select("tconst", "nconst")
     rows = credits.join(rated_titles(cat, list(TYPE_TAGS)), "tconst")
     tag = F.create_map(*[F.lit(x) for kv in TYPE_TAGS.items() for x in kv])[F.col("titleType")]
-    return rows.select(tag.alias("titleType"), F.col("rating").alias("r"), F.col(by).alias("actorName"))
+    return rows.groupBy("nconst", tag.alias("titleType")).agg(
+        F.sum("rating").alias("_sum"), F.count(F.lit(1)).alias("_n"))
 
 
 def actor_importance(cat: Catalogue, k: int = 10, by: str = "name") -> DataFrame:
-    """Q3 over the ``titles`` view, computed from the flat tables."""
-    return rank_actors(acting_rows(cat, by), k)
-
-
-def person_credit_rows(cat: Catalogue) -> DataFrame:
-    """Q6 input from the flat tables (see ``queries.person_credit_rows``)."""
-    rows = credits_with_people(cat).join(rated_titles(cat, ["movie", "tvSeries"]), "tconst")
-    return rows.select("nconst", F.col("name").alias("primaryName"), "rating", F.col("titleType").alias("type"))
+    """Q3 over the ``titles`` view, computed from the flat tables. Credits of
+    unknown people (no id, or an id without a person) form the null-name
+    group, as on the view."""
+    per = acting_per_person(cat)
+    if by == "name":
+        names = cat.name_basics.select("nconst", F.col("primaryName").alias("actorName"))
+        per = per.join(names, "nconst", "left")
+    elif by == "nconst":
+        per = per.withColumn("actorName", F.col("nconst"))
+    else:
+        raise ValueError(f"by must be 'name' or 'nconst', not {by!r}")
+    per_type = per.groupBy("actorName", "titleType").agg(
+        (F.sum("_sum") / F.sum("_n")).alias("avgRating"), F.sum("_n").alias("numTitles"))
+    return rank_per_type(per_type, k)
 
 
 def credits_per_person(cat: Catalogue) -> DataFrame:
-    """Q6 over movies and series, computed from the flat tables."""
-    return count_credits(person_credit_rows(cat))
+    """Q6 over movies and series, computed from the flat tables. Credits meet
+    their rated titles, are counted per person with map-side partials, and
+    only then look up the person's name (one row per person)."""
+    rows = cat.title_principals.select("tconst", "nconst").join(rated_titles(cat, ["movie", "tvSeries"]), "tconst")
+    per = rows.groupBy("nconst").agg(
+        F.count_if(F.col("titleType") == "movie").alias("movieCount"),
+        F.count_if(F.col("titleType") == "tvSeries").alias("tvSeriesCount"),
+        F.count(F.lit(1)).alias("overallCount"),
+        F.sum("rating").alias("_sum"),
+        F.count("rating").alias("_n"),
+    )
+    named = per.join(cat.name_basics.select("nconst", "primaryName"), "nconst", "left")
+    return named.select(
+        "nconst", "primaryName", "movieCount", "tvSeriesCount", "overallCount",
+        F.try_divide(F.col("_sum"), F.col("_n")).alias("avgRating"),
+    ).orderBy(*credit_count_order())
 
 
 def title_pairs(cat: Catalogue) -> DataFrame:

@@ -56,6 +56,12 @@ def rank_actors(rows: DataFrame, k: int = 10) -> DataFrame:
     per_type = rows.groupBy("actorName", "titleType").agg(
         F.avg("r").alias("avgRating"), F.count(F.lit(1)).alias("numTitles")
     )
+    return rank_per_type(per_type, k)
+
+
+def rank_per_type(per_type: DataFrame, k: int = 10) -> DataFrame:
+    """Q3, second level, over ``actorName, titleType, avgRating, numTitles``
+    (one row per actor and title type)."""
     per_actor = per_type.groupBy("actorName").agg(
         F.avg("avgRating").alias("overallAvgRating"),
         F.sum("numTitles").alias("totalTitles"),
@@ -142,7 +148,12 @@ def count_credits(rows: DataFrame) -> DataFrame:
         F.sum("tvSeriesCount").alias("tvSeriesCount"),
         F.sum("overallCount").alias("overallCount"),
         F.try_divide(F.sum("ratingSum"), F.sum("ratingCount")).alias("avgRating"),
-    ).orderBy(F.desc("overallCount"), F.desc_nulls_last("avgRating"), F.asc_nulls_first("nconst"))
+    ).orderBy(*credit_count_order())
+
+
+def credit_count_order() -> tuple[Column, ...]:
+    """Q6 result order: most credits first, then best average, then id."""
+    return F.desc("overallCount"), F.desc_nulls_last("avgRating"), F.asc_nulls_first("nconst")
 
 
 def credits_per_person(movies: DataFrame, series: DataFrame) -> DataFrame:

@@ -74,8 +74,8 @@ def test_unused_nested_people_are_not_built(built):
 
 
 def test_credit_counts_use_hash_aggregation_on_the_credit_stream(built):
-    cat, _, _ = built
-    plan = _plan(flat.credits_per_person(cat))
+    _, _, stored = built
+    plan = _plan(M.credits_per_person(stored.movies, stored.tvSeries))
     tree = plan[: plan.index("\n\n(")]
     # node details: partial and final hash aggregates keyed by (person, name); the
     # plan also holds the test catalogue's own aggregates, which are keyed otherwise
@@ -113,3 +113,15 @@ def test_flat_episode_top_k_limits_before_the_shuffle(built):
     limits = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line]
     exchanges = [i for i, line in enumerate(lines) if "Exchange" in line and i > limits[0]]
     assert exchanges and limits[0] < exchanges[0] < limits[1], tree
+
+
+def test_flat_credit_queries_reduce_per_person_before_the_people_join(built):
+    import re
+
+    cat, _, _ = built
+    for df, keys in ((flat.credits_per_person(cat), r"nconst#\d+L?\]"),
+                     (flat.actor_importance(cat), r"nconst#\d+L?, ")):
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        join = next(i for i, line in enumerate(lines) if re.search(r"Join \[nconst#\d+L?\], \[nconst#", line))
+        agg = next(i for i, line in enumerate(lines) if re.search(r"HashAggregate\(keys=\[" + keys, line))
+        assert join < agg  # the aggregate sits below (feeds) the join with the people table

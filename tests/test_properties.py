@@ -145,3 +145,16 @@ def test_flat_episode_top_k_equals_array_top_k(spark):
     assert rows == M.top_series_episodes(colls.tvSeries, **args).collect()
     sizes = colls.tvSeries.select(F.size("episodes").alias("n")).filter("n > 2").count()
     assert sizes > 0 and max(len(r.episodes) for r in rows) == 2  # the cut really trims
+
+
+def test_flat_actor_importance_by_id_equals_the_view(spark):
+    """Per-person partials before the name lookup give the view's ranking,
+    keyed by id as well as by name."""
+    from marquee.plans import flat
+
+    cat = catalogue_from_driver_tables(spark, SF001)
+    titles = M.titles(M.build_collections(cat)[0])
+    for by in ("nconst", "name"):
+        got = [(r.actorName, r.totalTitles, round(r.weightedImportance, 6)) for r in flat.actor_importance(cat, by=by).collect()]
+        want = [(r.actorName, r.totalTitles, round(r.weightedImportance, 6)) for r in M.actor_importance(titles, by=by).collect()]
+        assert got == want and len(got) == 10, by
