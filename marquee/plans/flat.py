@@ -28,7 +28,7 @@ from marquee.plans.collections import (
 )
 from marquee.plans import queries as Q
 from marquee.plans.queries import (
-    ACTING, EPISODE_RANK, best_series, credit_count_order, rank_per_type, runtime_per_title, with_top_episodes,
+    ACTING, EPISODE_RANK, best_series, credit_count_order, rank_per_type, with_top_episodes,
 )
 from marquee.plans.views import VIEW_TAGS
 from marquee.sources.tables import Catalogue
@@ -116,19 +116,23 @@ def people_with_titles(cat: Catalogue) -> DataFrame:
     return attach_grouped(people_collection(cat), "nconst", title_pairs(cat), "allTitles", order_by=["tconst"])
 
 
-def episode_runtime_rows(cat: Catalogue) -> DataFrame:
-    """Q10 input: ``title`` of the parent series and ``runtime`` per episode."""
-    series = cat.title_basics.filter(F.col("titleType") == "tvSeries").select(
-        F.col("tconst").alias("parentTconst"), F.col("primaryTitle").alias("title")
-    )
+def episode_runtime_per_series(cat: Catalogue) -> DataFrame:
+    """Q10, computed from the flat tables. Episodes meet their own runtime
+    (their only shuffle) and are reduced per parent with map-side partials:
+    runtime sum, runtime count and episode count. So a series with a third
+    of all episodes is combined before the shuffle. Only those rows meet the
+    series titles; same-named series then merge, and the mean is the sum
+    over the count, as on the collections."""
     eps = cat.title_episode.filter(F.col("parentTconst").isNotNull()).select("tconst", "parentTconst")
     runtimes = cat.title_basics.select("tconst", F.col("runtimeMinutes").alias("runtime"))
-    return eps.join(series, "parentTconst").join(runtimes, "tconst", "left").select("title", "runtime")
-
-
-def episode_runtime_per_series(cat: Catalogue) -> DataFrame:
-    """Q10, computed from the flat tables."""
-    return runtime_per_title(episode_runtime_rows(cat))
+    per_parent = eps.join(runtimes, "tconst", "left").groupBy("parentTconst").agg(
+        F.sum("runtime").alias("_sum"), F.count("runtime").alias("_n"), F.count(F.lit(1)).alias("_eps"))
+    series = cat.title_basics.filter(F.col("titleType") == "tvSeries").select(
+        F.col("tconst").alias("parentTconst"), F.col("primaryTitle").alias("title"))
+    per_title = per_parent.join(series, "parentTconst").groupBy("title").agg(
+        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avgEpisodeRuntime"),
+        F.sum("_eps").alias("episodeCount"))
+    return per_title.orderBy(*Q.runtime_order())
 
 
 def best_children(rows: DataFrame, parent_key: str, n: int, keys=EPISODE_RANK) -> DataFrame:

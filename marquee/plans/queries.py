@@ -236,7 +236,12 @@ def runtime_per_title(rows: DataFrame) -> DataFrame:
     """Q10 aggregation over rows of ``title, runtime`` (one per episode)."""
     return rows.groupBy("title").agg(
         F.avg("runtime").alias("avgEpisodeRuntime"), F.count(F.lit(1)).alias("episodeCount")
-    ).orderBy(F.desc_nulls_last("avgEpisodeRuntime"), F.asc_nulls_first("title"))
+    ).orderBy(*runtime_order())
+
+
+def runtime_order() -> tuple[Column, ...]:
+    """Q10 result order: longest mean episode runtime first, then title."""
+    return F.desc_nulls_last("avgEpisodeRuntime"), F.asc_nulls_first("title")
 
 
 def episode_runtime_per_series(series: DataFrame) -> DataFrame:
