@@ -93,9 +93,17 @@ def title_collection(cat: Catalogue, title_type: str, people: DataFrame | None =
     return with_rating(t.join(people, "tconst", "left"), cat.title_ratings)
 
 
-def episode_rows(cat: Catalogue) -> DataFrame:
-    """One row per episode with its parent key and document fields."""
-    details = cat.title_episode.filter(F.col("parentTconst").isNotNull()).join(
+def episode_rows(cat: Catalogue, parents: DataFrame | None = None) -> DataFrame:
+    """One row per episode with its parent key and document fields.
+
+    ``parents`` (a ``parentTconst`` column) keeps only those parents'
+    episodes. It applies to the episode table itself, before the episodes
+    look up their titles and ratings, so a selective query shuffles only the
+    selected episodes."""
+    episodes = cat.title_episode.filter(F.col("parentTconst").isNotNull())
+    if parents is not None:
+        episodes = episodes.join(parents.select("parentTconst"), "parentTconst", "left_semi")
+    details = episodes.join(
         cat.title_basics.select(
             "tconst",
             F.col("primaryTitle").alias("Title"),
@@ -124,15 +132,17 @@ def with_episodes(series: DataFrame, cat: Catalogue, order_by: str = "title",
     which starts with ``Title`` (``order_by="title"``), or by season and
     episode number (``"season_episode"``). Episodes without a series parent
     are dropped. ``only_given_series`` nests just the episodes of ``series``
-    (worth it when ``series`` is a selection)."""
+    (worth it when ``series`` is a selection); they are selected before they
+    look up their titles and ratings."""
     keys = None
     if order_by == "season_episode":
         keys = [asc("ordering.Season"), asc("ordering.Episode"), asc("Title"), asc("year"), asc("runtime"),
                 asc("isAdult"), asc("rating.numVotes"), asc("rating.averageRating")]
     elif order_by != "title":
         raise ValueError(f"order_by must be 'title' or 'season_episode', not {order_by!r}")
-    return embed_children(series, episode_rows(cat), "tconst", "parentTconst", EPISODE_FIELDS, "episodes", keys,
-                          only_parents=only_given_series)
+    parents = series.select(F.col("tconst").alias("parentTconst")) if only_given_series else None
+    return embed_children(series, episode_rows(cat, parents), "tconst", "parentTconst", EPISODE_FIELDS, "episodes",
+                          keys)
 
 
 def people_collection(cat: Catalogue) -> DataFrame:

@@ -169,7 +169,7 @@ def top_series_episodes(cat: Catalogue, min_votes: int = 10000, n_series: int =
     ranked = best_series(_rated_ids(cat, "tvSeries"), min_votes, n_series)  # tconst, rating
     best = title_rows(cat, "tvSeries").join(F.broadcast(ranked), "tconst")
     parents = F.broadcast(ranked.select(F.col("tconst").alias("parentTconst")))
-    eps = best_children(episode_rows(cat).join(parents, "parentTconst", "left_semi"), "parentTconst", n_episodes)
+    eps = best_children(episode_rows(cat, parents), "parentTconst", n_episodes)
     return with_top_episodes(embed_children(best, eps, "tconst", "parentTconst", EPISODE_FIELDS, "episodes"),
                              n_episodes)
 
@@ -230,7 +230,7 @@ def top_episodes_of(cat: Catalogue, title: str, k: int = 10) -> DataFrame:
     """Q8 from the flat tables: the episodes of the series with that title,
     ranked directly; nothing is nested."""
     series = cat.title_basics.filter((F.col("titleType") == "tvSeries") & (F.col("primaryTitle") == title))
-    eps = episode_rows(cat).join(series.select(F.col("tconst").alias("parentTconst")), "parentTconst", "left_semi")
+    eps = episode_rows(cat, series.select(F.col("tconst").alias("parentTconst")))
     return Q.best_episodes(eps.select(F.struct(*EPISODE_FIELDS).alias("e")), k)
 
 
@@ -240,6 +240,6 @@ def search_titles(cat: Catalogue, pattern: str) -> DataFrame:
     restricted by the matched rows' ids, not by the built documents, so the
     credit nesting is planned once."""
     rows = title_rows(cat, "tvSeries").filter(F.col("title").rlike("(?i)" + pattern))
-    eps = episode_rows(cat).join(rows.select(F.col("tconst").alias("parentTconst")), "parentTconst", "left_semi")
+    eps = episode_rows(cat, rows.select(F.col("tconst").alias("parentTconst")))
     return embed_children(title_collection(cat, "tvSeries", rows=rows), eps, "tconst", "parentTconst",
                           EPISODE_FIELDS, "episodes")

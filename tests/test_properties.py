@@ -158,3 +158,16 @@ def test_flat_actor_importance_by_id_equals_the_view(spark):
         got = [(r.actorName, r.totalTitles, round(r.weightedImportance, 6)) for r in flat.actor_importance(cat, by=by).collect()]
         want = [(r.actorName, r.totalTitles, round(r.weightedImportance, 6)) for r in M.actor_importance(titles, by=by).collect()]
         assert got == want and len(got) == 10, by
+
+
+def test_episodes_of_selected_series_only(spark):
+    """Selecting episodes by parent before their lookups nests the same
+    arrays as nesting every episode and keeping the selected series."""
+    from marquee.plans.collections import title_collection, title_rows, with_episodes
+
+    cat = catalogue_from_driver_tables(spark, SF001)
+    rows = title_rows(cat, "tvSeries").filter(F.col("title").rlike("(?i)series 1"))
+    series = title_collection(cat, "tvSeries", rows=rows)
+    got = sorted(with_episodes(series, cat, only_given_series=True).collect())
+    want = sorted(with_episodes(series, cat).collect())
+    assert got == want and any(r.episodes for r in got)
