@@ -201,9 +201,11 @@ def _credited_titles(cat: Catalogue, name: str, category: str) -> DataFrame:
 
 def titles_credited(cat: Catalogue, name: str, category: str = "director") -> DataFrame:
     """Q5 from the flat tables: a semi join of movies to the person's
-    credits; no credit list is nested at all."""
-    hits = _movie_rows(cat).join(_credited_titles(cat, name, category), "tconst", "left_semi")
-    return hits.orderBy(*Q._by_rating())
+    credits; no credit list is nested at all. The semi join comes before the
+    ratings join, so only the person's movies look up their rating, and at
+    runtime both joins can broadcast their small side."""
+    hits = title_rows(cat, "movie").join(_credited_titles(cat, name, category), "tconst", "left_semi")
+    return with_rating(hits, cat.title_ratings).orderBy(*Q._by_rating())
 
 
 def titles_up_to_credit(cat: Catalogue, name: str, category: str = "director") -> DataFrame:
