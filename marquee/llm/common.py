@@ -62,6 +62,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small but costly table evenly to as many tasks as a
+    shuffle has, as Spark reads small files in few."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def over_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``fn`` on each Arrow batch of ``df``; one batch in memory at a time."""
 

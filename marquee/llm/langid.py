@@ -21,11 +21,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import over_batches, stored, unit_hash
+from marquee.llm.common import over_batches, spread, stored, unit_hash
 
 UND = "und"
 START = "▁"  # the vocabulary's mark for the start of a word
@@ -196,8 +197,7 @@ def train(rows: DataFrame, vocabulary: str, lang_col: str = "lang", text_col: st
     if not langs:
         return Model([], pieces, np.zeros((len(pieces), 0)), np.zeros(0))
     share = F.element_at(F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, per_lang / sizes[k])))]), F.col("lang"))
-    words = stored(_word_counts(rows.where(unit_hash("id") < share).select("lang", "text")), "langid-words")
-    words = words.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    words = spread(stored(_word_counts(rows.where(unit_hash("id") < share).select("lang", "text")), "langid-words"))
     model = Model(langs, pieces, np.full((len(pieces), len(langs)), 1.0 / len(pieces)), np.ones(len(langs)) / len(langs))
     for _ in range(rounds):
         counts = _expected_counts(words, model)
@@ -207,6 +207,16 @@ def train(rows: DataFrame, vocabulary: str, lang_col: str = "lang", text_col: st
     return model
 
 
+def best_language(scorer: Scorer, text: str | None) -> tuple[str, float]:
+    """The language with the largest posterior, and that posterior."""
+    langs = scorer.model.langs
+    logs = scorer.text_logs(text) if text and langs else None
+    if logs is None:
+        return UND, 0.0
+    k = int(logs.argmax())
+    return langs[k], float(1.0 / np.exp(logs - logs[k]).sum())
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score`` for every row.
 
@@ -219,19 +229,21 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        langs = scorer.model.langs
         for b in batches:
-            preds, scores = [], []
-            for text in b.column(1).to_pylist():
-                logs = scorer.text_logs(text) if text and langs else None
-                if logs is None:
-                    preds.append(UND)
-                    scores.append(0.0)
-                else:
-                    k = int(logs.argmax())
-                    preds.append(langs[k])
-                    scores.append(float(1.0 / np.exp(logs - logs[k]).sum()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(preds, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+            found = [best_language(scorer, t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def recognised(model: Model, text: Column, least: float) -> Column:
+    """Whether a text has a language whose posterior is at least ``least``."""
+    scorers: dict[int, Scorer] = {}
+
+    @F.pandas_udf("boolean")
+    def told(texts: pd.Series) -> pd.Series:
+        scorer = scorers.get(0) or scorers.setdefault(0, Scorer(model))
+        return pd.Series([best_language(scorer, t)[1] >= least for t in texts], dtype=bool)
+
+    return told(text.cast("string"))
