@@ -35,7 +35,7 @@ from marquee.llm.common import over_batches
 
 #: Words kept per worker before the table is emptied and filled anew (a matter
 #: of memory only, never of results).
-WORD_TABLE = 300_000
+WORD_TABLE = 600_000
 
 # How byte-level vocabularies spell bytes as characters, and the
 # pattern that cuts text into words where the tokenizer file names none.

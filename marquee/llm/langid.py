@@ -37,7 +37,7 @@ TRAIN_DOCS = 2_000
 #: Share of a piece's probability that does not depend on the language, and the
 #: probability of a character outside the vocabulary.
 SHARED, UNKNOWN = 0.02, 1e-7
-WORD_TABLE = 250_000
+WORD_TABLE = 500_000
 SCALE = float(1 << 20)
 
 
