@@ -31,19 +31,19 @@ title_basics AS (
   CASE WHEN c_custkey % 20 = 0 THEN NULL ELSE c_mktsegment END
  FROM customer),
 name_basics AS (
- SELECT concat('nm',s_suppkey) AS nconst, concat('Person ',s_suppkey % 95) AS primaryName,
+ SELECT concat(CASE WHEN s_suppkey % 17 = 5 THEN 'nx' ELSE 'nm' END,s_suppkey) AS nconst, concat('Person ',s_suppkey % 95) AS primaryName,
   CASE WHEN s_suppkey % 8 = 0 THEN NULL ELSE CAST(1900 + s_suppkey % 100 AS INT) END AS birthYear,
   CASE WHEN s_suppkey % 3 = 0 THEN CAST(1980 + s_suppkey % 40 AS INT) ELSE NULL END AS deathYear,
   CASE WHEN s_suppkey % 9 = 0 THEN NULL WHEN s_suppkey % 2 = 0 THEN 'actor' ELSE 'actor,director' END AS primaryProfession,
   CASE WHEN s_suppkey % 10 = 0 THEN NULL WHEN s_suppkey % 10 = 1 THEN concat('tt',s_suppkey)
        ELSE concat('tt',s_suppkey * 7, ', tt',s_suppkey * 13, ',tt99999999') END AS knownForTitles
- FROM supplier WHERE s_suppkey % 17 <> 5),
+ FROM supplier),
 title_episode AS (
  SELECT concat('tt',o_orderkey) AS tconst,
-  CASE WHEN o_orderkey % 100 = 0 THEN NULL ELSE concat('tc',o_custkey) END AS parentTconst,
+  CASE WHEN o_orderkey % 100 = 0 THEN NULL WHEN o_custkey % 11 = 0 THEN concat('tx',o_custkey) ELSE concat('tc',o_custkey) END AS parentTconst,
   CASE WHEN o_orderkey % 12 = 0 THEN NULL ELSE CAST(year(o_orderdate) - 1991 AS INT) END AS seasonNumber,
   CASE WHEN o_orderkey % 12 = 0 THEN NULL ELSE CAST(month(o_orderdate) AS INT) END AS episodeNumber
- FROM orders WHERE o_orderstatus NOT IN ('F','P') AND o_custkey % 11 <> 0),
+ FROM orders WHERE o_orderstatus NOT IN ('F','P')),
 title_principals AS (
  SELECT tconst, CAST(row_number() OVER (PARTITION BY tconst ORDER BY a, b, d) AS INT) AS ordering, nconst,
   CASE c WHEN 0 THEN 'actor' WHEN 1 THEN 'actress' WHEN 2 THEN 'director' WHEN 3 THEN 'writer' ELSE 'producer' END AS category,
@@ -52,14 +52,14 @@ title_principals AS (
  FROM (SELECT concat('tt',l_orderkey) AS tconst, CAST(l_linenumber AS BIGINT) AS a, l_partkey AS b, l_suppkey AS d,
          concat('nm',l_suppkey) AS nconst, l_partkey % 5 AS c FROM lineitem
        UNION ALL
-       SELECT concat('tc',o_custkey), o_orderkey, 0, 0, concat('nm',o_orderkey % 100), o_orderkey % 5
-       FROM orders WHERE o_orderkey % 4 = 0) x),
+       SELECT concat(CASE WHEN o_orderkey % 4 = 0 THEN 'tc' ELSE 'tx' END,o_custkey), o_orderkey, 0, 0, concat('nm',o_orderkey % 100), o_orderkey % 5
+       FROM orders) x),
 title_ratings AS (
- SELECT concat('tt',o_orderkey) AS tconst, CAST(10 + o_orderkey * 7919 % 91 AS DOUBLE) / 10 AS averageRating,
-  CAST(o_orderkey * 104729 % 20000 AS INT) AS numVotes FROM orders WHERE o_orderkey % 5 <> 0
+ SELECT concat(CASE WHEN o_orderkey % 5 = 0 THEN 'tx' ELSE 'tt' END,o_orderkey) AS tconst, CAST(10 + o_orderkey * 7919 % 91 AS DOUBLE) / 10 AS averageRating,
+  CAST(o_orderkey * 104729 % 20000 AS INT) AS numVotes FROM orders
  UNION ALL
- SELECT concat('tc',c_custkey), CAST(10 + c_custkey * 7919 % 91 AS DOUBLE) / 10,
-  CAST(c_custkey * 104729 % 20000 AS INT) FROM customer WHERE c_custkey % 5 <> 0),
+ SELECT concat(CASE WHEN c_custkey % 5 = 0 THEN 'txc' ELSE 'tc' END,c_custkey), CAST(10 + c_custkey * 7919 % 91 AS DOUBLE) / 10,
+  CAST(c_custkey * 104729 % 20000 AS INT) FROM customer),
 credits AS (
  SELECT p.tconst, p.ordering, n.primaryName AS name, p.category, p.job, p.characters, p.nconst,
         n.birthYear, n.deathYear, n.primaryProfession
@@ -87,7 +87,7 @@ eps_pos AS (
 
 PEOPLE_COLS = ("c.pos, c.ordering, c.name, c.category, c.job, c.characters, c.nconst, c.birthYear, c.deathYear, "
                "c.primaryProfession")
-EPISODE_COLS = ("e.pos, e.Title, e.ep_isAdult, e.ep_year, e.runtime, e.Season, e.Episode, e.ep_numVotes, "
+EPISODE_COLS = ("e.pos, e.Title AS ep_title, e.ep_isAdult, e.ep_year, e.runtime, e.Season, e.Episode, e.ep_numVotes, "
                 "e.ep_averageRating")
 SHORT_DOC = ("t.tconst, t.primaryTitle AS title, t.originalTitle, t.isAdult, t.startYear AS year, t.runtimeMinutes, "
              "t.genres, t.numVotes, t.averageRating")
@@ -100,6 +100,28 @@ EPISODE_RANK_SQL = ("ep_averageRating DESC NULLS LAST, ep_numVotes DESC NULLS LA
                     "ep_isAdult NULLS FIRST")
 
 
+def MEAN(c: str) -> str:
+    """Exact decimal sum over the count, divided once."""
+    return f"CAST(sum(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / count({c})"
+
+
+def _parts(cols: str) -> str:
+    return ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cols.split())
+
+
+# Digests of a title's credits and of a series' episodes, all fields of all elements in order.
+CONTENT_CTES = f"""
+, people_digest AS (
+ SELECT tconst, CAST(count(*) AS INT) AS people_count,
+  md5(string_agg(concat_ws('|', {_parts("ordering name category job characters nconst birthYear deathYear primaryProfession")}), ';' ORDER BY pos)) AS people_md5
+ FROM credits_pos GROUP BY tconst),
+episodes_digest AS (
+ SELECT parentTconst, CAST(count(*) AS INT) AS episode_count,
+  md5(string_agg(concat_ws('|', {_parts("Title ep_isAdult ep_year runtime Season Episode ep_numVotes ep_averageRating")}), ';' ORDER BY pos)) AS episodes_md5
+ FROM eps_pos GROUP BY parentTconst)"""
+CONTENT_COLS = "p.people_count, p.people_md5, e.episode_count, e.episodes_md5"
+
+
 def _q(body: str) -> str:
     """``body`` starts with extra CTEs (``, name AS (...)``) or directly with SELECT."""
     body = body.strip()
@@ -129,16 +151,20 @@ def _actor_importance(key: str) -> str:
  WHERE t.titleType IN ('movie', 'short', 'tvSeries') AND t.averageRating IS NOT NULL
    AND c.category IN ('actor', 'actress')),
 per_type AS (
- SELECT actorName, titleType, avg(averageRating) AS avgRating, count(*) AS numTitles
+ SELECT actorName, titleType, {MEAN('averageRating')} AS avgRating, count(*) AS numTitles
  FROM acting GROUP BY actorName, titleType),
-per_actor AS (
- SELECT actorName, avg(avgRating) AS overall, CAST(sum(numTitles) AS BIGINT) AS totalTitles,
-        avg(avgRating) * sum(numTitles) AS wi
+means AS (
+ SELECT actorName, count(*) AS n, CAST(sum(numTitles) AS BIGINT) AS totalTitles,
+        coalesce(max(avgRating) FILTER (WHERE titleType = 'movies'), 0) AS a,
+        coalesce(max(avgRating) FILTER (WHERE titleType = 'short'), 0) AS b,
+        coalesce(max(avgRating) FILTER (WHERE titleType = 'tvSeries'), 0) AS c
  FROM per_type GROUP BY actorName),
+per_actor AS (
+ SELECT actorName, (a + b + c) / n AS overall, totalTitles, (a + b + c) / n * totalTitles AS wi FROM means),
 best AS (
  SELECT * FROM per_actor ORDER BY wi DESC NULLS LAST, actorName ASC NULLS FIRST LIMIT 10)
 SELECT b.actorName, round_even(b.overall, 2) AS overallAvgRating, b.totalTitles,
-       round(b.wi + 1e-9, 6) AS weightedImportance,
+       b.wi AS weightedImportance,
        CAST(row_number() OVER (PARTITION BY b.actorName ORDER BY p.titleType) - 1 AS INT) AS pos,
        p.titleType, round_even(p.avgRating, 2) AS avgRating, p.numTitles
 FROM best b JOIN per_type p ON p.actorName IS NOT DISTINCT FROM b.actorName""")
@@ -164,16 +190,14 @@ SELECT n.nconst, n.primaryName, n.birthYear, n.deathYear, n.primaryProfession,
        k.pos, k.tconst, t.primaryTitle AS title, t.startYear AS year
 FROM name_basics n LEFT JOIN known k ON k.nconst = n.nconst
      LEFT JOIN title_basics t ON t.tconst = k.tconst"""),
-    "titles_view": _q("""
-, n_people AS (SELECT tconst, CAST(count(*) AS INT) AS people_count FROM title_principals GROUP BY tconst),
-n_eps AS (SELECT parentTconst, CAST(count(*) AS INT) AS episode_count FROM eps GROUP BY parentTconst)
+    "titles_view": _q(f"""{CONTENT_CTES}
 SELECT t.tconst,
        CASE t.titleType WHEN 'movie' THEN 'movies' WHEN 'short' THEN 'short' ELSE 'tvSeries' END AS titleType,
        t.primaryTitle AS title, t.originalTitle, t.isAdult, t.startYear,
        CASE WHEN t.titleType = 'tvSeries' THEN t.endYear END AS endYear, t.runtimeMinutes, t.genres,
-       t.numVotes, t.averageRating, p.people_count, e.episode_count
-FROM rated t LEFT JOIN n_people p ON p.tconst = t.tconst
-     LEFT JOIN n_eps e ON e.parentTconst = t.tconst AND t.titleType = 'tvSeries'
+       t.numVotes, t.averageRating, {CONTENT_COLS}
+FROM rated t LEFT JOIN people_digest p ON p.tconst = t.tconst
+     LEFT JOIN episodes_digest e ON e.parentTconst = t.tconst AND t.titleType = 'tvSeries'
 WHERE t.titleType IN ('movie', 'short', 'tvSeries')"""),
     "people_with_titles": _q("""
 , credited AS (
@@ -187,8 +211,8 @@ SELECT n.nconst, n.primaryName, n.birthYear, n.deathYear, n.primaryProfession,
             ELSE CAST(row_number() OVER (PARTITION BY n.nconst ORDER BY c.src, c.tconst) - 1 AS INT) END AS pos,
        c.tconst, c.title, c.startYear, c.endYear
 FROM name_basics n LEFT JOIN credited c ON c.nconst = n.nconst"""),
-    "rating_per_genre": _q("""
-SELECT g AS genre, round(avg(t.averageRating) + 1e-9, 6) AS avgRating, count(*) AS totalMovies
+    "rating_per_genre": _q(f"""
+SELECT g AS genre, {MEAN('t.averageRating')} AS avgRating, count(*) AS totalMovies
 FROM rated t, unnest(string_split(t.genres, ',')) AS u(g)
 WHERE t.titleType = 'movie'
 GROUP BY g"""),
@@ -213,7 +237,7 @@ SELECT {SHORT_DOC}
 FROM rated t
 WHERE t.titleType = 'movie' AND EXISTS (
   SELECT 1 FROM credits c WHERE c.tconst = t.tconst AND c.category = 'director' AND c.name = {_lit(DIRECTOR)})"""),
-    "credits_per_person": _q("""
+    "credits_per_person": _q(f"""
 , rows AS (
  SELECT c.nconst, c.name, t.averageRating AS rating, t.titleType AS type
  FROM rated t JOIN credits c ON c.tconst = t.tconst
@@ -221,7 +245,7 @@ WHERE t.titleType = 'movie' AND EXISTS (
 SELECT nconst, max(name) AS primaryName,
        CAST(count_if(type = 'movie') AS BIGINT) AS movieCount,
        CAST(count_if(type = 'tvSeries') AS BIGINT) AS tvSeriesCount,
-       count(*) AS overallCount, round(avg(rating) + 1e-9, 6) AS avgRating
+       count(*) AS overallCount, {MEAN('rating')} AS avgRating
 FROM rows GROUP BY nconst"""),
     "top_series_episodes": _q(f"""
 , best AS (
@@ -230,7 +254,7 @@ FROM rows GROUP BY nconst"""),
 ranked AS (
  SELECT *, CAST(row_number() OVER (PARTITION BY parentTconst ORDER BY {EPISODE_RANK_SQL}) - 1 AS INT) AS rpos
  FROM eps WHERE parentTconst IN (SELECT tconst FROM best))
-SELECT {SERIES_DOC}, e.rpos AS pos, e.Title, e.ep_isAdult, e.ep_year, e.runtime, e.Season, e.Episode,
+SELECT {SERIES_DOC}, e.rpos AS pos, e.Title AS ep_title, e.ep_isAdult, e.ep_year, e.runtime, e.Season, e.Episode,
        e.ep_numVotes, e.ep_averageRating
 FROM best t JOIN ranked e ON e.parentTconst = t.tconst
 WHERE e.rpos < 10"""),
@@ -249,20 +273,19 @@ LIMIT 10"""),
 SELECT {SHORT_DOC}, {PEOPLE_COLS}
 FROM best t LEFT JOIN credits_pos c ON c.tconst = t.tconst"""),
     "episode_runtime_per_series": _q("""
-SELECT t.primaryTitle AS title, round(avg(e.runtime) + 1e-9, 6) AS avgEpisodeRuntime, count(*) AS episodeCount
+SELECT t.primaryTitle AS title, CAST(sum(e.runtime) AS DOUBLE) / count(e.runtime) AS avgEpisodeRuntime, count(*) AS episodeCount
 FROM title_basics t JOIN eps e ON e.parentTconst = t.tconst
 WHERE t.titleType = 'tvSeries'
 GROUP BY t.primaryTitle"""),
-    "search_titles": _q(f"""
-, n_eps AS (SELECT parentTconst, CAST(count(*) AS INT) AS episode_count FROM eps GROUP BY parentTconst)
-SELECT {SERIES_DOC}, n.episode_count
-FROM rated t LEFT JOIN n_eps n ON n.parentTconst = t.tconst
+    "search_titles": _q(f"""{CONTENT_CTES}
+SELECT {SERIES_DOC}, {CONTENT_COLS}
+FROM rated t LEFT JOIN people_digest p ON p.tconst = t.tconst LEFT JOIN episodes_digest e ON e.parentTconst = t.tconst
 WHERE t.titleType = 'tvSeries' AND regexp_matches(t.primaryTitle, {_lit('(?i)' + SEARCH_PATTERN)})"""),
     "top_k_elements": _q(f"""
 , ranked AS (
  SELECT *, CAST(row_number() OVER (PARTITION BY parentTconst ORDER BY {EPISODE_RANK_SQL}) - 1 AS INT) AS rpos
  FROM eps)
-SELECT t.tconst, e.rpos AS pos, e.Title, e.ep_isAdult, e.ep_year, e.runtime, e.Season, e.Episode,
+SELECT t.tconst, e.rpos AS pos, e.Title AS ep_title, e.ep_isAdult, e.ep_year, e.runtime, e.Season, e.Episode,
        e.ep_numVotes, e.ep_averageRating
 FROM title_basics t LEFT JOIN ranked e ON e.parentTconst = t.tconst AND e.rpos < 3
 WHERE t.titleType = 'tvSeries'"""),
@@ -272,7 +295,7 @@ WHERE t.titleType = 'tvSeries'"""),
         Title NULLS FIRST, ep_year NULLS FIRST, runtime NULLS FIRST, ep_isAdult NULLS FIRST,
         ep_numVotes NULLS FIRST, ep_averageRating NULLS FIRST) - 1 AS INT) AS rpos
  FROM eps)
-SELECT t.tconst, e.rpos AS pos, e.Title, e.ep_isAdult, e.ep_year, e.runtime, e.Season, e.Episode,
+SELECT t.tconst, e.rpos AS pos, e.Title AS ep_title, e.ep_isAdult, e.ep_year, e.runtime, e.Season, e.Episode,
        e.ep_numVotes, e.ep_averageRating
 FROM title_basics t LEFT JOIN ranked e ON e.parentTconst = t.tconst
 WHERE t.titleType = 'tvSeries'"""),
@@ -283,3 +306,11 @@ for _name in ("actor_importance", "credits_per_person", "people_with_titles", "e
               "top_series_episodes", "titles_up_to_credit", "titles_credited", "top_episodes_of", "top_rated",
               "search_titles", "titles_view"):
     ORACLE[f"{_name}_from_tables"] = ORACLE[_name]
+ORACLE["view_titles_sql"] = ORACLE["titles_view"]
+ORACLE["people_with_title_lists"] = ORACLE["people_with_titles_of_collections"] = ORACLE["people_with_titles"]
+ORACLE["credits_per_person_of_collections"] = ORACLE["credits_per_person"]
+ORACLE["movies_characters_list"] = _q("""
+SELECT t.tconst, c.pos, c.ordering, c.nconst,
+       replace(replace(c.characters, '["', ''), '"]', '') AS characters
+FROM title_basics t LEFT JOIN credits_pos c ON c.tconst = t.tconst
+WHERE t.titleType = 'movie'""")

@@ -3,9 +3,9 @@ the driver's tables at ``sf_dir`` and returns a flat DataFrame.
 
 Nested results are flattened with ``posexplode_outer`` so element order is
 checked too (``pos`` is the 0-based index; null when the array is null or
-empty). Scalar lists become their comma-joined text. Floating averages are
-rounded to 6 places (see ``_r6``), as the oracle does, so summation order
-cannot change the value hash.
+empty). Scalar lists become their comma-joined text. Where two arrays of a
+document are checked at once, each becomes a digest of all its elements in
+order. Averages come from exact sums and are compared as they are.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 import marquee as M
 from marquee.functions.arrays import top_k_elements
-from marquee.plans.collections import PEOPLE_FIELDS, principals_by_title, with_episodes, title_collection
+from marquee.plans.collections import PEOPLE_FIELDS, principals_by_title, title_collection, title_rows, with_episodes
 from marquee.plans import flat
-from marquee.plans.queries import EPISODE_RANK
+from marquee.plans.queries import EPISODE_RANK, credits_per_person_over
+from marquee.plans.views import people_with_title_lists, people_with_titles_over
 from marquee.sources.collections import Collections
 from marquee.sources.fixtures import catalogue_from_driver_tables
 
@@ -35,12 +36,28 @@ def _colls(spark: SparkSession, sf_dir: str) -> Collections:
     return M.build_collections(catalogue_from_driver_tables(spark, sf_dir))[0]
 
 
-def _r6(c: str) -> Column:
-    """Averages to 6 places. An average of tenths is an exact rational that
-    can sit on a half-way point, where summation order decides the last bit;
-    the 1e-9 offset (far below the gap between distinct averages) makes both
-    engines round such ties the same way."""
-    return F.round(F.col(c) + F.lit(1e-9), 6).alias(c)
+def _digest(arr: str, fields: list[str]) -> Column:
+    """md5 over all fields of all elements in order; null for a null array."""
+    def text(e: Column) -> Column:
+        parts = []
+        for f in fields:
+            x = e
+            for name in f.split("."):
+                x = x[name]
+            parts.append(F.coalesce(x.cast("string"), F.lit("~")))
+        return F.concat_ws("|", *parts)
+
+    return F.when(F.size(arr) > 0, F.md5(F.array_join(F.transform(arr, text), ";"))).alias(f"{arr}_md5")
+
+
+EPISODE_PATHS = ["Title", "isAdult", "year", "runtime", "ordering.Season", "ordering.Episode", "rating.numVotes",
+                 "rating.averageRating"]
+
+
+def _contents() -> list[Column]:
+    """Sizes and digests of a document's ``people`` and ``episodes``."""
+    return [_size("people").alias("people_count"), _digest("people", PEOPLE_FIELDS),
+            _size("episodes").alias("episode_count"), _digest("episodes", EPISODE_PATHS)]
 
 
 def _joined(c: str) -> Column:
@@ -52,6 +69,10 @@ def _size(c: str) -> Column:
     return F.when(F.col(c).isNotNull(), F.size(c))
 
 
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.build_titles(catalogue_from_driver_tables(spark, sf_dir))
+
+
 def _rating() -> list[Column]:
     return [F.col("rating.numVotes").alias("numVotes"), F.col("rating.averageRating").alias("averageRating")]
 
@@ -69,7 +90,7 @@ def people_cols() -> list[Column]:
 
 def episode_cols() -> list[Column]:
     return [
-    F.col("e.Title").alias("Title"),
+    F.col("e.Title").alias("ep_title"),
     F.col("e.isAdult").alias("ep_isAdult"),
     F.col("e.year").alias("ep_year"),
     F.col("e.runtime").alias("runtime"),
@@ -97,8 +118,7 @@ def q_principals_by_title(spark, sf_dir):
 
 def _title_docs(type_: str):
     def run(spark, sf_dir):
-        colls = _colls(spark, sf_dir)
-        df = colls.movies if type_ == "movie" else colls.shorts
+        df = title_collection(catalogue_from_driver_tables(spark, sf_dir), type_)
         return _explode(df, _short_doc_cols(), "people", people_cols())
     return run
 
@@ -108,7 +128,8 @@ def q_tv_series(spark, sf_dir):
 
 
 def q_tv_series_people(spark, sf_dir):
-    return _explode(_colls(spark, sf_dir).tvSeries, ["tconst"], "people", people_cols())
+    series = title_collection(catalogue_from_driver_tables(spark, sf_dir), "tvSeries")
+    return _explode(series, ["tconst"], "people", people_cols())
 
 
 def q_people(spark, sf_dir):
@@ -120,23 +141,48 @@ def q_people(spark, sf_dir):
 
 # ---------------------------------------------------------------- views
 
-def q_titles_view(spark, sf_dir, from_tables: bool = False):
-    if from_tables:
-        t = M.build_titles(catalogue_from_driver_tables(spark, sf_dir))
-    else:
-        t = M.titles(_colls(spark, sf_dir))
+def _view_cols(t: DataFrame) -> DataFrame:
     return t.select(
         "tconst", "titleType", "title", "originalTitle", "isAdult", "startYear", "endYear", "runtimeMinutes",
-        _joined("genres"), *_rating(),
-        _size("people").alias("people_count"), _size("episodes").alias("episode_count"),
+        _joined("genres"), *_rating(), *_contents(),
     )
 
 
+def q_titles_view(spark, sf_dir):
+    """Q1, all titles built at once: one credit aggregation."""
+    return _view_cols(_titles(spark, sf_dir))
+
+
+def q_titles_view_from_tables(spark, sf_dir):
+    """Q1 as the three collections split off that build and put together again."""
+    movies, series, shorts = M.split_titles(_titles(spark, sf_dir))
+    return _view_cols(M.titles(Collections(movies, series, shorts, series)))
+
+
+def q_view_titles_sql(spark, sf_dir):
+    """S9, S10: the view by name, in SQL."""
+    M.register_views(spark, _colls(spark, sf_dir))
+    return _view_cols(spark.table("titles"))
+
+
 def q_people_with_titles(spark, sf_dir, from_tables: bool = False):
+    cat = catalogue_from_driver_tables(spark, sf_dir)
     if from_tables:
-        df = flat.people_with_titles(catalogue_from_driver_tables(spark, sf_dir))
-    else:
-        df = M.people_with_titles(_colls(spark, sf_dir))
+        return _people_titles(flat.people_with_titles(cat))
+    return _people_titles(people_with_titles_over(M.people_collection(cat), M.build_titles(cat)))
+
+
+def q_people_with_title_lists(spark, sf_dir):
+    """Q11 over the collections, as one list per collection concatenated."""
+    return _people_titles(people_with_title_lists(_colls(spark, sf_dir)))
+
+
+def q_people_with_titles_of_collections(spark, sf_dir):
+    """Q11 over the three collections."""
+    return _people_titles(M.people_with_titles(_colls(spark, sf_dir)))
+
+
+def _people_titles(df: DataFrame) -> DataFrame:
     keep = ["nconst", "primaryName", "birthYear", "deathYear", _joined("primaryProfession")]
     return _explode(df, keep, "allTitles", [F.col(f"e.{f}").alias(f) for f in ("tconst", "title", "startYear", "endYear")])
 
@@ -145,7 +191,7 @@ def q_people_with_titles(spark, sf_dir, from_tables: bool = False):
 
 def q_rating_per_genre(spark, sf_dir):
     df = M.rating_per_genre(_colls(spark, sf_dir).movies)
-    return df.select("genre", _r6("avgRating"), "totalMovies")
+    return df.select("genre", "avgRating", "totalMovies")
 
 
 def _actor_importance(by: str, from_tables: bool = False):
@@ -153,8 +199,8 @@ def _actor_importance(by: str, from_tables: bool = False):
         if from_tables:
             df = flat.actor_importance(catalogue_from_driver_tables(spark, sf_dir), k=10, by=by)
         else:
-            df = M.actor_importance(M.titles(_colls(spark, sf_dir)), k=10, by=by)
-        return _explode(df, ["actorName", "overallAvgRating", "totalTitles", _r6("weightedImportance")],
+            df = M.actor_importance(_titles(spark, sf_dir), k=10, by=by)
+        return _explode(df, ["actorName", "overallAvgRating", "totalTitles", "weightedImportance"],
                         "perTitleType",
                         [F.col("e.titleType").alias("titleType"), F.col("e.avgRating").alias("avgRating"),
                          F.col("e.numTitles").alias("numTitles")])
@@ -181,9 +227,8 @@ def q_credits_per_person(spark, sf_dir, from_tables: bool = False):
     if from_tables:
         df = flat.credits_per_person(catalogue_from_driver_tables(spark, sf_dir))
     else:
-        colls = _colls(spark, sf_dir)
-        df = M.credits_per_person(colls.movies, colls.tvSeries)
-    return df.select("nconst", "primaryName", "movieCount", "tvSeriesCount", "overallCount", _r6("avgRating"))
+        df = credits_per_person_over(_titles(spark, sf_dir))
+    return df.select("nconst", "primaryName", "movieCount", "tvSeriesCount", "overallCount", "avgRating")
 
 
 def q_top_series_episodes(spark, sf_dir, from_tables: bool = False):
@@ -213,7 +258,7 @@ def q_episode_runtime_per_series(spark, sf_dir, from_tables: bool = False):
         df = flat.episode_runtime_per_series(catalogue_from_driver_tables(spark, sf_dir))
     else:
         df = M.episode_runtime_per_series(_colls(spark, sf_dir).tvSeries)
-    return df.select("title", _r6("avgEpisodeRuntime"), "episodeCount")
+    return df.select("title", "avgEpisodeRuntime", "episodeCount")
 
 
 def q_search_titles(spark, sf_dir, from_tables: bool = False):
@@ -221,7 +266,24 @@ def q_search_titles(spark, sf_dir, from_tables: bool = False):
         df = flat.search_titles(catalogue_from_driver_tables(spark, sf_dir), SEARCH_PATTERN)
     else:
         df = M.search_titles(_colls(spark, sf_dir).tvSeries, SEARCH_PATTERN)
-    return df.select(*_series_doc_cols(), _size("episodes").alias("episode_count"))
+    return df.select(*_series_doc_cols(), *_contents())
+
+
+def q_credits_per_person_of_collections(spark, sf_dir):
+    """Q6 over the movies and series collections."""
+    colls = _colls(spark, sf_dir)
+    df = M.credits_per_person(colls.movies, colls.tvSeries)
+    return df.select("nconst", "primaryName", "movieCount", "tvSeriesCount", "overallCount", "avgRating")
+
+
+def q_movies_characters_list(spark, sf_dir):
+    """C18: credits with their characters parsed into lists."""
+    cat = catalogue_from_driver_tables(spark, sf_dir)
+    rows = title_rows(cat, "movie")
+    people = principals_by_title(cat, titles=rows, characters_as_list=True)
+    characters = F.array_join("e.characters", "|").alias("characters")
+    return _explode(title_collection(cat, "movie", people, rows), ["tconst"], "people",
+                    [F.col("e.ordering").alias("ordering"), F.col("e.nconst").alias("nconst"), characters])
 
 
 # ---------------------------------------------------------------- single operators
@@ -265,7 +327,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "credits_per_person_from_tables": lambda spark, sf_dir: q_credits_per_person(spark, sf_dir, True),
     "people_with_titles_from_tables": lambda spark, sf_dir: q_people_with_titles(spark, sf_dir, True),
     "top_series_episodes_from_tables": lambda spark, sf_dir: q_top_series_episodes(spark, sf_dir, True),
-    "titles_view_from_tables": lambda spark, sf_dir: q_titles_view(spark, sf_dir, True),
+    "titles_view_from_tables": q_titles_view_from_tables,
+    "view_titles_sql": q_view_titles_sql,
+    "movies_characters_list": q_movies_characters_list,
+    "people_with_title_lists": q_people_with_title_lists,
+    "people_with_titles_of_collections": q_people_with_titles_of_collections,
+    "credits_per_person_of_collections": q_credits_per_person_of_collections,
     "titles_up_to_credit_from_tables": lambda spark, sf_dir: q_titles_up_to_credit(spark, sf_dir, True),
     "titles_credited_from_tables": lambda spark, sf_dir: q_titles_credited(spark, sf_dir, True),
     "top_episodes_of_from_tables": lambda spark, sf_dir: q_top_episodes_of(spark, sf_dir, True),

@@ -23,7 +23,7 @@ def local_session(cpus: int | str = "8", shuffle_partitions: int | None = None)
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("MARQUEE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("MARQUEE_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -62,8 +62,23 @@ def field_min(arr: Column | str, path: str, where: Pred | None = None) -> Column
 
 
 def concat_arrays(*arrs: Column | str) -> Column:
-    """Concatenate arrays treating a null operand as empty."""
-    return F.concat(*[F.coalesce(_col(a), F.array()) for a in arrs])
+    """Concatenate arrays, a null one counting as empty."""
+    return F.flatten(F.filter(F.array(*[_col(a) for a in arrs]), lambda a: a.isNotNull()))
+
+
+#: Ratings are added up as decimals with four places and up to fourteen digits
+#: before the point, so a sum is the same in any order.
+EXACT = "decimal(8,4)"
+
+
+def exact_sum(c: Column | str) -> Column:
+    """Sum of ratings (an aggregate) that does not depend on the order of rows."""
+    return F.sum(_col(c).cast(EXACT))
+
+
+def exact_mean(total: Column, n: Column) -> Column:
+    """A decimal sum over a count, divided once, as a double; null for none."""
+    return F.try_divide(total.cast("double"), n)
 
 
 def round_half_even(c: Column | str, scale: int = 2) -> Column:

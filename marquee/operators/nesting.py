@@ -29,9 +29,12 @@ def unwind(df: DataFrame, path: str, as_name: str | None = None, position: str |
     """One row per element of the array at ``path``; the element takes the
     array's place (or ``as_name``). Rows whose array is null or empty vanish.
 
-    ``position`` also keeps the element's 0-based index.
+    ``position`` also keeps the element's 0-based index. An element taken from
+    inside a struct must not take another column's name: give ``as_name``.
     """
     target = as_name or path.split(".")[-1]
+    if target in df.columns and target != path:
+        raise ValueError(f"unwind({path!r}) would replace the column {target!r}; pass as_name")
     others = [F.col(c) for c in df.columns if c != target]
     if position:
         return df.select(*others, F.posexplode(path).alias(position, target))
@@ -95,8 +98,8 @@ def lookup_array(
     """Resolve a delimited id list into an array of ``struct(dim_key, fields)``.
 
     Keeps the list's own order (via the element position), keeps ids that have
-    no match in ``dim`` with null fields, and leaves rows whose list is null or
-    empty with a null array. ``id_list`` is removed from the output.
+    no match in ``dim`` with null fields, and leaves rows whose list is null with
+    a null array. An empty list is one element with the id ``''``. ``id_list`` is removed from the output.
     """
     ids = F.split(F.col(id_list), sep)
     exploded = df.select(key, F.posexplode(ids).alias("_pos", "_id"))
@@ -135,9 +138,11 @@ def attach_grouped(
     key into a duplicate-free array sorted by (``_src``, ``order_by``, other
     fields), and attach it to ``left`` (left outer); no match gives ``[]``.
 
-    ``collect_set`` drops duplicates already in the map-side partial
-    aggregate, so a pair repeated many times never piles up in one task.
+    Pairs of keys that ``left`` lacks are dropped before anything is gathered.
+    ``collect_set`` drops duplicates already in the partial aggregate, so a
+    pair repeated many times never piles up in one array.
     """
+    pairs = pairs.join(left.select(left_key), left_key, "left_semi")
     if "_src" not in pairs.columns:
         pairs = pairs.withColumn("_src", F.lit(0))
     field_names = [c for c in pairs.columns if c not in (left_key, "_src")]

@@ -23,16 +23,16 @@ from marquee.sources.tables import Catalogue
 # The title types that get a collection, and their collection names.
 TITLE_TYPES = {"movie": "movies", "tvSeries": "tvSeries", "short": "shorts"}
 
-# Fields of one credit inside a title's ``people`` array, in document order.
+# Fields of one credit inside a title's ``people`` array, in document order.
 PEOPLE_FIELDS = [
     "ordering", "name", "category", "job", "characters",
     "nconst", "birthYear", "deathYear", "primaryProfession",
 ]
 
-# Columns of the movies and shorts collections, in document order.
+# Columns of the movies and shorts collections, in document order.
 SHORT_COLUMNS = ["tconst", "title", "originalTitle", "isAdult", "year", "runtimeMinutes", "genres", "people", "rating"]
 
-# Fields of one episode inside a series' ``episodes`` array, in document order.
+# Fields of one episode inside a series' ``episodes`` array, in document order.
 EPISODE_FIELDS = ["Title", "isAdult", "year", "runtime", "ordering", "rating"]
 
 

@@ -14,7 +14,7 @@ returns from collections, and both routes are checked against the same
 oracle. Where the flat tables allow more, the plan differs: credit and
 episode queries (Q3, Q6, Q10) reduce rows per person or per parent with
 map-side partials before the lookup joins, and top-k queries (Q7, Q9) rank
-narrow rows and broadcast their winners (see PLANS.md).
+narrow rows and look up their winners (see PLANS.md).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.arrays import sort_column
+from marquee.functions.arrays import exact_mean, exact_sum, sort_column
 from marquee.operators.nesting import attach_grouped, collect_sorted, embed_children
 from marquee.plans.collections import (
     EPISODE_FIELDS, PEOPLE_FIELDS, SHORT_COLUMNS, credits_with_people, episode_rows, people_collection,
@@ -30,7 +30,7 @@ from marquee.plans.collections import (
 )
 from marquee.plans import queries as Q
 from marquee.plans.queries import (
-    ACTING, EPISODE_RANK, best_series, credit_count_order, rank_per_type, with_top_episodes,
+    ACTING, EPISODE_RANK, best_series, credit_count_order, rank_per_actor, with_top_episodes,
 )
 from marquee.plans.views import VIEW_TAGS
 from marquee.sources.tables import Catalogue
@@ -50,16 +50,16 @@ def rated_titles(cat: Catalogue, types: list[str]) -> DataFrame:
 
 def acting_per_person(cat: Catalogue) -> DataFrame:
     """Q3 input from the flat tables, reduced per person and title type:
-    ``nconst, titleType, _sum, _n`` (sum and count of the ratings of the
-    person's acting credits on rated titles). The credits cross one shuffle,
+    ``nconst`` and, for each title type, the sum and count of the ratings of
+    the person's acting credits on rated titles. The credits cross one shuffle,
     to meet their titles. They are then reduced with map-side partials, so a
     person holding a third of all credits becomes a handful of rows per task.
     Only those rows look up the person's name."""
     credits = cat.title_principals.filter(F.col("category").isin(*ACTING)).select("tconst", "nconst")
     rows = credits.join(rated_titles(cat, list(TYPE_TAGS)), "tconst")
     tag = F.create_map(*[F.lit(x) for kv in TYPE_TAGS.items() for x in kv])[F.col("titleType")]
-    return rows.groupBy("nconst", tag.alias("titleType")).agg(
-        F.sum("rating").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    return rows.select("nconst", tag.alias("titleType"), F.col("rating").alias("r")).groupBy("nconst").agg(
+        *Q.sums_per_type())
 
 
 def actor_importance(cat: Catalogue, k: int = 10, by: str = "name") -> DataFrame:
@@ -74,9 +74,8 @@ def actor_importance(cat: Catalogue, k: int = 10, by: str = "name") -> DataFrame
         per = per.withColumn("actorName", F.col("nconst"))
     else:
         raise ValueError(f"by must be 'name' or 'nconst', not {by!r}")
-    per_type = per.groupBy("actorName", "titleType").agg(
-        (F.sum("_sum") / F.sum("_n")).alias("avgRating"), F.sum("_n").alias("numTitles"))
-    return rank_per_type(per_type, k)
+    per_actor = per.groupBy("actorName").agg(*Q.sums_of_sums())
+    return rank_per_actor(per_actor, k)
 
 
 def credits_per_person(cat: Catalogue) -> DataFrame:
@@ -88,13 +87,13 @@ def credits_per_person(cat: Catalogue) -> DataFrame:
         F.count_if(F.col("titleType") == "movie").alias("movieCount"),
         F.count_if(F.col("titleType") == "tvSeries").alias("tvSeriesCount"),
         F.count(F.lit(1)).alias("overallCount"),
-        F.sum("rating").alias("_sum"),
+        exact_sum("rating").alias("_sum"),
         F.count("rating").alias("_n"),
     )
     named = per.join(cat.name_basics.select("nconst", "primaryName"), "nconst", "left")
     return named.select(
         "nconst", "primaryName", "movieCount", "tvSeriesCount", "overallCount",
-        F.try_divide(F.col("_sum"), F.col("_n")).alias("avgRating"),
+        exact_mean(F.col("_sum"), F.col("_n")).alias("avgRating"),
     ).orderBy(*credit_count_order())
 
 
@@ -137,15 +136,24 @@ def episode_runtime_per_series(cat: Catalogue) -> DataFrame:
     return per_title.orderBy(*Q.runtime_order())
 
 
+#: Parts that one parent's rows are ranked in before they meet.
+BUCKETS = 64
+
+
 def best_children(rows: DataFrame, parent_key: str, n: int, keys=EPISODE_RANK) -> DataFrame:
     """The ``n`` best rows of each parent by ``keys``, as rows.
 
-    ``row_number() <= n`` over the parent lets Spark insert a group limit in
-    every map task ahead of the shuffle (``WindowGroupLimit``, partial then
-    final). So a parent with a third of all rows ships at most ``n`` rows per
-    task, and no task ever holds all of its rows."""
-    w = Window.partitionBy(parent_key).orderBy(*[sort_column(k) for k in keys])
-    return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    Rows are first ranked within (parent, one of ``BUCKETS`` by a hash of the
+    row), and each bucket keeps ``n``; then the parent's kept rows are ranked. So
+    a parent with a third of all rows is spread over many tasks, and the last
+    one holds at most ``n`` times ``BUCKETS`` rows of it, whatever ``n`` is."""
+    order = [sort_column(k) for k in keys]
+    bucket = F.pmod(F.xxhash64(*rows.columns), F.lit(BUCKETS))
+    for by in ([parent_key, "_bucket"], [parent_key]):
+        w = Window.partitionBy(*by).orderBy(*order)
+        rows = (rows if "_bucket" in rows.columns else rows.withColumn("_bucket", bucket)).withColumn(
+            "_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    return rows.drop("_bucket")
 
 
 def _rated_ids(cat: Catalogue, title_type: str) -> DataFrame:
@@ -161,14 +169,14 @@ def top_series_episodes(cat: Catalogue, min_votes: int = 10000, n_series: int =
     the best ``n_episodes`` episodes of those series.
 
     The series are ranked on their ids and ratings alone. The chosen keys are
-    a top-k result, at most ``n_series`` rows, so broadcasting them is safe at
-    any data size. They carry their ``rating`` and select the series rows and
-    the episodes before any shuffle of those rows. Episodes are ranked as rows
+    a top-k result whose row limit Catalyst knows, so it broadcasts them where
+    they are small and shuffles them where ``n_series`` is huge. They carry their
+    ``rating`` and select the series rows and the episodes. Episodes are ranked as rows
     (:func:`best_children`), so the nested arrays never hold more than
     ``n_episodes`` elements."""
     ranked = best_series(_rated_ids(cat, "tvSeries"), min_votes, n_series)  # tconst, rating
-    best = title_rows(cat, "tvSeries").join(F.broadcast(ranked), "tconst")
-    parents = F.broadcast(ranked.select(F.col("tconst").alias("parentTconst")))
+    best = title_rows(cat, "tvSeries").join(ranked, "tconst")
+    parents = ranked.select(F.col("tconst").alias("parentTconst"))
     eps = best_children(episode_rows(cat, parents), "parentTconst", n_episodes)
     return with_top_episodes(embed_children(best, eps, "tconst", "parentTconst", EPISODE_FIELDS, "episodes"),
                              n_episodes)
@@ -182,11 +190,11 @@ def _movie_rows(cat: Catalogue) -> DataFrame:
 def top_rated(cat: Catalogue, min_rating: float = 9.0, min_votes: int = 1000, k: int = 10) -> DataFrame:
     """Q9 from the flat tables: rank movies on their ids and ratings alone,
     then build documents, credits included, for the ``k`` winners only. The
-    winners, at most ``k`` rows with their ``rating``, are broadcast: they
-    select the movie rows and the credits before any shuffle of either."""
+    winners carry their ``rating`` and select the movie rows and the credits;
+    Catalyst knows their limit and broadcasts them where ``k`` is small."""
     ranked = Q.top_rated(_rated_ids(cat, "movie"), min_rating, min_votes, k)  # tconst, rating
-    best = title_rows(cat, "movie").join(F.broadcast(ranked), "tconst")
-    people = principals_by_title(cat, titles=F.broadcast(ranked.select("tconst")))
+    best = title_rows(cat, "movie").join(ranked, "tconst")
+    people = principals_by_title(cat, titles=ranked.select("tconst"))
     return best.join(people, "tconst", "left").select(*SHORT_COLUMNS).orderBy(
         F.desc_nulls_last("rating.averageRating"), F.desc_nulls_last("rating.numVotes"), F.asc("tconst"))
 

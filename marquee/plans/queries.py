@@ -11,15 +11,21 @@ of exploding the whole credit struct, so the scan reads two leaves only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.arrays import asc, desc, elem_match, field_min, round_half_even, top_k_elements
+from marquee.functions.arrays import (
+    asc, desc, elem_match, elements_where, exact_mean, exact_sum, field_min, round_half_even, top_k_elements,
+)
 from marquee.operators.sets import union_with
 from marquee.operators.topk import top_k
 
 # Credit categories counted as acting credits.
 ACTING = ("actor", "actress")
+# The title types of the ``titles`` documents, in sort order.
+TYPE_ORDER = ("movies", "short", "tvSeries")
 
 
 def _leaves(arr: str, *fields: str) -> Column:
@@ -32,7 +38,7 @@ def rating_per_genre(movies: DataFrame) -> DataFrame:
     movies (unrated included); movies without genres drop out."""
     rows = movies.select(F.explode("genres").alias("genre"), F.col("rating.averageRating").alias("r"))
     return rows.groupBy("genre").agg(
-        F.avg("r").alias("avgRating"),
+        exact_mean(exact_sum("r"), F.count("r")).alias("avgRating"),
         F.count(F.lit(1)).alias("totalMovies"),
     ).orderBy(F.desc_nulls_last("avgRating"), F.asc_nulls_first("genre"))
 
@@ -42,34 +48,52 @@ def acting_rows(titles: DataFrame, by: str = "name") -> DataFrame:
     ``titleType, r`` (the title's rating) and ``actorName`` (the credit's
     ``by`` field). Credits are filtered inside the array before exploding."""
     rated = titles.filter(F.col("rating.averageRating").isNotNull())
-    acting = F.filter(_leaves("people", "category", by), lambda p: p["category"].isin(*ACTING))
+    acting = elements_where(_leaves("people", "category", by), lambda p: p["category"].isin(*ACTING))
     rows = rated.select("titleType", F.col("rating.averageRating").alias("r"), F.explode(acting).alias("p"))
     return rows.select("titleType", "r", F.col("p")[by].alias("actorName"))
 
 
+def sums_per_type(tags: tuple[str, ...] = TYPE_ORDER) -> list[Column]:
+    """Q3 aggregates over rows of ``titleType, r``: an exact sum and a count
+    per title type, as columns, so that one grouping serves both levels."""
+    def of(tag: str, c: Column) -> Column:
+        return F.when(F.col("titleType") == tag, c)
+
+    return [x for t in tags for x in (exact_sum(of(t, F.col("r"))).alias(f"_sum_{t}"),
+                                      F.count(of(t, F.lit(1))).alias(f"_n_{t}"))]
+
+
+def sums_of_sums(tags: tuple[str, ...] = TYPE_ORDER) -> list[Column]:
+    """The same columns, added up over rows that have them."""
+    return [F.sum(f"{c}_{t}").alias(f"{c}_{t}") for t in tags for c in ("_sum", "_n")]
+
+
 def rank_actors(rows: DataFrame, k: int = 10) -> DataFrame:
-    """Q3 aggregation over :func:`acting_rows`: per (actor, type) mean and
-    count, then per actor the mean of those means, the credit total and
-    importance = mean × total; best ``k``. Both aggregations are hash
-    aggregates with map-side partials, so a hot actor (or the null-name group
-    of unknown people) is combined before the shuffle."""
-    per_type = rows.groupBy("actorName", "titleType").agg(
-        F.avg("r").alias("avgRating"), F.count(F.lit(1)).alias("numTitles")
-    )
-    return rank_per_type(per_type, k)
-
-
-def rank_per_type(per_type: DataFrame, k: int = 10) -> DataFrame:
-    """Q3, second level, over ``actorName, titleType, avgRating, numTitles``
-    (one row per actor and title type)."""
-    per_actor = per_type.groupBy("actorName").agg(
-        F.avg("avgRating").alias("overallAvgRating"),
-        F.sum("numTitles").alias("totalTitles"),
-        F.sort_array(F.collect_list(F.struct(
-            "titleType", round_half_even("avgRating", 2).alias("avgRating"), "numTitles"
-        ))).alias("perTitleType"),
+    """Q3 aggregation over :func:`acting_rows`: per actor and title type mean
+    and count, then the mean of those means, the credit total and importance =
+    mean × total; best ``k``. One hash aggregate with map-side partials, so a hot
+    actor (or the null-name group of unknown people) is combined before the
+    only shuffle."""
+    return rank_per_actor(rows.groupBy("actorName").agg(*sums_per_type()), k)
+
+
+def rank_per_actor(per_actor: DataFrame, k: int = 10, tags: tuple[str, ...] = TYPE_ORDER) -> DataFrame:
+    """Q3, second level, over ``actorName`` and the columns of
+    :func:`sums_per_type`. Sums are exact and the few means are added in one
+    fixed order, so equal groups have equal bytes in any layout."""
+    means = {t: exact_mean(F.col(f"_sum_{t}"), F.col(f"_n_{t}")) for t in tags}
+    added = reduce(lambda a, b: a + b, [F.coalesce(means[t], F.lit(0.0)) for t in tags])
+    present = reduce(lambda a, b: a + b, [(F.col(f"_n_{t}") > 0).cast("int") for t in tags])
+    parts = F.array(*[F.when(F.col(f"_n_{t}") > 0, F.struct(
+        F.lit(t).alias("titleType"), round_half_even(means[t], 2).alias("avgRating"),
+        F.col(f"_n_{t}").alias("numTitles"))) for t in tags])
+    rows = per_actor.select(
+        "actorName",
+        (added / present).alias("overallAvgRating"),
+        reduce(lambda a, b: a + b, [F.col(f"_n_{t}") for t in tags]).alias("totalTitles"),
+        elements_where(parts, lambda p: p.isNotNull()).alias("perTitleType"),
     ).withColumn("weightedImportance", F.col("overallAvgRating") * F.col("totalTitles"))
-    best = top_k(per_actor, k, F.desc_nulls_last("weightedImportance"), F.asc_nulls_first("actorName"))
+    best = top_k(rows, k, F.desc_nulls_last("weightedImportance"), F.asc_nulls_first("actorName"))
     return best.select(
         "actorName",
         round_half_even("overallAvgRating", 2).alias("overallAvgRating"),
@@ -109,7 +133,7 @@ def titles_up_to_credit(movies: DataFrame, name: str, category: str = "director"
     as null sorts below every number in document stores."""
     match = _credited(name, category)
     hit = movies.filter(elem_match("people", match)).withColumn("_cut", field_min("people", "ordering", match))
-    kept = F.filter("people", lambda p: p["ordering"].isNull() | (p["ordering"] <= F.col("_cut")))
+    kept = elements_where("people", lambda p: p["ordering"].isNull() | (p["ordering"] <= F.col("_cut")))
     return hit.select("tconst", "title", "rating", kept.alias("people")).orderBy(*_by_rating())
 
 
@@ -139,7 +163,7 @@ def count_credits(rows: DataFrame) -> DataFrame:
         F.count_if(F.col("type") == "movie").alias("movieCount"),
         F.count_if(F.col("type") == "tvSeries").alias("tvSeriesCount"),
         F.count(F.lit(1)).alias("overallCount"),
-        F.sum("rating").alias("ratingSum"),
+        exact_sum("rating").alias("ratingSum"),
         F.count("rating").alias("ratingCount"),
     )
     return partial.groupBy("nconst").agg(
@@ -147,7 +171,7 @@ def count_credits(rows: DataFrame) -> DataFrame:
         F.sum("movieCount").alias("movieCount"),
         F.sum("tvSeriesCount").alias("tvSeriesCount"),
         F.sum("overallCount").alias("overallCount"),
-        F.try_divide(F.sum("ratingSum"), F.sum("ratingCount")).alias("avgRating"),
+        exact_mean(F.sum("ratingSum"), F.sum("ratingCount")).alias("avgRating"),
     ).orderBy(*credit_count_order())
 
 
@@ -163,6 +187,18 @@ def credits_per_person(movies: DataFrame, series: DataFrame) -> DataFrame:
     return count_credits(person_credit_rows(movies, series))
 
 
+def credits_per_person_over(titles: DataFrame) -> DataFrame:
+    """Q6 over the unified ``titles`` documents: the same rows as from the
+    movies and series collections, with the credits nested once."""
+    rated = titles.filter(F.col("titleType").isin("movies", "tvSeries") & F.col("rating.averageRating").isNotNull())
+    rows = rated.select(
+        F.explode(_leaves("people", "nconst", "name")).alias("p"),
+        F.col("rating.averageRating").alias("rating"),
+        F.when(F.col("titleType") == "movies", "movie").otherwise("tvSeries").alias("type"),
+    )
+    return count_credits(rows.select(F.col("p.nconst").alias("nconst"), F.col("p.name").alias("primaryName"), "rating", "type"))
+
+
 # Episode order for "best episodes": rating, then votes, then position.
 EPISODE_RANK = (
     desc("rating.averageRating"), desc("rating.numVotes"),
@@ -170,6 +206,7 @@ EPISODE_RANK = (
     asc("year"), asc("runtime"), asc("isAdult"),
 )
 
+# Columns of a series document without its nested lists, in document order.
 SERIES_COLUMNS = ["tconst", "title", "originalTitle", "isAdult", "startYear", "endYear",
                   "runtimeMinutes", "genres", "rating"]
 

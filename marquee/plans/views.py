@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators.nesting import lookup_in_array
+from marquee.functions.arrays import concat_arrays
+from marquee.operators.nesting import attach_grouped, invert_array, lookup_in_array
 from marquee.operators.sets import union_with
 from marquee.sources.collections import Collections
 
@@ -54,6 +55,29 @@ def people_with_titles(colls: Collections) -> DataFrame:
     return lookup_in_array(colls.people, "nconst", sources, "allTitles", order_by=["tconst"])
 
 
+def people_with_titles_over(people: DataFrame, all_titles: DataFrame) -> DataFrame:
+    """Q11 over the unified ``titles`` documents: the same rows as over the
+    three collections, with the credits nested once."""
+    rank = F.create_map(*[F.lit(x) for kv in {"movies": 0, "tvSeries": 1, "short": 2}.items() for x in kv])
+    fields = [rank[F.col("titleType")].alias("_src"), F.col("tconst"), F.col("title"), F.col("startYear"), F.col("endYear")]
+    pairs = invert_array(all_titles, "people.nconst", fields, "nconst")
+    return attach_grouped(people, "nconst", pairs, "allTitles", ["tconst"])
+
+
+def people_with_title_lists(colls: Collections) -> DataFrame:
+    """Q11 as separate lists per collection (``movieTitles``, ``seriesTitles``,
+    ``shortTitles``) joined into ``allTitles``."""
+    out = colls.people
+    lists = []
+    for name, df, year, end in (("movieTitles", colls.movies, "year", None), ("seriesTitles", colls.tvSeries, "startYear", "endYear"),
+                                ("shortTitles", colls.shorts, "year", None)):
+        end_year = (F.col(end) if end else F.lit(None).cast("int")).alias("endYear")
+        fields = [F.col("tconst"), F.col("title"), F.col(year).alias("startYear"), end_year]
+        out = lookup_in_array(out, "nconst", [(df, "people.nconst", fields)], name, order_by=["tconst"])
+        lists.append(name)
+    return out.withColumn("allTitles", concat_arrays(*lists)).drop(*lists)
+
+
 def register_views(spark: SparkSession, colls: Collections) -> None:
     """Expose the collections and both views to SQL as temp views."""
     for name, df in colls.items().items():

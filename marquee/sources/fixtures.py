@@ -3,7 +3,8 @@
 Mapping: orders become movies, shorts and episodes (by order status),
 customers become series, suppliers become people, line items become credits.
 The expressions plant nulls, unknown ids, duplicate credits and blanks so that
-every edge case of the nesting code appears at every scale.
+every edge case of the nesting code appears at every scale. No row is dropped:
+ids outside the catalogue (``nx``, ``tx``) plant the unknown ones.
 """
 
 from __future__ import annotations
@@ -83,8 +84,8 @@ def title_basics(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def name_basics(supplier: DataFrame) -> DataFrame:
-    return _select(supplier.filter("s_suppkey % 17 <> 5"), {
-        "nconst": "concat('nm', s_suppkey)",
+    return _select(supplier, {
+        "nconst": "concat(CASE WHEN s_suppkey % 17 = 5 THEN 'nx' ELSE 'nm' END, s_suppkey)",
         "primaryName": "concat('Person ', s_suppkey % 95)",
         "birthYear": "CASE WHEN s_suppkey % 8 = 0 THEN NULL ELSE CAST(1900 + s_suppkey % 100 AS INT) END",
         "deathYear": "CASE WHEN s_suppkey % 3 = 0 THEN CAST(1980 + s_suppkey % 40 AS INT) ELSE NULL END",
@@ -96,9 +97,10 @@ def name_basics(supplier: DataFrame) -> DataFrame:
 
 
 def title_episode(orders: DataFrame) -> DataFrame:
-    return _select(orders.filter("o_orderstatus NOT IN ('F', 'P') AND o_custkey % 11 <> 0"), {
+    return _select(orders.filter("o_orderstatus NOT IN ('F', 'P')"), {
         "tconst": "concat('tt', o_orderkey)",
-        "parentTconst": "CASE WHEN o_orderkey % 100 = 0 THEN NULL ELSE concat('tc', o_custkey) END",
+        "parentTconst": "CASE WHEN o_orderkey % 100 = 0 THEN NULL WHEN o_custkey % 11 = 0 THEN concat('tx', o_custkey)"
+                        " ELSE concat('tc', o_custkey) END",
         "seasonNumber": "CASE WHEN o_orderkey % 12 = 0 THEN NULL ELSE CAST(year(o_orderdate) - 1991 AS INT) END",
         "episodeNumber": "CASE WHEN o_orderkey % 12 = 0 THEN NULL ELSE CAST(month(o_orderdate) AS INT) END",
     })
@@ -112,8 +114,8 @@ def title_principals(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         "d": "l_suppkey",
         "nconst": "concat('nm', l_suppkey)",
         "c": "l_partkey % 5",
-    }).unionByName(_select(orders.filter("o_orderkey % 4 = 0"), {
-        "tconst": "concat('tc', o_custkey)",
+    }).unionByName(_select(orders, {
+        "tconst": "concat(CASE WHEN o_orderkey % 4 = 0 THEN 'tc' ELSE 'tx' END, o_custkey)",
         "a": "o_orderkey",
         "b": "CAST(0 AS BIGINT)",
         "d": "CAST(0 AS BIGINT)",
@@ -134,12 +136,12 @@ def title_principals(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def title_ratings(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    return _select(orders.filter("o_orderkey % 5 <> 0"), {
-        "tconst": "concat('tt', o_orderkey)",
+    return _select(orders, {
+        "tconst": "concat(CASE WHEN o_orderkey % 5 = 0 THEN 'tx' ELSE 'tt' END, o_orderkey)",
         "averageRating": "CAST(10 + o_orderkey * 7919 % 91 AS DOUBLE) / 10",
         "numVotes": "CAST(o_orderkey * 104729 % 20000 AS INT)",
-    }).unionByName(_select(customer.filter("c_custkey % 5 <> 0"), {
-        "tconst": "concat('tc', c_custkey)",
+    }).unionByName(_select(customer, {
+        "tconst": "concat(CASE WHEN c_custkey % 5 = 0 THEN 'txc' ELSE 'tc' END, c_custkey)",
         "averageRating": "CAST(10 + c_custkey * 7919 % 91 AS DOUBLE) / 10",
         "numVotes": "CAST(c_custkey * 104729 % 20000 AS INT)",
     }))

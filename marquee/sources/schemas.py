@@ -16,6 +16,7 @@ def _schema(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(name, dtype(), True) for name, dtype in fields])
 
 
+# The columns of the public tables, in file order.
 TITLE_BASICS = _schema(
     ("tconst", StringType),
     ("titleType", StringType),

@@ -47,14 +47,16 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "tsv") -> D
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def load_catalogue(spark: SparkSession, base: str, fmt: str = "tsv") -> Catalogue:
+def load_catalogue(spark: SparkSession, base: str, fmt: str = "tsv", suffix: str = "") -> Catalogue:
     """Load all five tables from ``base``.
 
-    Text tables are found as ``<base>/title.basics.tsv*`` (plain or ``.gz``);
-    Parquet tables as ``<base>/<table name>``.
+    Text tables are the files ``<base>/title.basics.tsv`` and so on, with
+    ``suffix=".gz"`` their gzipped forms; other formats are read from
+    ``<base>/<table name>``. Paths are exact, so a folder that holds both forms
+    is read once; a missing file is Spark's PATH_NOT_FOUND error.
     """
     paths = {
-        name: (f"{base}/{FILE_NAMES[name]}*" if fmt == "tsv" else f"{base}/{name}")
+        name: (f"{base}/{FILE_NAMES[name]}{suffix}" if fmt == "tsv" else f"{base}/{name}")
         for name in SCHEMAS
     }
     return Catalogue(**{name: read_table(spark, name, p, fmt) for name, p in paths.items()})

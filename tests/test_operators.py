@@ -1,5 +1,6 @@
 """DataFrame operators: nest/unwind, grouping into arrays, lookups, unions."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from marquee.functions import asc, desc
@@ -107,3 +108,10 @@ def test_characters_as_list(spark):
     colls, _ = M.build_collections(cat, characters_as_list=True)
     people = colls.movies.first().people
     assert people[0].characters == ['A "B"', "C"] and people[1].characters is None
+
+
+def test_unwind_keeps_other_columns(spark):
+    df = spark.sql("SELECT named_struct('b', array(1, 2)) AS a, 5 AS b")
+    with pytest.raises(ValueError, match="as_name"):
+        unwind(df, "a.b")
+    assert [(r.b, r.x) for r in unwind(df, "a.b", as_name="x").collect()] == [(5, 1), (5, 2)]

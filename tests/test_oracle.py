@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from harness.compare import compare, duck
 
-from conftest import SF001, SF01
+from harness.oracle import ORACLE
+from harness.registry import QUERIES
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from conftest import SF001, SF01
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +20,15 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_result_can_be_written(spark, tmp_path, name):
+    df = QUERIES[name](spark, SF001)
+    names = [c.lower() for c in df.columns]
+    assert len(names) == len(set(names)), df.columns
+    df.limit(5).write.parquet(str(tmp_path / "out"))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

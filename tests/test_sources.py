@@ -3,6 +3,8 @@
 import gzip
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import marquee as M
@@ -37,23 +39,29 @@ def test_tsv_unbalanced_quote_null_token_bad_int(spark, tmp_path):
     assert rows["tt3"].nconst == '"nm3"'  # a quoted value keeps its quotes
 
 
-def test_load_catalogue_reads_plain_and_gzip(spark, tmp_path):
+def test_load_catalogue_reads_one_form_of_each_file(spark, tmp_path):
     base = str(tmp_path)
-    _write(f"{base}/title.basics.tsv", [
-        "tconst\ttitleType\tprimaryTitle\toriginalTitle\tisAdult\tstartYear\tendYear\truntimeMinutes\tgenres",
-        "tt1\tmovie\tA\tA\t0\t1999\t\\N\t90\tDrama,Comedy",
-    ])
-    _write(f"{base}/name.basics.tsv.gz", [
-        "nconst\tprimaryName\tbirthYear\tdeathYear\tprimaryProfession\tknownForTitles",
-        "nm1\tAnn\t1970\t\\N\tactor\ttt1",
-    ], gz=True)
-    for name in ("title.episode.tsv", "title.principals.tsv", "title.ratings.tsv"):
-        _write(f"{base}/{name}", ["header"])
-    cat = M.load_catalogue(spark, base)
-    assert cat.title_basics.first().genres == "Drama,Comedy"
-    assert cat.name_basics.first().primaryName == "Ann"
-    assert cat.title_ratings.count() == 0
-    assert {r.table: r.null_keys for r in check_keys(cat).collect()}["title_basics"] == 0
+    lines = {
+        "title.basics.tsv": [
+            "tconst\ttitleType\tprimaryTitle\toriginalTitle\tisAdult\tstartYear\tendYear\truntimeMinutes\tgenres",
+            "tt1\tmovie\tA\tA\t0\t1999\t\\N\t90\tDrama,Comedy"],
+        "name.basics.tsv": [
+            "nconst\tprimaryName\tbirthYear\tdeathYear\tprimaryProfession\tknownForTitles",
+            "nm1\tAnn\t1970\t\\N\tactor\ttt1"],
+        "title.episode.tsv": ["header"], "title.principals.tsv": ["header"], "title.ratings.tsv": ["header"],
+    }
+    for name, rows in lines.items():
+        _write(f"{base}/{name}", rows)
+        _write(f"{base}/{name}.gz", rows, gz=True)
+        _write(f"{base}/{name}.bak", rows)
+    for suffix in ("", ".gz"):
+        cat = M.load_catalogue(spark, base, suffix=suffix)
+        assert [r.genres for r in cat.title_basics.collect()] == ["Drama,Comedy"]
+        assert [r.primaryName for r in cat.name_basics.collect()] == ["Ann"]
+        assert cat.title_ratings.count() == 0
+        assert {r.table: r.null_keys for r in check_keys(cat).collect()}["title_basics"] == 0
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        M.load_catalogue(spark, base, suffix=".zst")
 
 
 def test_write_catalogue_round_trip(spark, tmp_path):
