@@ -36,12 +36,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words kept per worker before the table is emptied and filled anew.
-WORD_TABLE = 250_000
+WORD_TABLE = 600_000
 #: Texts encoded together.
 TOGETHER = 256
-#: Blanks that do not stand alone between other characters; such texts are
-#: encoded in one piece.
-IRREGULAR = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
+#: Signs that the library cuts off behind a letter, always.
+SIGNS = ".,;:!?&$%*#|"
+
+
+def is_regular(text: str) -> bool:
+    """Whether all blanks are single spaces or line breaks between other
+    characters; texts that are not so are encoded in one piece."""
+    if text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+        return False
+    return text.replace("\n", "").isprintable()  # of all kinds of blank, the space alone is printable
 
 
 class TextEncoder:
@@ -67,21 +74,34 @@ class TextEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def _learn(self, known: dict[str, bytes], parts: set[str], before: str) -> None:
-        new = [p for p in parts if p not in known]
+        """Add parts to a table; a word with signs behind it is the word's ids
+        and the signs' ids."""
+        new = parts.difference(known)
         if len(known) + len(new) > WORD_TABLE:
             known.clear()
-            new = list(parts)
-        known.update(zip(new, self._library([before + p for p in new]), strict=True))
+            new = parts
+        signed = {}
+        for p in new:
+            word = p.rstrip(SIGNS)
+            if word != p and word[-1:].isalpha():
+                signed[p] = word
+        plain = (new - signed.keys()).union(signed.values()).difference(known)
+        known.update(zip(plain, self._library([before + p for p in plain]), strict=True))
+        signs = {p[len(w):] for p, w in signed.items()}.difference(self.signs)
+        self.signs.update(zip(signs, self._library(list(signs)), strict=True))
+        for p, w in signed.items():
+            known[p] = known[w] + self.signs[p[len(w):]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``dtype``."""
         out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, t in enumerate(texts) if t and not (self.by_part and not IRREGULAR.search(t))]
+        whole = [i for i, t in enumerate(texts) if t and not (self.by_part and is_regular(t))]
         for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = ids
         left = set(whole)
