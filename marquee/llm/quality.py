@@ -26,9 +26,10 @@ from marquee.llm.common import held_out, over_batches, stored, unit_hash, utf8
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 #: Trees, and the rows that each is built from.
 TREES, TREE_ROWS = 100, 256
-#: Share of the good labelled rows that the threshold may drop, and the score
-#: from which rows are dropped where no row is labelled bad.
-MAX_GOOD_DROPPED, DEFAULT_THRESHOLD = 0.002, 0.75
+#: Share of the good labelled rows that the threshold may drop, how many it may
+#: drop of few, and the score from which rows are dropped where no row is
+#: labelled bad.
+MAX_GOOD_DROPPED, FEW, DEFAULT_THRESHOLD = 0.003, 3, 0.75
 BINS = 1000
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -165,8 +166,8 @@ def _base_failed():
 
 def threshold(scored: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> float:
     """The score that best tells labelled bad rows from good ones among those
-    that the fixed rules pass, dropping at most ``MAX_GOOD_DROPPED`` of the
-    good. From a histogram of ``BINS`` scores, counted over all labelled rows
+    that the fixed rules pass, dropping at most ``MAX_GOOD_DROPPED`` (or
+    ``FEW``) of the good. From a histogram of ``BINS`` scores, counted over all labelled rows
     that are not held out."""
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("label")).where(F.col("label").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.min("label").alias("label"))
     rows = scored.where(~_base_failed()).select("doc_id", F.floor(F.col("anomaly") * BINS).cast("int").alias("bin"))
@@ -177,7 +178,7 @@ def threshold(scored: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
     if not bad.sum() or not good.sum():
         return DEFAULT_THRESHOLD
     lost, caught = 1 - good.cumsum() / good.sum(), 1 - bad.cumsum() / bad.sum()  # by dropping from bin i on
-    allowed = lost <= MAX_GOOD_DROPPED
+    allowed = lost <= max(MAX_GOOD_DROPPED, FEW / good.sum())
     best = int(np.argmax(np.where(allowed, caught - lost, -1)))
     return best / BINS if caught[best] > lost[best] else DEFAULT_THRESHOLD
 
