@@ -19,7 +19,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 
 def _plan_text(df) -> str:
@@ -61,12 +60,12 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="marquee-plans-")
+    base = spark.sparkContext.getCheckpointDir() + "/plans"  # the session's shared folder
     M.write_catalogue(catalogue_from_driver_tables(spark, sf_dir), f"{base}/catalogue")
     cat = M.load_catalogue(spark, f"{base}/catalogue", fmt="parquet")
-    colls, shared = M.build_collections(cat)
-    M.write_collections(colls, f"{base}/collections", shared=shared)
-    stored = M.read_collections(spark, f"{base}/collections")
+    colls, _ = M.build_collections(cat)
+    M.write_partitioned_collections(cat, f"{base}/collections")
+    stored = M.read_partitioned_collections(spark, f"{base}/collections")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan, with exchange reuse applied
 
