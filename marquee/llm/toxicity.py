@@ -22,16 +22,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import bag_of_words, over_batches, stored, unit_hash
 
 #: Examples drawn per class, in expectation.
 PER_CLASS = 4_000
-#: Most words in a vector's vocabulary, the least chi-squared for one, and the
-#: fewest examples it must occur in.
-MAX_TERMS, MIN_CHI2, MIN_EXAMPLES = 512, 20.0, 3
+#: Most words in a vector's vocabulary, and the fewest examples that a word must
+#: occur in to be tested.
+MAX_TERMS, MIN_EXAMPLES = 512, 3
+#: A word is chosen if its likelihood ratio is this many times (as a power of e)
+#: what the luckiest of all tested words would have.
+MARGIN = 3.0
 NEIGHBOURS, BLOCK = 25, 64
 #: Bytes of a word's beginning that are a term of their own, as inflected words
 #: share them.
@@ -122,17 +126,28 @@ def text_terms(text: str | None) -> list[bytes]:
 
 
 def _words(rows: DataFrame) -> DataFrame:
+    """``id, label, word, n, context`` of each text's terms; the context is a
+    hash of the words around the first occurrence."""
+
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        words, who, label, n = [], [], [], []
+        terms, who, label, n, context = [], [], [], [], []
         for i, y, text in zip(*(c.to_pylist() for c in b.columns)):
+            words = bag_of_words(text)
+            around = {}
+            for k in range(len(words) - 1, -1, -1):
+                near = xxhash.xxh3_64_intdigest(b" ".join(words[max(k - 1, 0):k] + words[k + 1:k + 2])) >> 1
+                around[words[k]] = near
+                if len(words[k]) > BEGINNING:
+                    around[words[k][:BEGINNING] + b"*"] = near
             found = Counter(text_terms(text))
-            words.extend(w.decode("latin-1") for w in found)
+            terms.extend(w.decode("latin-1") for w in found)
             n.extend(found.values())
+            context.extend(around[w] for w in found)
             who.extend([i] * len(found))
             label.extend([y] * len(found))
-        return pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(label, pa.int32()), pa.array(words, pa.string()), pa.array(n, pa.int32())], ["id", "label", "word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(label, pa.int32()), pa.array(terms, pa.string()), pa.array(n, pa.int32()), pa.array(context, pa.int64())], ["id", "label", "word", "n", "context"])
 
-    return over_batches(rows, run, "id long, label int, word string, n int")
+    return over_batches(rows, run, "id long, label int, word string, n int, context long")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS) -> Index | None:
@@ -157,11 +172,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     if not pos or not neg:
         return None
-    per_word = found.groupBy("word").agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("p"), F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("q"))
+    # copies of one text are one place of its words: what counts is different surroundings
+    places = found.select("word", "label", "context").distinct()
+    per_word = places.groupBy("word").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("q"))
     p, q, total = F.col("p"), F.col("q"), pos + neg
-    gap = p * (neg - q) - q * (pos - p)
-    chi2 = (F.lit(float(total)) * gap * gap) / (F.lit(float(pos) * neg) * (p + q) * (total - p - q) + 1e-9)
-    chosen = per_word.where(p + q >= MIN_EXAMPLES).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "word").limit(MAX_TERMS).collect()
+
+    def part(n, of) -> Column:
+        return F.when(n > 0, n * F.log(n * float(total) / of)).otherwise(0.0)
+
+    here, away = (p + q).cast("double"), (total - p - q).cast("double")
+    ratio = part(p, here * pos) + part(q, here * neg) + part(pos - p, away * pos) + part(neg - q, away * neg)
+    tested = per_word.where(p + q >= MIN_EXAMPLES)
+    least = float(np.log(max(tested.count(), 1))) + MARGIN
+    chosen = tested.where(p * neg > q * pos).withColumn("ratio", ratio).where(F.col("ratio") >= least).orderBy(F.desc("ratio"), "word").limit(MAX_TERMS).collect()
     if not chosen:
         return None
     terms = [r["word"] for r in chosen]
