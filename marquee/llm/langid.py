@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import over_batches, spread, stored, unit_hash
+from marquee.llm.common import over_batches, spread, stored, uncollected, unit_hash
 
 UND = "und"
 START = "▁"  # the vocabulary's mark for the start of a word
@@ -37,7 +37,7 @@ TRAIN_DOCS = 2_000
 #: Share of a piece's probability that does not depend on the language, and the
 #: probability of a character outside the vocabulary.
 SHARED, UNKNOWN = 0.02, 1e-7
-WORD_TABLE = 500_000
+WORD_TABLE = 350_000
 SCALE = float(1 << 20)
 
 
@@ -64,25 +64,26 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.probs = dict(zip(model.pieces, map(tuple, model.probs.tolist()), strict=True))
+        # each piece's probabilities; None for what only begins pieces
+        self.pieces: dict[str, tuple | None] = {p[:k]: None for p in model.pieces for k in range(1, len(p))}
+        self.pieces.update(zip(model.pieces, map(tuple, model.probs.tolist()), strict=True))
         self.index = {p: i for i, p in enumerate(model.pieces)}
         self.longest = max(map(len, model.pieces), default=1)
-        self.heads = {p[:k] for p in model.pieces for k in range(1, len(p))}
         self.unknown = (UNKNOWN,) * len(model.langs)
         self.rows: dict[str, int] = {}
         self.table = np.zeros((1024, len(model.langs)))
+        self.old_rows, self.old_table = self.rows, self.table
 
     def arcs(self, s: str, i: int) -> Iterator[tuple[int, str | None, tuple]]:
         """Pieces that start at ``i``: end, piece, probabilities. A character
         outside the vocabulary is an arc of its own."""
-        probs, heads, known = self.probs, self.heads, False
-        for j in range(i + 1, min(len(s), i + self.longest) + 1):
-            piece = s[i:j]
-            p = probs.get(piece)
-            if p is not None:
+        known = False
+        for j in range(i + 1, len(s) + 1):
+            p = self.pieces.get(s[i:j], ())
+            if p:
                 known = known or j == i + 1
-                yield j, piece, p
-            if piece not in heads:
+                yield j, s[i:j], p
+            elif p is not None:
                 break
         if not known:
             yield i + 1, None, self.unknown
@@ -90,42 +91,52 @@ class Scorer:
     def word_logs(self, word: str) -> list[float]:
         """Log likelihood of a word in each language."""
         s = START + word
-        zero, n = [0.0] * len(self.model.langs), len(s)
+        get, nothing, n = self.pieces.get, (), len(s)
         at: list = [None] * (n + 1)
         at[0], off = [1.0] * len(self.model.langs), 0.0
         for i in range(n):
             a = at[i]
-            top = max(a)
-            if top < 1e-120:  # long words: scale what lies ahead
+            if not i & 7 and max(a) < 1e-120:  # long words: scale what lies ahead
+                top = max(a)
                 if top <= 0:
-                    return [-1e6] * len(zero)
+                    return [-1e6] * len(a)
                 for j in range(i, min(n, i + self.longest) + 1):
                     if at[j] is not None:
                         at[j] = [x / top for x in at[j]]
                 off, a = off + math.log(top), at[i]
-            for j, _, p in self.arcs(s, i):
-                b = at[j]
-                at[j] = [x * y for x, y in zip(a, p)] if b is None else [z + x * y for z, x, y in zip(b, a, p)]
+            j, p = i + 1, get(s[i], nothing)
+            b = at[j]
+            q = p or self.unknown  # a character outside the vocabulary
+            at[j] = [x * y for x, y in zip(a, q)] if b is None else [z + x * y for z, x, y in zip(b, a, q)]
+            while (p or p is None) and j < n:
+                j += 1
+                p = get(s[i:j], nothing)
+                if p:
+                    b = at[j]
+                    at[j] = [x * y for x, y in zip(a, p)] if b is None else [z + x * y for z, x, y in zip(b, a, p)]
             at[i] = None
-        return [off + math.log(max(x, 1e-300)) for x in at[n]]
+        return [off + math.log(x) if x > 0 else -1e6 for x in at[n]]
 
     def text_logs(self, text: str) -> np.ndarray | None:
         """Sum over the words of a text; None if it has no letters."""
         words = LETTERS.findall(text.lower())
         if not words:
             return None
-        if len(self.rows) > WORD_TABLE:
-            self.rows.clear()
-        rows, ids = self.rows, []
-        for w in words:
-            r = rows.get(w)
-            if r is None:
-                r = rows[w] = len(rows)
+        rows = self.rows
+        ids = list(map(rows.get, words))
+        if None in ids:
+            if len(rows) > WORD_TABLE:  # words in use move over to the new table
+                self.old_rows, self.old_table = rows, self.table
+                rows = self.rows = {}
+                self.table = np.zeros((WORD_TABLE // 4, len(self.model.langs)))
+            for w in set(words).difference(rows):
+                r, old = len(rows), self.old_rows.get(w)
+                rows[w] = r
                 if r >= len(self.table):
                     self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-                self.table[r] = self.word_logs(w)
-            ids.append(r)
-        return self.table[ids].sum(axis=0)
+                self.table[r] = self.word_logs(w) if old is None or self.old_rows is rows else self.old_table[old]
+            ids = list(map(rows.__getitem__, words))
+        return self.table[np.array(ids)].sum(axis=0)
 
     def expected(self, word: str, lang: int) -> Iterator[tuple[int, float]]:
         """Expected count of each piece in a word, given its language."""
@@ -230,7 +241,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for b in batches:
-            found = [best_language(scorer, t) for t in b.column(1).to_pylist()]
+            with uncollected():
+                found = [best_language(scorer, t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
