@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import over_batches
 
-#: Words kept per worker before the table is emptied and filled anew (a matter
-#: of memory only, never of results).
-WORD_TABLE = 600_000
+#: Words and tested pairs kept per worker before a table is emptied and filled
+#: anew (a matter of memory only, never of results).
+WORD_TABLE, PAIR_TABLE = 400_000, 200_000
 
 # How byte-level vocabularies spell bytes as characters, and the
 # pattern that cuts text into words where the tokenizer file names none.
@@ -274,7 +274,7 @@ class BpeCodec:
             raw = raw[:-1] + chr(ord(raw[-1]) + 256)
         a, pairs = self.automaton, self.pairs
         step, own, below, length, link = a.next, a.own, a.below, a.length, a.link
-        if len(pairs) > 1_000_000:
+        if len(pairs) > PAIR_TABLE:
             pairs.clear()
         last = [-1] * (len(raw) + 1)
         state = matched = 0
