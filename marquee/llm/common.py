@@ -3,6 +3,8 @@ Arrow plumbing."""
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -68,13 +70,25 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """Without Python's cycle collector, which would walk through a worker's
+    tables again and again while loops that make no cycles fill lists."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def over_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``fn`` on each Arrow batch of ``df``; one batch in memory at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield fn(b)
+        with uncollected():
+            for b in batches:
+                if b.num_rows:
+                    yield fn(b)
 
     return df.mapInArrow(run, schema)
 
