@@ -35,8 +35,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words kept per worker before the table is emptied and filled anew.
+from marquee.llm.common import uncollected
+
+#: Words kept per worker; then words in use move over to a new table.
 WORD_TABLE = 600_000
+#: Strings given to the library in one call.
+CALL = 8_192
 #: Texts encoded together.
 TOGETHER = 256
 #: Signs that the library cuts off behind a letter, always.
@@ -72,56 +76,54 @@ class TextEncoder:
         pre = spec.get("pre_tokenizer") or {}
         self.by_part = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        #: Ids of the parts of texts: a word stands for itself behind a blank,
+        #: or, if it begins with a line break, for itself.
+        self.parts: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.signs: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+        calls = (texts[k:k + CALL] for k in range(0, len(texts), CALL))
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for c in calls for e in self.tokenizer.encode_batch_fast(c, add_special_tokens=False)]
 
-    def _learn(self, known: dict[str, bytes], parts: set[str], before: str) -> None:
-        """Add parts to a table; a word with signs behind it is the word's ids
+    def _learn(self, new: set[str]) -> None:
+        """Add parts to the table; a word with signs behind it is the word's ids
         and the signs' ids."""
-        new = parts.difference(known)
-        if len(known) + len(new) > WORD_TABLE:
-            known.clear()
-            new = parts
+        known = self.parts
+        again = new.intersection(self.old)
+        known.update(zip(again, map(self.old.__getitem__, again)))
         signed = {}
-        for p in new:
+        for p in new - again:
             word = p.rstrip(SIGNS)
             if word != p and word[-1:].isalpha():
                 signed[p] = word
-        plain = (new - signed.keys()).union(signed.values()).difference(known)
-        known.update(zip(plain, self._library([before + p for p in plain]), strict=True))
-        signs = {p[len(w):] for p, w in signed.items()}.difference(self.signs)
-        self.signs.update(zip(signs, self._library(list(signs)), strict=True))
+        plain = list((new - again - signed.keys()).union(signed.values()).difference(known))
+        known.update(zip(plain, self._library([p if p[0] == "\n" else " " + p for p in plain]), strict=True))
+        signs = list({p[len(w):] for p, w in signed.items()}.difference(self.signs))
+        self.signs.update(zip(signs, self._library(signs), strict=True))
         for p, w in signed.items():
             known[p] = known[w] + self.signs[p[len(w):]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``dtype``."""
         out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, t in enumerate(texts) if t and not (self.by_part and is_regular(t))]
+        regular = [i for i, t in enumerate(texts) if t and self.by_part and is_regular(t)]
+        whole = sorted({i for i, t in enumerate(texts) if t}.difference(regular))
         for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        left = set(whole)
-        cut = {i: [line.split(" ") for line in t.split("\n")] for i, t in enumerate(texts) if t and i not in left}
-        first, later = {"\n"}, set()
-        for lines in cut.values():
-            for line in lines:
-                first.add(line[0])
-                later.update(line[1:])
-        self._learn(self.first, first, "")
-        self._learn(self.later, later, " ")
-        newline, get_first, get_later = self.first["\n"], self.first.__getitem__, self.later.__getitem__
-        for i, lines in cut.items():
-            parts: list[bytes] = []
-            for n, line in enumerate(lines):
-                if n:
-                    parts.append(newline)
-                parts.append(get_first(line[0]))
-                parts.extend(map(get_later, line[1:]))
-            out[i] = b"".join(parts)
+        if len(self.parts) > WORD_TABLE:  # words in use move over to the new table
+            self.old, self.parts = self.parts, {}
+        get = self.parts.get
+        cut = [texts[i].replace("\n", " \n").split(" ") for i in regular]
+        first = self._library([words.pop(0) for words in cut])
+        found = [list(map(get, words)) for words in cut]
+        new = {w for words, ids in zip(cut, found) if None in ids for w, x in zip(words, ids) if x is None}
+        if new:
+            self._learn(new)
+            known = self.parts
+            found = [[known[w] if x is None else x for w, x in zip(words, ids)] if None in ids else ids for words, ids in zip(cut, found)]
+        for i, begin, ids in zip(regular, first, found):
+            out[i] = begin + b"".join(ids)
         return out
 
 
@@ -178,7 +180,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, out: str, end_id: int = 2
                         offsets.append(at)
                         yield e + end
 
-        _put(out, f"ids-{part:05d}.bin", chunks(), attempt)
+        with uncollected():
+            _put(out, f"ids-{part:05d}.bin", chunks(), attempt)
         _put(out, f"offsets-{part:05d}.bin", [np.frombuffer(offsets, dtype=np.int64).astype("<i8").tobytes()], attempt)
         _put(out, f"docs-{part:05d}.bin", [np.array(ids, dtype="<i8").tobytes()], attempt)
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(offsets) - 1], pa.int64()), pa.array([at], pa.int64()), pa.array([enc.dtype.str])], ["part", "docs", "ids", "dtype"])
