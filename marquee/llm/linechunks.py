@@ -21,6 +21,8 @@ ONE_IN = 2
 #: Lines that a removable chunk has at least, and its words; words from which a
 #: line is a chunk of its own and removable alone.
 MIN_LINES, MIN_WORDS, LONG_LINE = 2, 10, 25
+#: Words from which a line next to a blank one is compared together with that.
+BESIDE_BLANK = 10
 
 
 def words_of(text: Column) -> Column:
@@ -118,3 +120,86 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     new_text = F.when(has, F.array_join(F.transform("__parts.stay", lambda c: c["text"]), "\n")).otherwise(F.col(f"`{text_col}`"))
     lines = F.aggregate("__parts.go", F.lit(0).cast("long"), lambda a, c: a + c["lines"])
     return joined.select(*(new_text.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept), F.coalesce(lines, F.lit(0)).cast("long").alias("lines_removed"), F.coalesce(F.size("__parts.go"), F.lit(0)).cast("long").alias("chunks_removed"))
+
+
+def passages(text: Column) -> Column:
+    """The places of a text that are compared by ``dedup_passages``: array of
+    ``k, n, hash``, for the ``n`` lines from line ``k`` on. These are each two
+    neighbours among the lines with words (and the blank lines between them),
+    each long line, and each line of ``BESIDE_BLANK`` words with a blank one
+    before or after it."""
+    lines = F.split(text, "\n")
+
+    def per_text(lines: Column) -> Column:
+        def per_words(words: Column) -> Column:
+            def pairs(at: Column) -> Column:
+                return F.transform(at, lambda k, i: F.struct(k.alias("k"), (F.get(at, i + 1) - k + 1).alias("n")))
+
+            def beside(x: Column, i: Column) -> Column:
+                after = F.get(words, i + 1)
+                return ((x == 0) != (after == 0)) & (x + after >= BESIDE_BLANK)
+
+            worded = F.filter(F.transform(words, lambda x, i: F.when(x > 0, i)), lambda k: k.isNotNull())
+            long = F.transform(words, lambda x, i: F.struct(i.alias("k"), F.when(x >= LONG_LINE, 1).alias("n")))
+            edges = F.transform(words, lambda x, i: F.struct(i.alias("k"), F.when(beside(x, i), 2).alias("n")))
+            return F.filter(F.concat(_let(worded, pairs), long, edges), lambda s: s["n"].isNotNull())
+
+        spans = _let(F.transform(lines, words_of), per_words)
+        return F.transform(spans, lambda s: F.struct(s["k"].alias("k"), s["n"].alias("n"), F.xxhash64(_lines_at(lines, s)).alias("hash")))
+
+    return _let(lines, per_text)
+
+
+def _lines_at(lines: Column, span: Column) -> Column:
+    return F.array_join(F.slice(lines, span["k"] + 1, span["n"]), "\n")
+
+
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Like ``dedup_lines``, but finds repeated passages of two lines with words
+    or more wherever they begin and end: every two neighbouring lines that stand
+    elsewhere before go, so a passage of n lines loses all n in each later copy.
+
+    The first occurrence, which stays, is chosen as in ``dedup_lines``; the first
+    occurrence of a line always stays. Of a line that follows itself one stays.
+    ``chunks_removed`` counts the runs of lines removed.
+
+    Only hashes and places are grouped over all lines; the bytes of the first
+    occurrence are read again for passages that do repeat.
+    """
+    kept = [c for c in docs.columns if c not in ("lines_removed", "chunks_removed")]
+    base = docs.select(*(F.col(f"`{c}`") for c in kept))
+    text, key = F.col(f"`{text_col}`").cast("string"), F.col(f"`{id_col}`")
+    row = F.xxhash64(key, text)
+    each = base.where(text.isNotNull()).select(key.alias("id"), row.alias("row"), F.explode(passages(text)).alias("s")).select("id", "row", "s.k", "s.n", "s.hash")
+
+    place = F.struct("id", "row", "k", "n")
+    firsts = each.groupBy("hash").agg(F.count("*").alias("times"), F.min(place).alias("first")).where("times > 1")
+    wanted = firsts.groupBy(F.col("first.id").alias("__id"), F.col("first.row").alias("__row")).agg(F.collect_list(F.struct("hash", F.col("first.k").alias("k"), F.col("first.n").alias("n"))).alias("__wanted"))
+
+    def same_row(rows: DataFrame, how: str) -> DataFrame:
+        return base.withColumn("__key", row).join(rows, F.col("__key").eqNullSafe(F.col("__row")) & key.eqNullSafe(F.col("__id")), how)
+
+    lines = F.split(text, "\n")
+    read = _let(lines, lambda ls: F.transform("__wanted", lambda s: F.struct(s["hash"].alias("hash"), s["k"].alias("k"), s["n"].alias("n"), _lines_at(ls, s).alias("text"))))
+    known = same_row(wanted, "inner").select(F.col("__id").alias("id"), F.col("__row").alias("row"), F.explode(read).alias("s")).select("s.hash", F.struct("id", "row", "s.k", "s.n").alias("first"), "s.text")
+    known = known.groupBy("hash", "first").agg(F.min("text").alias("text"))  # rows equal in id and text are one
+
+    again = each.join(known, "hash").where(~place.eqNullSafe(F.col("first")))
+    removals = again.groupBy(F.col("id").alias("__id"), F.col("row").alias("__row")).agg(F.collect_list(F.struct("k", "n", "text")).alias("__again"))
+
+    def stay(ls: Column) -> Column:
+        repeated = F.filter("__again", lambda a: _lines_at(ls, a) == a["text"])  # the bytes
+        gone = F.flatten(F.transform(repeated, lambda a: F.sequence(a["k"], a["k"] + a["n"] - 1)))
+        return F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), gone)
+
+    def divided(ls: Column) -> Column:
+        def by_place(at: Column) -> Column:
+            before = F.transform(at, lambda k, i: (k > F.coalesce(F.get(at, i - 1), F.lit(-1)) + 1).cast("long"))
+            runs = F.aggregate(before, F.lit(0).cast("long"), lambda a, x: a + x) + (F.size(ls) - 1 > F.coalesce(F.get(at, F.size(at) - 1), F.lit(-1))).cast("long")
+            return F.struct(F.array_join(F.transform(at, lambda k: F.get(ls, k)), "\n").alias("text"), (F.size(ls) - F.size(at)).cast("long").alias("lines"), runs.alias("runs"))
+
+        return _let(stay(ls), by_place)
+
+    joined = same_row(removals, "left").withColumn("__parts", F.when(F.col("__again").isNotNull(), _let(lines, divided)))
+    new_text = F.when(F.col("__again").isNotNull(), F.col("__parts.text")).otherwise(F.col(f"`{text_col}`"))
+    return joined.select(*(new_text.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept), F.coalesce("__parts.lines", F.lit(0).cast("long")).alias("lines_removed"), F.coalesce("__parts.runs", F.lit(0).cast("long")).alias("chunks_removed"))

@@ -39,7 +39,7 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linechunks.dedup_lines(_table(spark, sf_dir, "documents"))
+    out = linechunks.dedup_passages(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", F.length("text").cast("long").alias("n_chars_left"), "lines_removed", "chunks_removed")
 
 
