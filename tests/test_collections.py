@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import marquee as M
 from marquee.plans import flat
 
-from conftest import T, make_catalogue
+from catalogue_rows import T, make_catalogue
 
 
 def _cat(spark):

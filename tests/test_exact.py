@@ -10,7 +10,7 @@ from marquee.plans import flat
 from marquee.plans.queries import rating_per_genre
 from marquee.sources.tables import Catalogue
 
-from conftest import T, make_catalogue
+from catalogue_rows import T, make_catalogue
 
 N = 3000
 

@@ -100,7 +100,7 @@ def test_left_join_spread_nulls(spark):
 
 
 def test_characters_as_list(spark):
-    from conftest import T, make_catalogue
+    from catalogue_rows import T, make_catalogue
     import marquee as M
     cat = make_catalogue(spark, title_basics=[T("tt1", "movie", "A")],
                          title_principals=[("tt1", 1, "nm1", "actor", None, '["A \\"B\\"","C"]'),

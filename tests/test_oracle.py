@@ -10,7 +10,7 @@ from harness.compare import compare, duck
 from harness.oracle import ORACLE
 from harness.registry import QUERIES
 
-from conftest import SF001, SF01
+from catalogue_rows import SF001, SF01
 
 
 @pytest.fixture(scope="module")

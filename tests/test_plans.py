@@ -7,7 +7,7 @@ from marquee.functions.arrays import asc
 from marquee.plans import flat
 from marquee.sources.fixtures import catalogue_from_driver_tables
 
-from conftest import SF001
+from catalogue_rows import SF001
 
 
 def _plan(df) -> str:

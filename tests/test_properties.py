@@ -10,7 +10,7 @@ import marquee as M
 from marquee.functions import asc, desc, sort_elements, top_k_elements
 from marquee.sources.fixtures import catalogue_from_driver_tables
 
-from conftest import SF001
+from catalogue_rows import SF001
 
 ELEM = "array<struct<r:double,v:int,t:string>>"
 element = st.tuples(

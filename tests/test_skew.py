@@ -9,7 +9,7 @@ from marquee.operators import left_join_spread_nulls
 from marquee.plans import flat
 from marquee.sources.fixtures import catalogue_from_driver_tables
 
-from conftest import SF001
+from catalogue_rows import SF001
 
 
 def test_null_keys_spread_over_the_shuffle(spark):

@@ -11,7 +11,7 @@ import marquee as M
 from marquee.sources.fixtures import catalogue_from_driver_tables
 from marquee.sources.tables import check_keys
 
-from conftest import SF001
+from catalogue_rows import SF001
 
 
 def _write(path, lines, gz=False):
