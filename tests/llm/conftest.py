@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from marquee.llm.common import ship_code
 
-SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+from odd_rows import SF001
 
 
 @pytest.fixture(scope="session", autouse=True)
@@ -29,6 +29,3 @@ def odd(spark):
         return spark.createDataFrame([(i, t, 1.0, True, "x", 1, 1, 1, None) for i, t in rows], schema)
 
     return make
-
-
-ODD_ROWS = [(1, None), (2, ""), (3, " \n\t "), (None, "a lone text"), (None, None), (4, "some words here"), (4, "some words here"), (5, "x" * 200_000), (6, "word " * 30_000), (7, "some words here")]

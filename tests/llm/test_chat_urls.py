@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 import brute
-from conftest import SF001
+from odd_rows import SF001
 from marquee.llm import chat, urlrules
 from marquee.llm.queries import CONTROL_TEXT, ORACLE, QUERIES, URL_RULES
 

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ODD_ROWS, SF01
+from odd_rows import ODD_ROWS, SF01
 from marquee.llm import langid, quality, toxicity
 from marquee.llm.common import held_out
 

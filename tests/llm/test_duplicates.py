@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import ODD_ROWS
+from odd_rows import ODD_ROWS
 from marquee.llm import decontam, linechunks, minhash
 from marquee.llm.common import bag_of_words
 from marquee.llm.components import connected_components

@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import brute
 import corpus_pipeline
-from conftest import SF001
+from odd_rows import SF001
 from marquee.llm import langid, linechunks
 from marquee.llm.common import bag_of_words, held_out
 

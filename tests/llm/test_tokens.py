@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from conftest import ODD_ROWS
+from odd_rows import ODD_ROWS
 from marquee.llm import bpe, tokenfiles
 from marquee.llm.common import fresh_path
 
