@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, and the SQL of those that SQL can
+"""Registered queries of the thirteen operators, and the SQL of those that SQL can
 express. Each reads its whole table."""
 
 from __future__ import annotations
@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, chat, decontam, langid, linechunks, minhash, quality, tokenfiles, toxicity, urlrules
+from marquee.llm import bpe, chat, decontam, divergence, interaction, langid, linechunks, minhash, ngramjoin, quality, tokenfiles, toxicity, urlrules
 from marquee.llm.common import fresh_path, held_out, ship_code, stored
 
 
@@ -74,13 +74,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "near_ids", "near_cosines")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(_table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+def op12_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.ngram_join(_table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_langid, op3_minhash, op4_chat, op5_line_chunks, op6_quality, op7_decontam, op8_token_files, op9_url_rules, op10_toxicity, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_langid, op3_minhash, op4_chat, op5_line_chunks, op6_quality, op7_decontam, op8_token_files, op9_url_rules, op10_toxicity, op11_divergence, op12_interaction, op13_ngram_join, pipeline)}
 
 CHAT_SQL = f"""
 WITH rows AS (
@@ -119,4 +131,64 @@ FROM urls LEFT JOIN (SELECT * FROM fits WHERE best = 1) f USING (n)
 """
 
 
-ORACLE = {"op4_chat": CHAT_SQL, "op9_url_rules": _url_sql()}
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+tokens AS (
+  SELECT n, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+cells AS (SELECT lang, source, term, count(DISTINCT n) AS docs, count(*) AS c FROM tokens GROUP BY lang, source, term),
+kept AS (SELECT lang, term, CAST(sum(c) AS HUGEINT) AS c FROM cells GROUP BY lang, term HAVING sum(docs) >= 30),
+vocabulary AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (
+  SELECT g.lang, g.source, k.term, CAST(coalesce(x.c, 0) AS HUGEINT) AS c FROM groups g JOIN kept k USING (lang) LEFT JOIN cells x USING (lang, source, term)),
+totals AS (SELECT lang, source, CAST(sum(c) AS HUGEINT) AS n FROM counts GROUP BY lang, source),
+shares AS (
+  SELECT lang, source, term, c, 1 + (1000000000::HUGEINT * (c + 5)) // (n + 5 * v.v) AS p FROM counts JOIN totals t USING (lang, source) JOIN (SELECT lang, v FROM vocabulary) v USING (lang)),
+of_lang AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (c + 5)) // (n + 5 * v) AS q FROM kept JOIN vocabulary USING (lang)),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(far.f, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+over AS (
+  SELECT lang, source, term AS item, CAST(p - q AS BIGINT) AS value FROM shares JOIN of_lang USING (lang, term) WHERE c > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM over)
+WHERE rank <= 50
+"""
+
+INTERACTION_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+firsts AS (SELECT text, min(doc_id) AS first FROM docs GROUP BY text),
+failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+    CASE WHEN len(words) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS fails
+  FROM docs JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)),
+masks AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad FROM failed GROUP BY part, fails),
+letters(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS l, substr(filter_order, 1, step - 1) AS before FROM orders, generate_series(1, 5) t(step)),
+counted AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, l,
+    CAST(coalesce(sum(n) FILTER (WHERE fails = translate(fails, before || l, '')), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (WHERE contains(fails, l) AND fails = translate(fails, before, '')), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (WHERE contains(fails, l) AND fails <> translate(fails, before, '')), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (WHERE fails = l), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (WHERE contains(fails, l) AND fails = translate(fails, before, '')), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(bad) FILTER (WHERE contains(fails, l) AND fails = translate(fails, before, '')), 0) AS BIGINT) AS toxic_lost
+  FROM masks, steps GROUP BY part, filter_order, step, l)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley
+FROM counted
+"""
+
+ORACLE = {"op4_chat": CHAT_SQL, "op9_url_rules": _url_sql(), "op11_divergence": DIVERGENCE_SQL, "op12_interaction": INTERACTION_SQL}
