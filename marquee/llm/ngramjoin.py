@@ -19,7 +19,8 @@ or more that two linked points share the emptiest is never left out by either.
 That keeps entries made of passages that many texts share, and empty blocks, out
 of the join without losing a pair.
 
-Texts with equal sets are one class from the start. Nothing is capped: an entry
+Texts with equal sets are one class from the start. Points and sets meet in
+sort-merge joins at every size, as both sides grow with the data. Nothing is capped: an entry
 of any number of points falls into leaves of bounded size, opened pair by pair in
 tasks of their own. Each opened pair gives back, for every class, how many
 documents it links to, and a spanning forest of its links in place of all of
@@ -29,7 +30,7 @@ them; components of the forests are the components of all links.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from math import ceil
 
 import numpy as np
@@ -50,6 +51,12 @@ RANGE_GROWTH, RANGE_BITS = 1.5, 6
 #: One block in so many of those that may differ is added for entries left out.
 SPARE_ONE_IN = 8
 SLICE = 4096
+#: Leaves are opened as a whole where each point shares so many entries on average.
+WHOLE_AT = 8
+#: Classes that a task remembers, to give their entries once.
+SEEN_CLASSES = 1 << 18
+#: Bits of the filter that keeps texts without links from being shuffled: 2 MB.
+FILTER_BITS = 1 << 24
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -135,19 +142,29 @@ def enough(shared, a, b, percent: int):
 
 
 def _signed(docs: DataFrame, size: int, ranges: Ranges) -> DataFrame:
-    """``doc_id, n_shingles, digest, entries``; no digest without shingles or id."""
+    """``doc_id, n_shingles, digest, entries``; no digest without shingles or id.
 
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        n, digest, entries = [], [], []
-        for i, text in zip(*(c.to_pylist() for c in b.columns)):
-            s = shingle_set(text, size)
-            n.append(len(s))
-            known = len(s) and i is not None
-            digest.append(digest_of(s) if known else None)
-            entries.append(ranges.entries(s) if known else None)
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(entries, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "entries"])
+    A task gives the entries of a class with the first of its copies that it
+    meets, and leaves them null on the others, so a class of any number of copies
+    sends its entries on once per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        with uncollected():
+            for b in batches:
+                n, digest, entries = [], [], []
+                for i, text in zip(*(c.to_pylist() for c in b.columns)):
+                    s = shingle_set(text, size)
+                    d = digest_of(s) if len(s) and i is not None else None
+                    n.append(len(s))
+                    digest.append(d)
+                    entries.append(ranges.entries(s) if d is not None and d not in seen else None)
+                    if len(seen) >= SEEN_CLASSES:
+                        seen.clear()
+                    seen.add(d)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(entries, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "entries"])
 
-    return over_batches(docs, run, "doc_id long, n_shingles long, digest binary, entries array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, entries array<long>")
 
 
 def class_key() -> Column:
@@ -157,42 +174,56 @@ def class_key() -> Column:
 
 
 def shared_entries(points: DataFrame, ranges: Ranges) -> DataFrame:
-    """``entry, digest`` of the entries under which links can be found, from
-    ``digest, entries`` of each class.
+    """``entry, cls`` of the entries under which links can be found, from
+    ``digest, entries`` of each class (more than once at will).
 
     A class is entered under a range's blocks only if at least s + 1 of them hold
-    another class too, and then without its s fullest. The entries are shuffled
-    once: their counts come from the same partitions as the rows that meet them."""
+    another class too, and then without its s fullest. All entries are shuffled
+    once; what a single class holds goes no further."""
     spare = F.array(*[F.lit(s) for s in ranges.spare])
-    rows = points.select(class_key().alias("cls"), F.explode("entries").alias("entry")).repartition("entry")
-    filled = rows.groupBy("entry").agg(F.count("*").alias("n"), F.min("cls").alias("low"), F.max("cls").alias("top")).where("low < top").select("entry", "n")
-    shared = rows.join(filled, "entry").withColumn("k", F.col("entry").bitwiseAND((1 << RANGE_BITS) - 1).cast("int"))
+    rows = points.select(class_key().alias("cls"), F.explode("entries").alias("entry"))
+    here = Window.partitionBy("entry")
+    counted = rows.select("entry", "cls", F.count("*").over(here).alias("n"), F.min("cls").over(here).alias("low"), F.max("cls").over(here).alias("top"))
+    shared = counted.where("low < top").groupBy("entry", "cls").agg(F.max("n").alias("n"))
+    shared = shared.withColumn("k", F.col("entry").bitwiseAND((1 << RANGE_BITS) - 1).cast("int"))
     fullest = Window.partitionBy("cls", "k").orderBy(F.desc("n"), F.desc("entry"))
     kept = shared.withColumn("place", F.row_number().over(fullest)).where(F.col("place") > F.element_at(spare, F.col("k") + 1))
-    kept = stored(kept.select("entry", "cls"), "ngram-entries")
-    several = kept.groupBy("entry").agg(F.count("*").alias("n"), F.min("cls").alias("low"), F.max("cls").alias("top")).where("low < top").select("entry", "n")
-    return kept.join(several, "entry").select("entry", "cls", "n")
+    kept = kept.select("entry", "cls", F.min("cls").over(here).alias("low"), F.max("cls").over(here).alias("top"), F.count("*").over(here).alias("n"))
+    return kept.where("low < top").select("entry", "cls", "n")
+
+
+def likely(docs: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows of ``docs`` whose ``column`` may be an ``id`` of ``wanted``: all
+    that are, and of the others those that a filter of ``FILTER_BITS`` bits lets
+    through. It is broadcast, as its size is fixed; with more ids than it can tell
+    apart more rows pass, and the join that follows decides."""
+    def spot(c: str) -> Column:
+        return F.xxhash64(c).bitwiseAND(FILTER_BITS - 1)
+
+    words = wanted.select(spot("id").alias("spot")).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(spot & 63 as int)))").alias("bits"))
+    spotted = docs.withColumn("spot", spot(column)).join(F.broadcast(words), F.shiftright("spot", 6) == F.col("word"))
+    return spotted.where(F.expr("bits & shiftleft(1L, cast(spot & 63 as int)) != 0")).select(*docs.columns)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``digest, n, counts, shingles`` of the wanted classes, from the text of the
-    row that stands for each (``wanted``: ``digest, id``)."""
+    row that stands for each (``wanted``: ``digest, id``); twice where a row is."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t, size) for t in b.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([b.column(0), pa.array([digest_of(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                                            pa.array([coarse_counts(s) for s in sets], pa.list_(pa.int32())), pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "found", "n", "counts", "shingles"])
 
-    texts = wanted.join(docs, wanted.id == docs.doc_id).select("digest", "text")
-    found = over_batches(texts, run, "digest binary, found binary, n long, counts array<int>, shingles binary").where("digest = found")
-    return found.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("n", "counts", "shingles")))
+    some = likely(docs, wanted, "doc_id")
+    texts = wanted.join(some.hint("merge"), F.col("id") == F.col("doc_id")).select("digest", "text")
+    return over_batches(texts, run, "digest binary, found binary, n long, counts array<int>, shingles binary").where("digest = found").drop("found")
 
 
 def packed(points: DataFrame) -> DataFrame:
-    """``digest, leaf``: the classes in leaves of bounded size, from ``digest,
-    hub, n, bytes``. Points lie in the order of their fullest entry, then of size,
-    so that families of copies fill leaves of their own; the order is cut by
-    range into tasks and by rows and bytes into leaves."""
+    """``digest, cls, copies, leaf``: the classes in leaves of bounded size, from
+    ``digest, cls, copies, hub, n, bytes``. Points lie in the order of their
+    fullest entry, then of size, so that families of copies fill leaves of their
+    own; the order is cut by range into tasks and by rows and bytes into leaves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leaf = rows = size = 0
@@ -203,29 +234,47 @@ def packed(points: DataFrame) -> DataFrame:
                     leaf, rows, size = leaf + 1, 0, 0
                 rows, size = rows + 1, size + n
                 leaves.append((base << 32) | leaf)
-            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(leaves, pa.int64())], ["digest", "leaf"])
+            yield pa.RecordBatch.from_arrays([b.column("digest"), b.column("cls"), b.column("copies"), pa.array(leaves, pa.int64())], ["digest", "cls", "copies", "leaf"])
 
     parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = points.repartitionByRange(parts, "hub", "n", "digest").sortWithinPartitions("hub", "n", "digest")
-    return ordered.select("digest", "bytes", F.spark_partition_id().alias("task")).mapInArrow(run, "digest binary, leaf long")
-
-
-def _opened(members: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
-    """``a, b, digest``: pairs of leaves to open, a <= b, and the points of each
-    that share an entry with the other leaf.
-
-    ``members``: ``entry, digest, leaf``; ``boxes``: ``leaf, high, least`` (the
-    largest count of each group and the smallest set). Two leaves whose summed
-    largest counts could not link their smallest sets are left closed."""
-    leaves = members.groupBy("entry", "leaf").agg(F.count("*").alias("k"))
-    met = members.join(leaves.select("entry", F.col("leaf").alias("other"), "k"), "entry").where((F.col("leaf") != F.col("other")) | (F.col("k") > 1))
-    rows = stored(met.select(F.least("leaf", "other").alias("a"), F.greatest("leaf", "other").alias("b"), "digest").distinct(), "ngram-opened")
-    pairs = rows.where("a != b").select("a", "b").distinct()
-    low = boxes.select(F.col("leaf").alias("a"), F.col("high").alias("high_a"), F.col("least").alias("least_a"))
-    top = boxes.select(F.col("leaf").alias("b"), F.col("high").alias("high_b"), F.col("least").alias("least_b"))
+    return ordered.select("digest", "cls", "copies", "bytes", F.spark_partition_id().alias("task")).mapInArrow(run, "digest binary, cls long, copies long, leaf long")
+
+
+def opened(members: DataFrame, leaves: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
+    """``a, b, digest, leaf, copies``: pairs of leaves to open, a <= b, each with
+    the points of either that share an entry with the other.
+
+    ``members``: ``entry, cls``; ``leaves`` as :func:`packed` gives them;
+    ``boxes``: ``leaf, high, least`` (the largest count of each group and the
+    smallest set). Leaves meet by entry, as one row for all of their points
+    there. Two leaves whose summed largest counts could not link their smallest
+    sets stay closed. Where the points that share entries, counted by entry, are
+    ``WHOLE_AT`` times as many as the leaves hold, nearly all of them do, and the
+    leaves are opened as a whole: a pair of leaves costs a bounded number of rows,
+    however many entries its points share."""
+    placed = members.select("entry", "cls").join(leaves.select("cls", "digest", "leaf"), "cls")
+    held = stored(placed.groupBy("entry", "leaf").agg(F.collect_list("digest").alias("held")), "ngram-held")
+    own = held.where(F.size("held") > 1).select(F.col("leaf").alias("a"), F.col("leaf").alias("b"), "held")
+    one = held.select("entry", F.col("leaf").alias("a"), F.col("held").alias("held_a"))
+    two = held.select("entry", F.col("leaf").alias("b"), F.col("held").alias("held_b"))
+    across = one.join(two, "entry").where("a < b").select("a", "b", F.concat("held_a", "held_b").alias("held"))
+    met = stored(own.unionByName(across), "ngram-met")
+
+    size = leaves.groupBy("leaf").agg(F.count("*").alias("size"))
+    pairs = met.groupBy("a", "b").agg(F.sum(F.size("held")).alias("k"))
+    low = boxes.join(size, "leaf").select(F.col("leaf").alias("a"), F.col("high").alias("high_a"), F.col("least").alias("least_a"), F.col("size").alias("size_a"))
+    top = boxes.join(size, "leaf").select(F.col("leaf").alias("b"), F.col("high").alias("high_b"), F.col("least").alias("least_b"), F.col("size").alias("size_b"))
     bound = F.aggregate(F.zip_with("high_a", "high_b", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
-    closed = pairs.join(low, "a").join(top, "b").where((100 + percent) * bound < percent * (F.col("least_a") + F.col("least_b"))).select("a", "b")
-    return rows.join(closed, ["a", "b"], "left_anti")
+    open_ = pairs.join(low, "a").join(top, "b").where((F.col("a") == F.col("b")) | ((100 + percent) * bound >= percent * (F.col("least_a") + F.col("least_b"))))
+    both = F.col("size_a") + F.when(F.col("a") == F.col("b"), 0).otherwise(F.col("size_b"))
+    open_ = stored(open_.select("a", "b", (F.col("k") >= WHOLE_AT * both).alias("whole")), "ngram-open")
+
+    part = met.join(open_.where("not whole").select("a", "b"), ["a", "b"]).select("a", "b", F.explode("held").alias("digest")).distinct()
+    part = part.join(leaves.select("digest", "leaf", "copies"), "digest")
+    sides = open_.where("whole").select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("leaf"))
+    whole = sides.join(leaves.select("leaf", "digest", "copies"), "leaf")
+    return part.select("a", "b", "digest", "leaf", "copies").unionByName(whole.select("a", "b", "digest", "leaf", "copies"))
 
 
 def _shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -247,26 +296,37 @@ def _shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray)
     return shared.astype(np.int64)
 
 
-def open_pair(left: list[dict], right: list[dict] | None, percent: int) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, bytes]]]:
-    """Links between two leaves, or within one (``right`` None).
-
-    Gives for each linked class the number of documents it links to there, and a
-    spanning forest of the links. A point is a row of ``digest, n, counts,
-    shingles, copies``."""
+def near_points(left: list[dict], right: list[dict] | None, percent: int) -> np.ndarray:
+    """Which points of two leaves, or of one (``right`` None), may be linked: the
+    summed smaller counts of their groups would do for their sizes."""
     rows = left + (right or [])
-    here = np.arange(len(left))
-    there = here if right is None else np.arange(len(left), len(rows))
     n = np.array([r["n"] for r in rows], dtype=np.int64)
     counts = np.array([r["counts"] for r in rows], dtype=np.int32).reshape(len(rows), -1)
+    here = np.arange(len(left))
+    there = here if right is None else np.arange(len(left), len(rows))
     bound = np.zeros((len(here), len(there)), dtype=np.int64)
     for g in range(counts.shape[1]):
         bound += np.minimum(counts[here, g][:, None], counts[there, g][None, :])
     near = enough(bound, n[here][:, None], n[there][None, :], percent)
     if right is None:
         np.fill_diagonal(near, False)
+    return near
+
+
+def open_pair(left: list[dict], right: list[dict] | None, percent: int) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, bytes]]]:
+    """Links between two leaves, or within one (``right`` None).
+
+    Gives for each linked class the number of documents it links to there, and a
+    spanning forest of the links. A point is a row of ``digest, n, counts,
+    shingles, copies``."""
+    rows = left + (right or [])
+    here = np.arange(len(left))
+    there = here if right is None else np.arange(len(left), len(rows))
+    near = near_points(left, right, percent)
     i, j = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
     if not len(i):
         return [], []
+    n = np.array([r["n"] for r in rows], dtype=np.int64)
     used = np.unique(np.concatenate([here[i], there[j]]))
     sets = [np.frombuffer(rows[k]["shingles"], dtype=np.uint64) for k in used]
     shared = _shared_counts(sets, np.searchsorted(used, here[i]), np.searchsorted(used, there[j]))
@@ -294,39 +354,63 @@ def open_pair(left: list[dict], right: list[dict] | None, percent: int) -> tuple
     return [(rows[k]["digest"], int(sums[k])) for k in np.flatnonzero(sums)], forest
 
 
-def _links(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``u, v, n``: a link of the forests, or with v null the documents that u
-    links to in one pair of leaves. ``sets``: ``digest, leaf, n, counts,
-    shingles, copies``."""
-    columns = ["digest", "n", "counts", "shingles", "copies"]
+def over_leaf_pairs(points: DataFrame, fn: Callable[[list[dict], list[dict] | None], Iterable[tuple]], schema: str, types: list[pa.DataType]) -> DataFrame:
+    """``fn`` on the points of each pair of leaves ``a, b``: those of leaf a, and
+    those of leaf b or None where the two are one. A task holds one pair at a
+    time, which is at most two leaves."""
+    names = [f.split(" ")[0] for f in schema.split(", ")]
 
-    def links_of(rows: list[dict]) -> Iterator[tuple[bytes, bytes | None, int]]:
+    def results(rows: list[dict]) -> Iterable[tuple]:
         a, b = rows[0]["a"], rows[0]["b"]
+        rows = list({r["digest"]: r for r in rows}.values())
         left = [r for r in rows if r["leaf"] == a]
-        sums, forest = open_pair(left, None if a == b else [r for r in rows if r["leaf"] != a], percent)
-        yield from ((u, None, n) for u, n in sums)
-        yield from ((u, v, 0) for u, v in forest)
+        return fn(left, None if a == b else [r for r in rows if r["leaf"] != a])
+
+    def batch(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * len(types), types)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[dict] = []
+        pair: list[dict] = []
         with uncollected():
             for b in batches:
-                out = []
+                out: list[tuple] = []
                 for r in b.to_pylist():
-                    if group and (group[0]["a"], group[0]["b"]) != (r["a"], r["b"]):
-                        out += links_of(group)
-                        group = []
-                    group.append(r)
+                    if pair and (pair[0]["a"], pair[0]["b"]) != (r["a"], r["b"]):
+                        out += results(pair)
+                        pair = []
+                    pair.append(r)
                 yield batch(out)
-            if group:
-                yield batch(list(links_of(group)))
+            if pair:
+                yield batch(list(results(pair)))
 
-    def batch(out: list[tuple]) -> pa.RecordBatch:
-        u, v, n = zip(*out) if out else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary()), pa.array(n, pa.int64())], ["u", "v", "n"])
+    return points.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(run, schema)
+
+
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``pairs`` whose points pass the bound with another point of
+    their pair; only their sets are sent on to be verified."""
+
+    def survivors(left: list[dict], right: list[dict] | None) -> Iterator[tuple]:
+        near = near_points(left, right, percent)
+        sides = [(left, near.any(axis=1))] + ([(right, near.any(axis=0))] if right is not None else [])
+        for rows, found in sides:
+            yield from ((r["a"], r["b"], r["digest"], r["leaf"], r["copies"]) for r, ok in zip(rows, found) if ok)
+
+    points = pairs.join(sets.select("digest", "n", "counts").hint("merge"), "digest")
+    return over_leaf_pairs(points, survivors, "a long, b long, digest binary, leaf long, copies long", [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()])
+
+
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``u, v, n``: a link of the forests, or with v null the documents that u
+    links to in one pair of leaves. ``pairs`` as :func:`opened` gives them;
+    ``sets``: ``digest, n, counts, shingles``."""
+
+    def links(left: list[dict], right: list[dict] | None) -> Iterator[tuple]:
+        sums, forest = open_pair(left, right, percent)
+        yield from ((u, None, n) for u, n in sums)
+        yield from ((u, v, 0) for u, v in forest)
 
-    rows = opened.join(sets, "digest").repartition("a", "b").sortWithinPartitions("a", "b")
-    return rows.select("a", "b", "leaf", *columns).mapInArrow(run, "u binary, v binary, n long")
+    return over_leaf_pairs(pairs.join(sets.hint("merge"), "digest"), links, "u binary, v binary, n long", [pa.binary(), pa.binary(), pa.int64()])
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -345,20 +429,17 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = stored(_signed(docs, size, ranges), "ngram-rows")
     classes = stored(rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "ngram-classes")
 
-    ids = classes.select("digest", F.col("id").alias("doc_id"))
-    points = rows.where(F.size("entries") > 0).join(ids, ["digest", "doc_id"], "left_semi").dropDuplicates(["digest", "doc_id"]).select("digest", "entries")
-    members = stored(shared_entries(points, ranges), "ngram-members")
+    members = stored(shared_entries(rows.where(F.size("entries") > 0).select("digest", "entries"), ranges), "ngram-members")
     hubs = members.groupBy("cls").agg(F.max(F.struct("n", "entry")).alias("hub")).select("cls", F.col("hub.entry").alias("hub"))
-    keyed = classes.withColumn("cls", class_key())
-    active = stored(keyed.join(hubs, "cls"), "ngram-active")
+    active = stored(classes.withColumn("cls", class_key()).join(hubs, "cls"), "ngram-active")
 
     sets = stored(_sets(docs, active.select("digest", "id"), size), "ngram-sets")
-    laid = active.select("digest", "hub").join(sets.select("digest", "n", F.length("shingles").alias("bytes")), "digest")
-    leaves = stored(packed(laid), "ngram-leaves")
-    filled = stored(sets.join(leaves, "digest").join(active.select("digest", "copies"), "digest"), "ngram-points")
-    boxes = filled.groupBy("leaf").agg(F.array(*[F.max(F.col("counts")[g]) for g in range(GROUPS)]).alias("high"), F.min("n").alias("least"))
-    placed = members.select("entry", "cls").join(active.select("cls", "digest"), "cls").join(leaves, "digest").select("entry", "digest", "leaf")
-    found = stored(_links(_opened(placed, boxes, percent), filled, percent), "ngram-links")
+    sizes = sets.select("digest", "n", F.length("shingles").alias("bytes")).distinct()
+    leaves = stored(packed(active.join(sizes, "digest").select("digest", "cls", "copies", "hub", "n", "bytes")), "ngram-leaves")
+    counted = sets.select("digest", "n", "counts").join(leaves.select("digest", "leaf"), "digest")
+    boxes = counted.groupBy("leaf").agg(F.array(*[F.max(F.col("counts")[g]) for g in range(GROUPS)]).alias("high"), F.min("n").alias("least"))
+    near = stored(_near(opened(members, leaves, boxes, percent), sets, percent), "ngram-near")
+    found = stored(_links(near, sets, percent), "ngram-links")
 
     roots = connected_components(found.where("v is not null").select("u", "v"))
     linked = found.where("v is null").groupBy(F.col("u").alias("digest")).agg(F.sum("n").alias("linked"))
