@@ -84,3 +84,42 @@ def register_views(spark: SparkSession, colls: Collections) -> None:
         df.createOrReplaceTempView(name)
     titles(colls).createOrReplaceTempView("titles")
     people_with_titles(colls).createOrReplaceTempView("peopleWithTitles")
+
+
+def create_views(spark: SparkSession, database: str) -> None:
+    """Permanent views ``titles`` and ``peopleWithTitles`` in ``database``, over
+    its tables ``movies``, ``tvSeries``, ``shorts`` and ``people`` (as
+    ``write_collections(..., table=True)`` writes them).
+
+    They live in the session catalog: any session that shares it reads them by
+    name, with the rows and columns of :func:`titles` and
+    :func:`people_with_titles`, and sees what the tables hold then. Catalyst
+    plans through them, so a query reads only the leaves that it needs. Views that
+    exist are replaced."""
+    db = f"`{database}`"
+    series = spark.table(f"{database}.tvSeries").columns
+
+    def shaped(table: str, tag: str) -> str:
+        there = spark.table(f"{database}.{table}").columns
+        cols = ["year AS startYear" if c == "startYear" and "year" in there else c if c in there else f"NULL AS {c}" for c in series]
+        return f"SELECT {', '.join(cols)}, '{tag}' AS titleType FROM {db}.{table}"
+
+    parts = " UNION ALL ".join(shaped(t, VIEW_TAGS[t]) for t in ("tvSeries", "shorts", "movies"))
+    spark.sql(f"CREATE OR REPLACE VIEW {db}.titles AS {parts}")
+
+    def pairs(rank: int, table: str, year: str, end: str) -> str:
+        return (f"SELECT explode(array_distinct(people.nconst)) AS nconst, {rank} AS source, tconst, title, {year} AS startYear, "
+                f"{end} AS endYear FROM {db}.{table}")
+
+    rows = " UNION ALL ".join((pairs(0, "movies", "year", "CAST(NULL AS INT)"), pairs(1, "tvSeries", "startYear", "endYear"),
+                               pairs(2, "shorts", "year", "CAST(NULL AS INT)")))
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {db}.peopleWithTitles AS
+        WITH pairs AS ({rows}),
+        known AS (SELECT * FROM pairs WHERE nconst IS NOT NULL AND nconst IN (SELECT nconst FROM {db}.people)),
+        grouped AS (
+          SELECT nconst AS id, transform(sort_array(collect_set(struct(source, tconst, title, startYear, endYear))),
+            x -> struct(x.tconst AS tconst, x.title AS title, x.startYear AS startYear, x.endYear AS endYear)) AS allTitles
+          FROM known GROUP BY nconst)
+        SELECT p.*, coalesce(g.allTitles, CAST(array() AS ARRAY<STRUCT<tconst: STRING, title: STRING, startYear: INT, endYear: INT>>)) AS allTitles
+        FROM {db}.people p LEFT JOIN grouped g ON p.nconst = g.id""")
