@@ -45,7 +45,7 @@ from marquee.llm.components import connected_components
 #: Groups of the coarse counts that boxes and bounds use.
 GROUPS = 64
 #: A leaf holds at most so many classes, and so many bytes of sets.
-LEAF_ROWS, LEAF_BYTES = 256, 4 << 20
+LEAF_ROWS, LEAF_BYTES = 1024, 4 << 20
 #: Size ranges grow by this factor; the last bits of an entry's key name the range.
 RANGE_GROWTH, RANGE_BITS = 1.5, 6
 #: One block in so many of those that may differ is added for entries left out.
@@ -374,11 +374,12 @@ def over_leaf_pairs(points: DataFrame, fn: Callable[[list[dict], list[dict] | No
         with uncollected():
             for b in batches:
                 out: list[tuple] = []
-                for r in b.to_pylist():
-                    if pair and (pair[0]["a"], pair[0]["b"]) != (r["a"], r["b"]):
-                        out += results(pair)
-                        pair = []
-                    pair.append(r)
+                for at in range(0, b.num_rows, SLICE // 8):
+                    for r in b.slice(at, SLICE // 8).to_pylist():
+                        if pair and (pair[0]["a"], pair[0]["b"]) != (r["a"], r["b"]):
+                            out += results(pair)
+                            pair = []
+                        pair.append(r)
                 yield batch(out)
             if pair:
                 yield batch(list(results(pair)))
