@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import marquee as M
+from harness import stored
 from marquee.functions.arrays import top_k_elements
 from marquee.plans.collections import PEOPLE_FIELDS, principals_by_title, title_collection, title_rows, with_episodes
 from marquee.plans import flat
-from marquee.plans.queries import EPISODE_RANK, credits_per_person_over
+from marquee.plans.queries import EPISODE_RANK, credits_per_person_over, rating_per_genre_of_doubles
 from marquee.plans.views import people_with_title_lists, people_with_titles_over
 from marquee.sources.collections import Collections
 from marquee.sources.fixtures import catalogue_from_driver_tables
@@ -111,8 +112,8 @@ def _series_doc_cols() -> list:
 
 # ---------------------------------------------------------------- collections
 
-def q_principals_by_title(spark, sf_dir):
-    people = principals_by_title(catalogue_from_driver_tables(spark, sf_dir))
+def q_principals_by_title(spark, sf_dir, salted: bool = False):
+    people = stored.principals_salted(spark, sf_dir) if salted else principals_by_title(catalogue_from_driver_tables(spark, sf_dir))
     return _explode(people, ["tconst"], "people", people_cols())
 
 
@@ -132,8 +133,8 @@ def q_tv_series_people(spark, sf_dir):
     return _explode(series, ["tconst"], "people", people_cols())
 
 
-def q_people(spark, sf_dir):
-    df = _colls(spark, sf_dir).people
+def q_people(spark, sf_dir, salted: bool = False):
+    df = stored.people_salted(spark, sf_dir) if salted else _colls(spark, sf_dir).people
     keep = ["nconst", "primaryName", "birthYear", "deathYear", _joined("primaryProfession")]
     return _explode(df, keep, "mainTitles",
                     [F.col("e.tconst").alias("tconst"), F.col("e.title").alias("title"), F.col("e.year").alias("year")])
@@ -194,6 +195,11 @@ def q_rating_per_genre(spark, sf_dir):
     return df.select("genre", "avgRating", "totalMovies")
 
 
+def q_rating_per_genre_of_doubles(spark, sf_dir):
+    """A4, A6 over the ratings as doubles, in bins of exact whole numbers."""
+    return rating_per_genre_of_doubles(_colls(spark, sf_dir).movies)
+
+
 def _actor_importance(by: str, from_tables: bool = False):
     def run(spark, sf_dir):
         if from_tables:
@@ -286,6 +292,27 @@ def q_movies_characters_list(spark, sf_dir):
                     [F.col("e.ordering").alias("ordering"), F.col("e.nconst").alias("nconst"), characters])
 
 
+# ---------------------------------------------------------------- stored collections
+
+def q_titles_named_view(spark, sf_dir):
+    """S6-S10: the permanent view over tables of the catalog, by name."""
+    return _view_cols(stored.named_view(spark, sf_dir, "titles"))
+
+
+def q_people_with_titles_named_view(spark, sf_dir):
+    return _people_titles(stored.named_view(spark, sf_dir, "peopleWithTitles"))
+
+
+def q_titles_credited_indexed(spark, sf_dir):
+    """Q5 by the credit index and the ids that it gives."""
+    return stored.titles_credited_indexed(spark, sf_dir, DIRECTOR, "director").select(*_short_doc_cols())
+
+
+def q_top_episodes_of_clustered(spark, sf_dir):
+    """Q8 over series stored in the order of their titles."""
+    return stored.top_episodes_clustered(spark, sf_dir, SERIES_TITLE)
+
+
 # ---------------------------------------------------------------- single operators
 
 def q_top_k_elements(spark, sf_dir):
@@ -341,4 +368,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "episode_runtime_per_series_from_tables":
         lambda spark, sf_dir: q_episode_runtime_per_series(spark, sf_dir, True),
     "episodes_by_season": q_episodes_by_season,
+    "titles_named_view": q_titles_named_view,
+    "people_with_titles_named_view": q_people_with_titles_named_view,
+    "titles_credited_indexed": q_titles_credited_indexed,
+    "top_episodes_of_clustered": q_top_episodes_of_clustered,
+    "principals_by_title_salted": lambda spark, sf_dir: q_principals_by_title(spark, sf_dir, True),
+    "rating_per_genre_of_doubles": q_rating_per_genre_of_doubles,
+    "people_salted": lambda spark, sf_dir: q_people(spark, sf_dir, True),
 }

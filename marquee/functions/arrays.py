@@ -72,8 +72,14 @@ EXACT = "decimal(8,4)"
 
 
 def exact_sum(c: Column | str) -> Column:
-    """Sum of ratings (an aggregate) that does not depend on the order of rows."""
-    return F.sum(_col(c).cast(EXACT))
+    """Sum of ratings (an aggregate) that does not depend on the order of rows.
+
+    A value that does not fit four places before and after the point raises an
+    error instead of being rounded; sum such doubles with
+    ``operators.exact_sums``."""
+    whole = _col(c).try_cast(EXACT)
+    lost = F.raise_error(F.concat(F.lit("not exact as a rating: "), _col(c).cast("string"))).cast(EXACT)
+    return F.sum(F.when(_col(c).isNull() | F.coalesce(whole.cast("double") == _col(c), F.lit(False)), whole).otherwise(lost))
 
 
 def exact_mean(total: Column, n: Column) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.arrays import Key, sort_elements
+from marquee.operators.joins import left_join_salted
 
 
 def nest(df: DataFrame, name: str, cols: Sequence[str], aliases: Sequence[str] | None = None) -> DataFrame:
@@ -94,19 +95,23 @@ def lookup_array(
     name: str,
     sep: str = ",",
     trim: bool = True,
+    salted: bool = False,
 ) -> DataFrame:
     """Resolve a delimited id list into an array of ``struct(dim_key, fields)``.
 
     Keeps the list's own order (via the element position), keeps ids that have
     no match in ``dim`` with null fields, and leaves rows whose list is null with
     a null array. An empty list is one element with the id ``''``. ``id_list`` is removed from the output.
+
+    ``salted`` spreads an id that a large share of all lists name (``''`` or one
+    known title) over many tasks (:func:`left_join_salted`).
     """
     ids = F.split(F.col(id_list), sep)
     exploded = df.select(key, F.posexplode(ids).alias("_pos", "_id"))
     if trim:
         exploded = exploded.withColumn("_id", F.trim("_id"))
     lookup = dim.select(F.col(dim_key).alias("_id"), *fields)
-    joined = exploded.join(lookup, "_id", "left")
+    joined = left_join_salted(exploded, lookup, "_id", [key, "_pos"]) if salted else exploded.join(lookup, "_id", "left")
     grouped = joined.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("_pos", F.col("_id").alias(dim_key), *fields))).alias("_items")
     )

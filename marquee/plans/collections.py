@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.arrays import asc, parse_characters, split_list
-from marquee.operators.joins import left_join_spread_nulls
+from marquee.operators.joins import left_join_salted, left_join_spread_nulls
 from marquee.operators.nesting import collect_sorted, embed_children, lookup_array, nest
 from marquee.sources.collections import Collections, read_collection, write_collection
 from marquee.sources.tables import Catalogue
@@ -37,7 +37,7 @@ EPISODE_FIELDS = ["Title", "isAdult", "year", "runtime", "ordering", "rating"]
 
 
 def credits_with_people(cat: Catalogue, titles: DataFrame | None = None, characters_as_list: bool = False,
-                        credits: DataFrame | None = None) -> DataFrame:
+                        credits: DataFrame | None = None, salted: bool = False) -> DataFrame:
     """Flat credits (one row per title × person), enriched with the person's
     name and dates. Unknown people keep the credit with null details.
 
@@ -45,7 +45,9 @@ def credits_with_people(cat: Catalogue, titles: DataFrame | None = None, charact
     of titles no collection keeps (episodes) are never aggregated. ``credits``
     replaces the catalogue's credit table by a selection of it. Credits
     without a person id are spread over the join's shuffle rather than
-    piling into the partition of the null key.
+    piling into the partition of the null key. ``salted`` spreads people with a
+    large share of all credits likewise, at the price of counting credits per
+    person first.
     """
     credits = cat.title_principals if credits is None else credits
     if titles is not None:
@@ -53,15 +55,17 @@ def credits_with_people(cat: Catalogue, titles: DataFrame | None = None, charact
     names = cat.name_basics.select(
         "nconst", F.col("primaryName").alias("name"), "birthYear", "deathYear", "primaryProfession"
     )
-    out = left_join_spread_nulls(credits, names, "nconst", spread_by=["tconst", "ordering"])
+    join = left_join_salted if salted else left_join_spread_nulls
+    out = join(credits, names, "nconst", spread_by=["tconst", "ordering"])
     if characters_as_list:
         out = out.withColumn("characters", parse_characters("characters"))
     return out.select("tconst", *PEOPLE_FIELDS)
 
 
-def principals_by_title(cat: Catalogue, titles: DataFrame | None = None, characters_as_list: bool = False) -> DataFrame:
+def principals_by_title(cat: Catalogue, titles: DataFrame | None = None, characters_as_list: bool = False,
+                        salted: bool = False) -> DataFrame:
     """N1: ``tconst, people[]`` with credits sorted by ordering."""
-    return collect_sorted(credits_with_people(cat, titles, characters_as_list), "tconst", PEOPLE_FIELDS, "people")
+    return collect_sorted(credits_with_people(cat, titles, characters_as_list, salted=salted), "tconst", PEOPLE_FIELDS, "people")
 
 
 def with_rating(df: DataFrame, ratings: DataFrame, key: str = "tconst") -> DataFrame:
@@ -145,13 +149,14 @@ def with_episodes(series: DataFrame, cat: Catalogue, order_by: str = "title",
                           keys)
 
 
-def people_collection(cat: Catalogue) -> DataFrame:
+def people_collection(cat: Catalogue, salted: bool = False) -> DataFrame:
     """N4: people with ``primaryProfession[]`` and ``mainTitles[]``
     (tconst, title, year) in known-for order; unknown ids keep null title and
     year; people with no known-for list get null."""
     people = cat.name_basics.withColumn("primaryProfession", split_list("primaryProfession"))
     lookup = cat.title_basics.select("tconst", F.col("primaryTitle").alias("title"), F.col("startYear").alias("year"))
-    return lookup_array(people, "nconst", "knownForTitles", lookup, "tconst", ["title", "year"], "mainTitles")
+    return lookup_array(people, "nconst", "knownForTitles", lookup, "tconst", ["title", "year"], "mainTitles",
+                        salted=salted)
 
 
 def build_collections(cat: Catalogue, episode_order: str = "title", characters_as_list: bool = False,

@@ -122,3 +122,50 @@ def test_hot_person_join_is_split_by_adaptive_execution(spark):
     assert len(rows) == principals.count()  # every credit kept once
     want = principals.filter("nconst = 'nm1'").count()
     assert sum(r.nconst == "nm1" for r in rows) == want and want > len(rows) / 4
+
+
+def _rows_per_task(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    """A third of the rows on one non-null key, another third on null, below any
+    size at which AQE would split: no task gets more than three times the median."""
+    from marquee.operators import left_join_salted
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    saved = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(30000).select(
+            F.col("id").alias("row"),
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.concat(F.lit("n"), (F.col("id") % 2000).cast("string"))).alias("k"))
+        right = spark.range(2000).select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("k"), F.col("id").alias("v")).unionAll(
+            spark.sql("SELECT 'hot', -1L UNION ALL SELECT 'hot', -2L UNION ALL SELECT NULL, -3L"))
+        plain, salted = left.join(right, "k", "left"), left_join_salted(left, right, "k", ["row"])
+        assert salted.columns == plain.columns
+        assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+        tasks = _rows_per_task(salted)
+        assert len(tasks) == 16 and tasks[-1] <= 3 * tasks[8]
+        assert _rows_per_task(plain)[-1] > 3 * _rows_per_task(plain)[len(_rows_per_task(plain)) // 2]
+        empty = left.limit(0)
+        assert left_join_salted(empty, right, "k", ["row"]).count() == 0
+        assert left_join_salted(left, right.limit(0), "k", ["row"]).where("v is null").count() == 30000
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
+def test_salted_collections_are_equal(spark):
+    from marquee.plans.collections import people_collection, principals_by_title
+
+    cat = catalogue_from_driver_tables(spark, SF001)
+    principals = cat.title_principals.withColumn(
+        "nconst", F.when(F.abs(F.hash("tconst", "ordering")) % 3 == 0, F.lit("nm1")).otherwise(F.col("nconst")))
+    names = cat.name_basics.withColumn("knownForTitles", F.when(F.abs(F.hash("nconst")) % 3 == 0, F.lit("")).otherwise(F.col("knownForTitles")))
+    hot = cat.__class__(**{**cat.tables(), "title_principals": principals, "name_basics": names})
+    for build in (principals_by_title, people_collection):
+        a, b = build(hot), build(hot, salted=True)
+        assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
