@@ -47,6 +47,53 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "tsv") -> D
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def header_of(name: str) -> str:
+    """The first line that a text file of the table must have."""
+    return "\t".join(SCHEMAS[name].names)
+
+
+def files_without_header(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """``file``: text files of one table that do not hold its header line, with all
+    columns by name and in order. Reading by position would take such a file's
+    columns for others without a word."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (F.col("value") == header_of(name)).alias("is_header"))
+    return lines.groupBy("file").agg(F.max("is_header").alias("found")).where(~F.col("found")).select("file")
+
+
+def read_table_checked(spark: SparkSession, name: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """One text table split into kept rows and refused lines.
+
+    Kept rows are those of :func:`read_table`. Refused are lines with a malformed
+    number, with too few or too many fields, or without the table's key, as
+    ``table, file, line, reason``; nothing is dropped, so kept and refused
+    together are all lines but the header. A file without the header line raises
+    ``ValueError`` at once. Both results are lazy and parse each line whole, so
+    that a row is kept or refused whatever columns a query reads."""
+    bad = [r.file for r in files_without_header(spark, name, path).orderBy("file").limit(10).collect()]
+    if bad:
+        raise ValueError(f"{name}: no header line {header_of(name)!r} in {', '.join(bad)}")
+    schema = SCHEMAS[name]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", `_refused` string"
+    options = {"sep": "\t", "nullValue": NULL_TOKEN, "quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_refused"}
+    lines = spark.read.text(path).where(F.col("value") != header_of(name)).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    rows = lines.withColumn("row", F.from_csv("line", ddl, options))
+    malformed, no_key = F.col("row._refused").isNotNull(), F.col(f"row.{KEYS[name]}").isNull()
+    reason = F.when(malformed, "malformed").when(no_key, "no key")
+    kept = rows.where(reason.isNull()).select(*[F.col(f"row.{f.name}").alias(f.name) for f in schema])
+    refused = rows.where(reason.isNotNull()).select(F.lit(name).alias("table"), "file", "line", reason.alias("reason"))
+    return kept, refused
+
+
+def load_catalogue_checked(spark: SparkSession, base: str, suffix: str = "") -> tuple[Catalogue, DataFrame]:
+    """All five text tables below ``base`` as :func:`load_catalogue` finds them,
+    without their refused lines, and those of all tables in one DataFrame."""
+    split = {n: read_table_checked(spark, n, f"{base}/{FILE_NAMES[n]}{suffix}") for n in SCHEMAS}
+    refused = None
+    for _, lines in split.values():
+        refused = lines if refused is None else refused.unionByName(lines)
+    return Catalogue(**{n: kept for n, (kept, _) in split.items()}), refused
+
+
 def load_catalogue(spark: SparkSession, base: str, fmt: str = "tsv", suffix: str = "") -> Catalogue:
     """Load all five tables from ``base``.
 
