@@ -328,3 +328,5 @@ SELECT g AS genre,
 FROM rated t, unnest(string_split(t.genres, ',')) AS u(g)
 WHERE t.titleType = 'movie'
 GROUP BY g""")
+
+ORACLE["title_basics_from_text"] = _q("SELECT * FROM title_basics")

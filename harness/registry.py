@@ -374,5 +374,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_episodes_of_clustered": q_top_episodes_of_clustered,
     "principals_by_title_salted": lambda spark, sf_dir: q_principals_by_title(spark, sf_dir, True),
     "rating_per_genre_of_doubles": q_rating_per_genre_of_doubles,
+    "title_basics_from_text": stored.titles_from_text,
     "people_salted": lambda spark, sf_dir: q_people(spark, sf_dir, True),
 }

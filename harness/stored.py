@@ -13,6 +13,8 @@ from marquee.plans.collections import principals_by_title
 from marquee.plans.views import create_views
 from marquee.sources.collections import Collections, read_collections, write_collections
 from marquee.sources.fixtures import catalogue_from_driver_tables
+from marquee.sources.schemas import FILE_NAMES, NULL_TOKEN
+from marquee.sources.tables import read_table_checked
 from marquee.sources.lookups import read_credit_index, titles_credited_by_index, write_lookup_collections
 
 
@@ -62,6 +64,16 @@ def top_episodes_clustered(spark: SparkSession, sf_dir: str, title: str) -> Data
     return M.top_episodes_of(lookup_collections(spark, sf_dir)[0].tvSeries, title)
 
 
+def titles_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The titles written as a text table with its header, and read back with its
+    lines checked; refused lines, of which there are none, would be null rows."""
+    path = f"{shared_folder(spark)}/{FILE_NAMES['title_basics']}"
+    titles = catalogue_from_driver_tables(spark, sf_dir).title_basics
+    titles.write.options(sep="\t", header=True, nullValue=NULL_TOKEN, quote="", emptyValue="").csv(path)
+    kept, refused = read_table_checked(spark, "title_basics", path)
+    return kept.unionByName(refused.select(), allowMissingColumns=True)
+
+
 def principals_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return principals_by_title(catalogue_from_driver_tables(spark, sf_dir), salted=True)
 
