@@ -223,22 +223,29 @@ def packed(points: DataFrame) -> DataFrame:
     """``digest, cls, copies, leaf``: the classes in leaves of bounded size, from
     ``digest, cls, copies, hub, n, bytes``. Points lie in the order of their
     fullest entry, then of size, so that families of copies fill leaves of their
-    own; the order is cut by range into tasks and by rows and bytes into leaves."""
+    own. The order is cut into tasks by range; prefix sums of the tasks' rows and
+    bytes number the leaves through, so they do not hang on the number of tasks. A
+    leaf ends after ``LEAF_ROWS`` rows or with the row that fills ``LEAF_BYTES``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaf = rows = size = 0
+        row = size = 0
         for b in batches:
-            leaves = []
-            for base, n in zip(b.column("task").to_pylist(), b.column("bytes").to_pylist()):
-                if rows and (rows == LEAF_ROWS or size + n > LEAF_BYTES):
-                    leaf, rows, size = leaf + 1, 0, 0
-                rows, size = rows + 1, size + n
-                leaves.append((base << 32) | leaf)
-            yield pa.RecordBatch.from_arrays([b.column("digest"), b.column("cls"), b.column("copies"), pa.array(leaves, pa.int64())], ["digest", "cls", "copies", "leaf"])
+            n = b.column("bytes").to_numpy()
+            before = size + np.cumsum(n) - n
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("digest", "cls", "copies", "task")), pa.array(np.arange(row, row + len(n))), pa.array(before), b.column("bytes")],
+                                             ["digest", "cls", "copies", "task", "row", "before", "bytes"])
+            row, size = row + len(n), size + int(n.sum())
 
     parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = points.repartitionByRange(parts, "hub", "n", "digest").sortWithinPartitions("hub", "n", "digest")
-    return ordered.select("digest", "cls", "copies", "bytes", F.spark_partition_id().alias("task")).mapInArrow(run, "digest binary, cls long, copies long, leaf long")
+    ordered = ordered.select("digest", "cls", "copies", F.col("bytes").cast("long").alias("bytes"), F.spark_partition_id().alias("task"))
+    laid = stored(ordered.mapInArrow(run, "digest binary, cls long, copies long, task int, row long, before long, bytes long"), "ngram-order")
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = laid.groupBy("task").agg(F.count("*").alias("rows"), F.sum("bytes").alias("size"))
+    base = tasks.select("task", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("row0"), F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("size0"))
+    # as many rows as there are tasks; both numbers only grow along the order, so equal sums mean equal numbers
+    leaf = F.floor((F.col("row") + F.col("row0")) / LEAF_ROWS) + F.floor((F.col("before") + F.col("size0")) / LEAF_BYTES)
+    return laid.join(F.broadcast(base), "task").select("digest", "cls", "copies", leaf.cast("long").alias("leaf"))
 
 
 def opened(members: DataFrame, leaves: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
