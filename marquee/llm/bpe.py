@@ -73,6 +73,23 @@ def new_characters() -> tuple[dict[int, str], re.Pattern]:
     return dict.fromkeys(codes, "☃"), re.compile(f"[{inside}]" if inside else r"(?!)")
 
 
+@lru_cache(1)
+def other_characters() -> re.Pattern:
+    """Finds the characters that the tokenizers library, whose Unicode tables
+    differ, lower-cases, composes or orders otherwise than Python."""
+    from tokenizers import normalizers
+
+    every = [chr(i) for i in range(0x80, 0x110000) if not 0xD800 <= i < 0xE000 and unicodedata.category(chr(i)) != "Co"]
+    lower = normalizers.Lowercase().normalize_str("\n".join(every)).split("\n")
+    found = {c for c, theirs in zip(every, lower, strict=True) if theirs != c.lower()}
+    # a mark of a low and one of a high class tell where a character is put among marks
+    tries = "\n".join(f"{c}a{c}\u0334a\u0301{c}\u0334" for c in every)
+    ours, theirs = unicodedata.normalize("NFC", tries), normalizers.NFC().normalize_str(tries)
+    if ours != theirs:
+        found.update(c for c, a, b in zip(every, ours.split("\n"), theirs.split("\n"), strict=True) if a != b)
+    return re.compile("[" + "".join(map(re.escape, sorted(found))) + "]" if found else r"(?!)")
+
+
 class SuffixAutomaton:
     """Of a set of tokens (strings of symbols): reading text symbol by symbol,
     which tokens end here. Each token is the longest string of its state, so
@@ -187,18 +204,29 @@ class BpeCodec:
                 yield from self._plain(part)
 
     def _plain(self, text: str) -> list[str]:
-        if self.nfc and not unicodedata.is_normalized("NFC", text):
+        theirs = (self.nfc or self.lower) and not text.isascii() and other_characters().search(text)
+        if theirs:
+            text = self._normalised(text)
+        elif self.nfc and not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         if not self.drops_blanks:  # where blanks are dropped, their kind makes no difference
             for pattern, by in self.replace:
                 text = pattern.sub(by, text)
-        if self.lower:  # character by character: no special last sigma
+        if self.lower and not theirs:  # character by character: no special last sigma
             text = text.replace("Σ", "σ").lower()
         new, pattern = new_characters()
         if text.isascii() or not pattern.search(text):
             return self.split.findall(text)
         return [text[m.start():m.end()] for m in self.split.finditer(text.translate(new))]
 
+    def _normalised(self, text: str) -> str:
+        """Normal form and lower case by the tokenizers library's own tables."""
+        from tokenizers import normalizers
+
+        for used, step in ((self.nfc, normalizers.NFC), (self.lower, normalizers.Lowercase)):
+            text = step().normalize_str(text) if used else text
+        return text
+
     # ---- words to ids
 
     def _read_merges(self, merges: list[tuple[str, str]], suffix: str) -> None:

@@ -37,6 +37,16 @@ def test_codec_gives_the_librarys_ids_and_texts(name, documents):
         assert ours.decode(ids) == theirs.decode(e.ids, skip_special_tokens=False), text
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_every_character_is_encoded_as_the_library_does(name):
+    path = public_tokenizers.path(name)
+    ours, theirs = bpe.BpeCodec(path), Tokenizer.from_file(path)
+    every = [chr(i) for i in range(0x80, 0x110000) if not 0xD800 <= i < 0xE000]
+    texts = [" ".join(f"a{c}b e\u0301{c}\u0334 {c}" for c in every[k:k + 16]) for k in range(0, len(every), 16)]
+    bad = [t for t, e in zip(texts, theirs.encode_batch(texts, add_special_tokens=False)) if ours.encode(t) != e.ids]
+    assert not bad
+
+
 def test_suffix_automaton_lists_the_tokens_that_end_at_each_place():
     rnd = random.Random(1)
     tokens = {t: i for i, t in enumerate({"".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 6))) for _ in range(60)} | {"a", "b", "c"})}
