@@ -79,7 +79,9 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
         v = shingles[a:a + SLICE, None] * MULTIPLY + ADD
         np.minimum(low, v.min(axis=0), out=low)
         np.maximum(high, v.max(axis=0), out=high)
-    signature = mixed(np.concatenate([low, high])).reshape(BAND_VALUES, BANDS).T  # a band takes values of different permutations
+    # a band takes the least and greatest values of different permutations, as
+    # both of one permutation agree more often than chance has it
+    signature = mixed(np.concatenate([low, np.roll(high, BANDS // 2)])).reshape(BAND_VALUES, BANDS).T
     return mixed((signature * BAND_MIX).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
