@@ -1,17 +1,19 @@
 """Toxicity by the nearest labelled examples.
 
-Texts are TF-IDF vectors over the words, and beginnings of words, that tell the
-labels apart. The index
-holds the labelled examples as an inverted index in blocks, with each word's
-largest weight per block; a search bounds every block's best cosine from those,
-opens blocks from the best bound down, and stops when no other block can hold
-one of the k nearest, so its result is exact. The neighbours vote with weights
-that fall with their distance; the vote becomes a probability through a
+Texts are TF-IDF vectors over all words, and beginnings of words, that occur in
+the labelled examples. The words that tell the labels apart make up a fixed
+share of a vector's length, the others the rest: they weigh more, and none is
+left out. The index holds the examples as an inverted index in blocks, with
+each word's largest weight per block; a search bounds every block's best cosine
+from those, opens the blocks of the best bounds, and then all that could still
+hold one of the k nearest, so its result is exact. The neighbours vote with
+weights that fall with their distance; the vote becomes a probability through a
 monotone curve fitted on the examples' own leave-one-out votes. The neighbours
 are the evidence.
 
-Words and examples come from a bounded sample of the labelled rows (a hash of
-the id draws it); every document is scored, whole.
+Examples come from a bounded sample of the labelled rows (a hash of the id
+draws it); document frequencies are counted over all documents, and every
+document is scored, whole.
 """
 
 from __future__ import annotations
@@ -29,67 +31,91 @@ from pyspark.sql import functions as F
 from marquee.llm.common import bag_of_words, over_batches, stored, unit_hash
 
 #: Examples drawn per class, in expectation.
-PER_CLASS = 4_000
-#: Most words in a vector's vocabulary, and the fewest examples that a word must
-#: occur in to be tested.
-MAX_TERMS, MIN_EXAMPLES = 512, 3
-#: A word is chosen if its likelihood ratio is this many times (as a power of e)
-#: what the luckiest of all tested words would have.
+PER_CLASS = 2_000
+#: Examples that a word must occur in to be tested for telling the labels apart.
+MIN_EXAMPLES = 3
+#: A word tells them apart if its likelihood ratio is this many times (as a
+#: power of e) what the luckiest of all tested words would have.
 MARGIN = 3.0
+#: Share of a squared vector that telling words make up, where a text has both.
+EMPHASIS = 0.8
 NEIGHBOURS, BLOCK = 25, 64
+#: Blocks opened before the first bound is known.
+FIRST = 3
 #: Bytes of a word's beginning that are a term of their own, as inflected words
 #: share them.
 BEGINNING = 5
 CURVE_BINS = 40
-SEARCH_TABLE = 100_000
+
+Terms = tuple[np.ndarray, np.ndarray]
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers begin[0], begin[0] + 1, ... of all ranges, one after another."""
+    before = np.cumsum(size) - size
+    return np.repeat(begin - before, size) + np.arange(int(size.sum()))
+
+
+def counted(numbers: list[int]) -> Terms:
+    """Different term numbers and how often each stands there."""
+    t, n = np.unique(np.array(numbers, dtype=np.int64), return_counts=True)
+    return t, n
 
 
 @dataclass
 class Index:
-    """Examples in blocks of ``BLOCK``. ``postings[t]``: numbers of the examples
-    that hold word t and their weights; ``best[t, b]``: the largest in block b."""
+    """Examples in blocks of ``BLOCK``. The places of term t and the blocks that
+    hold it are ``first[t]`` to ``first[t + 1]``: ``block``, its largest weight
+    there ``best``, and where its postings in that block begin (``at``) and how
+    many they are (``size``); postings are examples ``who`` and weights ``weight``."""
 
     terms: list[str]
     idf: np.ndarray
+    telling: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     weights: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]
-    best: np.ndarray
+    first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))
+    block: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    best: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    at: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    size: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    who: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    weight: np.ndarray = field(default_factory=lambda: np.zeros(0))
     curve: list[tuple[float, float]] = field(default_factory=list)
     empty_score: float = 0.0
 
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers and unit-length TF-IDF weights."""
-        t = np.array(sorted(counts), dtype=np.int64)
-        w = (1 + np.log(np.array([counts[i] for i in t.tolist()], dtype=float))) * self.idf[t] if len(t) else np.zeros(0)
-        return t, w / (np.sqrt((w * w).sum()) or 1.0)
+    def vector(self, counts: Terms) -> Terms:
+        """Term numbers and unit-length TF-IDF weights."""
+        t, n = counts
+        w = (1 + np.log(n)) * self.idf[t]
+        told = self.telling[t]
+        for part, share in ((told, EMPHASIS), (~told, 1 - EMPHASIS)):
+            if part.any():
+                w[part] *= np.sqrt((share if told.any() and not told.all() else 1.0) / (w[part] ** 2).sum())
+        return t, w
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest positive cosine (equal ones: lowest number
         first), without example ``without``."""
-        bound = w @ self.best[t]
-        order = np.argsort(-bound, kind="stable")
-        opened, cos = np.zeros(len(bound), dtype=bool), np.zeros(len(self.ids))
-        at, step = 0, max(1, k // BLOCK + 2)
-        while at < len(order) and bound[order[at]] > 0:
-            now = np.zeros(len(bound), dtype=bool)
-            now[order[at:at + step]] = bound[order[at:at + step]] > 0
-            for i, x in zip(t.tolist(), w.tolist()):
-                who, weight = self.postings[i]
-                inside = now[who // BLOCK]
-                cos[who[inside]] += x * weight[inside]
+        sizes = self.first[t + 1] - self.first[t]
+        places = _ranges(self.first[t], sizes)
+        x, block = np.repeat(w, sizes), self.block[places]
+        bound = np.bincount(block, x * self.best[places], -(-len(self.ids) // BLOCK))
+        cos, opened = np.zeros(len(self.ids)), bound <= 0
+        now = np.zeros(len(bound), dtype=bool)
+        now[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        now &= ~opened
+        while now.any():
+            inside = now[block]
+            p, n = places[inside], self.size[places[inside]]
+            found = _ranges(self.at[p], n)
+            cos += np.bincount(self.who[found], np.repeat(x[inside], n) * self.weight[found], len(cos))
             opened |= now
-            at += step
             if without >= 0:
                 cos[without] = 0
-            if at >= len(order):
-                break
             kth = np.partition(cos, -k)[-k] if len(cos) > k else 0.0
-            if kth > 0 and bound[order[at]] < kth - 1e-12:  # an equal cosine may stand in an unopened block
-                break
-            left = bound[order[at:]]
-            step = max(1, int((left >= kth - 1e-12).sum())) if kth > 0 else 2 * step
+            now = ~opened & (bound >= kth - 1e-8)  # an equal cosine may stand there
         best = np.argsort(-np.round(cos, 9), kind="stable")[:k]
         best = best[cos[best] > 0]
         return best, np.minimum(cos[best], 1.0)
@@ -184,33 +210,68 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ratio = part(p, here * pos) + part(q, here * neg) + part(pos - p, away * pos) + part(neg - q, away * neg)
     tested = per_word.where(p + q >= MIN_EXAMPLES)
     least = float(np.log(max(tested.count(), 1))) + MARGIN
-    chosen = tested.where(p * neg > q * pos).withColumn("ratio", ratio).where(F.col("ratio") >= least).orderBy(F.desc("ratio"), "word").limit(MAX_TERMS).collect()
-    if not chosen:
-        return None
-    terms = [r["word"] for r in chosen]
-    number = {t: i for i, t in enumerate(terms)}
-    idf = np.log((total + 1) / (np.array([r["p"] + r["q"] for r in chosen]) + 1)) + 1
-    vectors: dict[int, Counter] = {}
-    held = found.join(F.broadcast(spark.createDataFrame([(t,) for t in terms], "word string")), "word").groupBy("id", "word").agg(F.max("n").alias("n"))
-    for r in held.toLocalIterator():  # at most MAX_TERMS small rows per drawn example
-        vectors.setdefault(r["id"], Counter())[number[r["word"]]] = r["n"]
-    label_of = {r["id"]: r["label"] for r in found.select("id", "label").distinct().collect()}
-    return _build(terms, idf, vectors, label_of, {k: 1 / s for k, s in share.items()})
-
-
-def _build(terms: list[str], idf: np.ndarray, vectors: dict[int, Counter], label_of: dict[int, int], weight: dict[int, float]) -> Index:
-    """The index over the examples that hold any of the words, like ones side
-    by side so that blocks are tight; then its curve."""
-    order = sorted(vectors, key=lambda i: (sorted(vectors[i]), i))
-    index = Index(terms, idf, np.array(order, dtype=np.int64), np.array([label_of[i] for i in order], dtype=float), np.array([weight[label_of[i]] for i in order]), [], np.zeros((len(terms), -(-len(order) // BLOCK))))
-    lists: list[tuple[list, list]] = [([], []) for _ in terms]
+    telling = {r["word"] for r in tested.where((p * neg > q * pos) & (ratio >= least)).select("word").collect()}
+    # the drawn examples' terms: what the index is made of
+    rows = found.groupBy("id", "label", "word").agg(F.max("n").alias("n")).orderBy("id", "word").toArrow()
+    words = rows.column("word").combine_chunks().dictionary_encode()
+    terms = words.dictionary.to_pylist()
+    n_docs, df = _frequencies(docs.select(F.col(text_col).cast("string").alias("text")), terms)
+    who, n, label = (rows.column(c).to_numpy() for c in ("id", "n", "label"))
+    starts = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
+    term = words.indices.to_numpy().astype(np.int64)
+    cut = list(zip(starts.tolist(), [*starts[1:].tolist(), len(who)]))
+    vectors = {int(who[a]): (term[a:b], n[a:b]) for a, b in cut}
+    label_of = {int(who[a]): int(label[a]) for a, _ in cut}
+    return _build(terms, np.log((n_docs + 1) / (df + 1)) + 1, vectors, label_of, {k: 1 / s for k, s in share.items()}, np.array([t in telling for t in terms], dtype=bool))
+
+
+def _frequencies(texts: DataFrame, terms: list[str]) -> tuple[int, np.ndarray]:
+    """Number of all texts, and of those that hold each of the index's terms:
+    one row a task and term is shuffled, one a term reaches the driver."""
+    shared = texts.sparkSession.sparkContext.broadcast(terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {t.encode("latin-1"): i for i, t in enumerate(shared.value)}
+        sums, docs = np.zeros(len(number), dtype=np.int64), 0
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                docs += 1
+                sums[[number[w] for w in number.keys() & set(text_terms(text))]] += 1
+        held = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, held], pa.int64()), pa.array(np.r_[docs, sums[held]], pa.int64())], ["term", "n"])
+
+    df, total = np.zeros(len(terms)), 0
+    out = texts.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    for t, n in zip(out.column("term").to_pylist(), out.column("n").to_pylist()):
+        if t < 0:
+            total = n
+        else:
+            df[t] = n
+    return total, df
+
+
+def _build(terms: list[str], idf: np.ndarray, vectors: dict[int, Terms], label_of: dict[int, int], weight: dict[int, float], telling: np.ndarray | None = None) -> Index:
+    """The index over all examples that hold a term, like ones side by side so
+    that blocks are tight; then its curve."""
+    telling = np.zeros(len(terms), dtype=bool) if telling is None else telling
+    common = np.argsort(np.argsort(idf, kind="stable"))
+
+    def likeness(i: int) -> tuple:
+        t = vectors[i][0]
+        return sorted(t[telling[t]].tolist()), np.sort(common[t])[:4].tolist(), i
+
+    order = sorted(vectors, key=likeness)
+    index = Index(terms, idf, telling, np.array(order, dtype=np.int64), np.array([label_of[i] for i in order], dtype=float), np.array([weight[label_of[i]] for i in order]))
     sparse = [index.vector(vectors[i]) for i in order]
-    for n, (t, w) in enumerate(sparse):
-        for a, x in zip(t.tolist(), w.tolist()):
-            lists[a][0].append(n)
-            lists[a][1].append(x)
-            index.best[a, n // BLOCK] = max(index.best[a, n // BLOCK], x)
-    index.postings = [(np.array(n, dtype=np.int64), np.array(w)) for n, w in lists]
+    term, x = (np.concatenate(c) for c in zip(*sparse))
+    who = np.repeat(np.arange(len(order)), [len(t) for t, _ in sparse])
+    by_term = np.argsort(term, kind="stable")  # examples stay in order
+    term, index.who, index.weight = term[by_term], who[by_term], x[by_term]
+    block = index.who // BLOCK
+    index.at = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])])
+    index.size, index.block = np.diff(np.r_[index.at, len(term)]), block[index.at]
+    index.best = np.maximum.reduceat(index.weight, index.at)
+    index.first = np.searchsorted(term[index.at], np.arange(len(terms) + 1))
     votes, has = np.zeros(len(order)), np.zeros(len(order), dtype=bool)
     for n, (t, w) in enumerate(sparse):
         near, cos = index.nearest(t, w, without=n)
@@ -218,8 +279,7 @@ def _build(terms: list[str], idf: np.ndarray, vectors: dict[int, Counter], label
         if has[n]:
             votes[n] = index.vote(near, cos)
     index.curve = _monotone(votes[has], index.labels[has], index.weights[has]) if has.any() else [(0.0, 0.0), (1.0, 1.0)]
-    bare = {k: sum(weight[k] for i, y in label_of.items() if y == k and i not in vectors) for k in (0, 1)}
-    index.empty_score = bare[1] / max(bare[0] + bare[1], 1.0)
+    index.empty_score = float((index.weights * index.labels).sum() / index.weights.sum())
     return index
 
 
@@ -227,29 +287,25 @@ def score(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col
     """``doc_id, score, predicted, near_ids, near_cosines`` for every row.
 
     Texts without any of the index's words (null and empty ones too) have no
-    neighbours and score as the examples without them do; without an index all
+    neighbours and score as the share of toxic examples; without an index all
     score 0. Equal cosines go to the example first in the index. Repeated rows
-    repeat; no shuffle.
+    repeat, other columns are not read, texts are read whole; no shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: Index | None = shared.value
-        number = {t.encode("latin-1"): i for i, t in enumerate(ix.terms)} if ix else {}
-        known: dict[tuple, tuple[float, list, list]] = {}
+        get = {t.encode("latin-1"): i for i, t in enumerate(ix.terms)}.get if ix else {}.get
         nothing = (ix.empty_score if ix else 0.0, [], [])
         for b in batches:
             out = []
             for text in b.column(1).to_pylist():
-                counts = Counter([i for i in map(number.get, text_terms(text)) if i is not None])
-                key = tuple(sorted(counts.items()))
-                found = known.get(key) if key else nothing
-                if found is None:
-                    near, cos = ix.nearest(*ix.vector(counts))
-                    found = (ix.score(ix.vote(near, cos)), ix.ids[near].tolist(), cos.tolist()) if len(near) else nothing
-                    if len(known) >= SEARCH_TABLE:
-                        known.clear()
-                    known[key] = found
+                numbers = [i for i in map(get, text_terms(text)) if i is not None]
+                found = nothing
+                if numbers:
+                    near, cos = ix.nearest(*ix.vector(counted(numbers)))
+                    if len(near):
+                        found = (ix.score(ix.vote(near, cos)), ix.ids[near].tolist(), cos.tolist())
                 out.append(found)
             scores = [x[0] for x in out]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= cut) for s in scores], pa.int32()), pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.float64()))], ["doc_id", "score", "predicted", "near_ids", "near_cosines"])

@@ -117,15 +117,15 @@ def test_quality_verdicts(spark, odd):
 def test_nearest_is_exact():
     rng = np.random.default_rng(2)
     terms = [f"t{i}" for i in range(30)]
-    vectors = {i: Counter(rng.choice(30, rng.integers(1, 8)).tolist()) for i in range(1500)}
+    vectors = {i: toxicity.counted(rng.choice(30, rng.integers(1, 8)).tolist()) for i in range(1500)}
     labels = {i: int(rng.random() < 0.3) for i in vectors}
-    ix = toxicity._build(terms, 1 + rng.random(30), vectors, labels, {0: 1.0, 1: 1.0})
+    ix = toxicity._build(terms, 1 + rng.random(30), vectors, labels, {0: 1.0, 1: 1.0}, np.arange(30) < 4)
     dense = np.zeros((len(ix.ids), 30))
     for n, i in enumerate(ix.ids.tolist()):
         t, w = ix.vector(vectors[i])
         dense[n, t] = w
     for _ in range(100):
-        t, w = ix.vector(Counter(rng.choice(30, rng.integers(1, 8)).tolist()))
+        t, w = ix.vector(toxicity.counted(rng.choice(30, rng.integers(1, 8)).tolist()))
         cos = np.round(dense[:, t] @ w, 9)
         want = np.argsort(-cos, kind="stable")[:toxicity.NEIGHBOURS]
         near, got = ix.nearest(t, w)
@@ -133,6 +133,28 @@ def test_nearest_is_exact():
         assert np.allclose(got, cos[near])
 
 
+def test_a_copy_of_a_labelled_text_has_it_as_its_nearest(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    index = toxicity.fit(docs, labels.where(~held_out("doc_id")), per_class=300)
+    text_of = {r.doc_id: r.text for r in docs.collect()}
+    examples = docs.where(F.col("doc_id").isin(index.ids.tolist()))
+    assert examples.count() == len(index.ids)
+    for r in toxicity.score(examples, index).collect():
+        assert r.near_cosines[0] > 1 - 1e-9 and Counter(toxicity.text_terms(text_of[r.near_ids[0]])) == Counter(toxicity.text_terms(text_of[r.doc_id]))
+    for r in toxicity.score(docs, index).where("size(near_ids) = 0").collect():
+        assert not toxicity.text_terms(text_of[r.doc_id])
+
+
+def test_toxicity_held_out_by_language(spark):
+    """On the larger folder: the smaller has one to four such rows of a language."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    index = toxicity.fit(docs, labels.where(~held_out("doc_id")))
+    rows = toxicity.score(docs, index).join(labels.where(held_out("doc_id")), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    share = rows.groupby(["lang", "toxic"]).predicted.mean()
+    for lang, least in (("en", 0.85), ("fr", 0.5), ("de", 0.5), ("es", 0.5)):
+        assert share[lang, 1] >= least and share[lang, 0] < 0.1, lang
+
+
 def test_toxicity_held_out(spark, odd):
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
     index = toxicity.fit(docs, labels.where(~held_out("doc_id")))
