@@ -38,6 +38,12 @@ TRAIN_DOCS = 2_000
 #: probability of a character outside the vocabulary.
 SHARED, UNKNOWN = 0.02, 1e-7
 WORD_TABLE = 350_000
+#: Share of the drawn rows whose fit may be lower than what counts as usual.
+STRAY = 0.01
+#: How many times that share's distance from the median a text may lie below it.
+#: Texts of the learned languages with words that training lacks lie within four,
+#: other languages and random letters beyond twelve.
+FAR = 8
 SCALE = float(1 << 20)
 
 
@@ -249,13 +255,44 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def recognised(model: Model, text: Column, least: float) -> Column:
-    """Whether a text has a language whose posterior is at least ``least``."""
+def fit(scorer: Scorer, text: str | None) -> float:
+    """Mean log likelihood of a text's letters, each word in the language that
+    fits it best (so a text of several learned languages fits well); minus
+    infinity without letters."""
+    words = LETTERS.findall(text.lower()) if text and scorer.model.langs else []
+    if not words:
+        return -math.inf
+    scorer.text_logs(text)  # its words are in the table now
+    best = scorer.table[np.array([scorer.rows[w] for w in words])].max(axis=1).sum()
+    return float(best / sum(len(w) + 1 for w in words))
+
+
+def floor(rows: DataFrame, model: Model, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_lang: int = TRAIN_DOCS) -> float:
+    """The fit below which a text is of no learned language: ``FAR`` times as far
+    below the drawn rows' median as their ``STRAY`` quantile is. Minus infinity without labelled rows. About ``per_lang`` rows a
+    language are drawn, by a hash of the id."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([fit(scorer, t) for t in b.column(0).to_pylist()], pa.float64())], ["fit"])
+
+    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id")).where(F.col("lang").isNotNull())
+    total = max(rows.count(), 1)
+    drawn = rows.where(unit_hash("id") < min(1.0, per_lang * len(model.langs) / total)).select("text")
+    fits = drawn.mapInArrow(run, "fit double").where("fit > double('-Infinity')").agg(F.percentile("fit", F.array(F.lit(STRAY), F.lit(0.5))).alias("p")).first()["p"]
+    return fits[1] - FAR * (fits[1] - fits[0]) if fits else -math.inf
+
+
+def recognised(model: Model, text: Column, least: float, floor: float = -math.inf) -> Column:
+    """Whether a text has a language whose posterior is at least ``least``, and
+    a fit of ``floor`` or more."""
     scorers: dict[int, Scorer] = {}
 
     @F.pandas_udf("boolean")
     def told(texts: pd.Series) -> pd.Series:
         scorer = scorers.get(0) or scorers.setdefault(0, Scorer(model))
-        return pd.Series([best_language(scorer, t)[1] >= least for t in texts], dtype=bool)
+        return pd.Series([best_language(scorer, t)[1] >= least and fit(scorer, t) >= floor for t in texts], dtype=bool)
 
     return told(text.cast("string"))

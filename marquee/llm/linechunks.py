@@ -154,7 +154,7 @@ def _lines_at(lines: Column, span: Column) -> Column:
     return F.array_join(F.slice(lines, span["k"] + 1, span["n"]), "\n")
 
 
-def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", copies_alike: bool = False) -> DataFrame:
     """Like ``dedup_lines``, but finds repeated passages of two lines with words
     or more wherever they begin and end: every two neighbouring lines that stand
     elsewhere before go, so a passage of n lines loses all n in each later copy.
@@ -163,17 +163,22 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     occurrence of a line always stays. Of a line that follows itself one stays.
     ``chunks_removed`` counts the runs of lines removed.
 
+    With ``copies_alike`` equal texts are one document whatever their ids: they
+    are no repeats of each other, lose the same lines and stay equal. The
+    occurrence that stays is then the one in the text with the smallest hash.
+
     Only hashes and places are grouped over all lines; the bytes of the first
     occurrence are read again for passages that do repeat.
     """
     kept = [c for c in docs.columns if c not in ("lines_removed", "chunks_removed")]
     base = docs.select(*(F.col(f"`{c}`") for c in kept))
-    text, key = F.col(f"`{text_col}`").cast("string"), F.col(f"`{id_col}`")
+    text = F.col(f"`{text_col}`").cast("string")
+    key = F.lit(None).cast("long") if copies_alike else F.col(f"`{id_col}`")
     row = F.xxhash64(key, text)
     each = base.where(text.isNotNull()).select(key.alias("id"), row.alias("row"), F.explode(passages(text)).alias("s")).select("id", "row", "s.k", "s.n", "s.hash")
 
     place = F.struct("id", "row", "k", "n")
-    firsts = each.groupBy("hash").agg(F.count("*").alias("times"), F.min(place).alias("first")).where("times > 1")
+    firsts = each.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last") if copies_alike else each.groupBy("hash").agg(F.count("*").alias("times"), F.min(place).alias("first")).where("times > 1")
     wanted = firsts.groupBy(F.col("first.id").alias("__id"), F.col("first.row").alias("__row")).agg(F.collect_list(F.struct("hash", F.col("first.k").alias("k"), F.col("first.n").alias("n"))).alias("__wanted"))
 
     def same_row(rows: DataFrame, how: str) -> DataFrame:
@@ -185,7 +190,8 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     known = known.groupBy("hash", "first").agg(F.min("text").alias("text"))  # rows equal in id and text are one
 
     again = each.join(known, "hash").where(~place.eqNullSafe(F.col("first")))
-    removals = again.groupBy(F.col("id").alias("__id"), F.col("row").alias("__row")).agg(F.collect_list(F.struct("k", "n", "text")).alias("__again"))
+    gather = F.collect_set if copies_alike else F.collect_list  # copies name the same places
+    removals = again.groupBy(F.col("id").alias("__id"), F.col("row").alias("__row")).agg(gather(F.struct("k", "n", "text")).alias("__again"))
 
     def stay(ls: Column) -> Column:
         repeated = F.filter("__again", lambda a: _lines_at(ls, a) == a["text"])  # the bytes
