@@ -21,16 +21,20 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without letters, and those that
-    could as well be of another language, go."""
+    """Documents whose language is told; those without letters, those that could
+    as well be of another language, and those whose words fit none of the
+    learned languages go."""
     ship_code(spark)
-    model = langid.train(docs.where(~held_out("doc_id")), public_tokenizers.path("piece_bpe_32k.model"))
-    return docs.where(langid.recognised(model, F.col("text"), MIN_LANGUAGE_SCORE))
+    known = docs.where(~held_out("doc_id"))
+    model = langid.train(known, public_tokenizers.path("piece_bpe_32k.model"))
+    return docs.where(langid.recognised(model, F.col("text"), MIN_LANGUAGE_SCORE, langid.floor(known, model)))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the chunks of lines that stand elsewhere before."""
-    out = linechunks.dedup_lines(docs)
+    """All documents, without the passages of lines that stand elsewhere too;
+    equal texts stay equal, for the next stage to find. Documents that had
+    nothing else go."""
+    out = linechunks.dedup_passages(docs, copies_alike=True).where((F.col("lines_removed") == 0) | F.col("text").rlike(r"\S"))
     return out.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
 
 
