@@ -19,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,9 @@ TRAIN_DOCS = 2_000
 #: probability of a character outside the vocabulary.
 SHARED, UNKNOWN = 0.02, 1e-7
 WORD_TABLE = 350_000
+#: Characters of texts whose new words are learned together; letters of a word up
+#: to which no product of probabilities gets too small for a double.
+TOGETHER, SHORT = 1 << 20, 32
 #: Share of the drawn rows whose fit may be lower than what counts as usual.
 STRAY = 0.01
 #: How many times that share's distance from the median a text may lie below it.
@@ -73,6 +77,9 @@ class Scorer:
         # each piece's probabilities; None for what only begins pieces
         self.pieces: dict[str, tuple | None] = {p[:k]: None for p in model.pieces for k in range(1, len(p))}
         self.pieces.update(zip(model.pieces, map(tuple, model.probs.tolist()), strict=True))
+        # the same for what only ends pieces
+        self.endings: dict[str, tuple | None] = {p[k:]: None for p in model.pieces for k in range(1, len(p))}
+        self.endings.update((p, self.pieces[p]) for p in model.pieces)
         self.index = {p: i for i, p in enumerate(model.pieces)}
         self.longest = max(map(len, model.pieces), default=1)
         self.unknown = (UNKNOWN,) * len(model.langs)
@@ -123,26 +130,62 @@ class Scorer:
             at[i] = None
         return [off + math.log(x) if x > 0 else -1e6 for x in at[n]]
 
-    def text_logs(self, text: str) -> np.ndarray | None:
-        """Sum over the words of a text; None if it has no letters."""
-        words = LETTERS.findall(text.lower())
-        if not words:
-            return None
-        rows = self.rows
-        ids = list(map(rows.get, words))
-        if None in ids:
-            if len(rows) > WORD_TABLE:  # words in use move over to the new table
-                self.old_rows, self.old_table = rows, self.table
-                rows = self.rows = {}
-                self.table = np.zeros((WORD_TABLE // 4, len(self.model.langs)))
-            for w in set(words).difference(rows):
-                r, old = len(rows), self.old_rows.get(w)
-                rows[w] = r
-                if r >= len(self.table):
-                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-                self.table[r] = self.word_logs(w) if old is None or self.old_rows is rows else self.old_table[old]
-            ids = list(map(rows.__getitem__, words))
-        return self.table[np.array(ids)].sum(axis=0)
+    def words_logs(self, words: list[str]) -> Iterator[list[float]]:
+        """``word_logs`` of each of the sorted words. What a word's forward pass
+        reaches within the beginning it shares with the word before is kept."""
+        get, nothing, unknown = self.endings.get, (), self.unknown
+        at, last = [[1.0] * len(self.model.langs)], ""
+        for word in words:
+            if len(word) > SHORT:
+                yield self.word_logs(word)
+                continue
+            s = START + word
+            same = len(commonprefix((s, last)))
+            del at[same + 1:]
+            last = s
+            for j in range(same + 1, len(s) + 1):
+                i = j - 1
+                p = get(s[i], nothing)
+                b = [x * y for x, y in zip(at[i], p or unknown)]
+                while (p or p is None) and i:
+                    i -= 1
+                    p = get(s[i:j], nothing)
+                    if p:
+                        b = [z + x * y for z, x, y in zip(b, at[i], p)]
+                at.append(b)
+            yield [math.log(x) if x > 0 else -1e6 for x in at[-1]]
+
+    def learn(self, words: set[str]) -> None:
+        """Rows of the table for words that have none."""
+        if len(self.rows) > WORD_TABLE:  # words in use move over to the new table
+            self.old_rows, self.old_table = self.rows, self.table
+            self.rows, self.table = {}, np.zeros((WORD_TABLE // 4, len(self.model.langs)))
+        new = words.difference(self.rows)
+        again = list(new.intersection(self.old_rows)) if self.old_rows is not self.rows else []
+        fresh = sorted(new.difference(again))
+        n = len(self.rows)
+        while n + len(new) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        if again:
+            self.table[n:n + len(again)] = self.old_table[[self.old_rows[w] for w in again]]
+        if fresh:
+            self.table[n + len(again):n + len(new)] = list(self.words_logs(fresh))
+        self.rows.update(zip(again + fresh, range(n, n + len(new))))
+
+    def logs_of(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, int] | None]:
+        """For each text its words' log likelihoods (a row a word) and how many
+        letters and words it has; None if it has no letters."""
+        at = 0
+        while at < len(texts):
+            cut, size = [], 0
+            while at < len(texts) and size < TOGETHER:
+                text = texts[at] or ""
+                cut.append(LETTERS.findall(text.lower()))
+                size, at = size + len(text), at + 1
+            self.learn(set().union(*cut))
+            get = self.rows.__getitem__
+            for words in cut:
+                yield (self.table[list(map(get, words))], sum(map(len, words)) + len(words)) if words else None
 
     def expected(self, word: str, lang: int) -> Iterator[tuple[int, float]]:
         """Expected count of each piece in a word, given its language."""
@@ -224,14 +267,30 @@ def train(rows: DataFrame, vocabulary: str, lang_col: str = "lang", text_col: st
     return model
 
 
-def best_language(scorer: Scorer, text: str | None) -> tuple[str, float]:
-    """The language with the largest posterior, and that posterior."""
+def judged(scorer: Scorer, texts: list[str | None]) -> Iterator[tuple[str, float, float]]:
+    """For each text the language with the largest posterior, that posterior, and
+    its fit: the mean log likelihood of its letters, each word in the language
+    that fits it best (so a text of several learned languages fits well). Without
+    letters ``und``, 0 and minus infinity."""
     langs = scorer.model.langs
-    logs = scorer.text_logs(text) if text and langs else None
-    if logs is None:
-        return UND, 0.0
-    k = int(logs.argmax())
-    return langs[k], float(1.0 / np.exp(logs - logs[k]).sum())
+    for found in scorer.logs_of(texts) if langs else (None for _ in texts):
+        if found is None:
+            yield UND, 0.0, -math.inf
+            continue
+        logs, letters = found[0].sum(axis=0), found[1]
+        k = int(logs.argmax())
+        yield langs[k], float(1.0 / np.exp(logs - logs[k]).sum()), float(found[0].max(axis=1).sum() / letters)
+
+
+def best_language(scorer: Scorer, text: str | None) -> tuple[str, float]:
+    """The language of one text, and its posterior."""
+    lang, posterior, _ = next(judged(scorer, [text]))
+    return lang, posterior
+
+
+def fit(scorer: Scorer, text: str | None) -> float:
+    """The fit of one text."""
+    return next(judged(scorer, [text]))[2]
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,25 +307,13 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         scorer = Scorer(shared.value)
         for b in batches:
             with uncollected():
-                found = [best_language(scorer, t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], ["doc_id", "lang_pred", "score"])
+                found = list(judged(scorer, b.column(1).to_pylist()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _, _ in found], pa.string()), pa.array([y for _, y, _ in found], pa.float64())], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def fit(scorer: Scorer, text: str | None) -> float:
-    """Mean log likelihood of a text's letters, each word in the language that
-    fits it best (so a text of several learned languages fits well); minus
-    infinity without letters."""
-    words = LETTERS.findall(text.lower()) if text and scorer.model.langs else []
-    if not words:
-        return -math.inf
-    scorer.text_logs(text)  # its words are in the table now
-    best = scorer.table[np.array([scorer.rows[w] for w in words])].max(axis=1).sum()
-    return float(best / sum(len(w) + 1 for w in words))
-
-
 def floor(rows: DataFrame, model: Model, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_lang: int = TRAIN_DOCS) -> float:
     """The fit below which a text is of no learned language: ``FAR`` times as far
     below the drawn rows' median as their ``STRAY`` quantile is. Minus infinity without labelled rows. About ``per_lang`` rows a
@@ -276,7 +323,7 @@ def floor(rows: DataFrame, model: Model, lang_col: str = "lang", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([fit(scorer, t) for t in b.column(0).to_pylist()], pa.float64())], ["fit"])
+            yield pa.RecordBatch.from_arrays([pa.array([f for _, _, f in judged(scorer, b.column(0).to_pylist())], pa.float64())], ["fit"])
 
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id")).where(F.col("lang").isNotNull())
     total = max(rows.count(), 1)
@@ -293,6 +340,6 @@ def recognised(model: Model, text: Column, least: float, floor: float = -math.in
     @F.pandas_udf("boolean")
     def told(texts: pd.Series) -> pd.Series:
         scorer = scorers.get(0) or scorers.setdefault(0, Scorer(model))
-        return pd.Series([best_language(scorer, t)[1] >= least and fit(scorer, t) >= floor for t in texts], dtype=bool)
+        return pd.Series([p >= least and f >= floor for _, p, f in judged(scorer, list(texts))], dtype=bool)
 
     return told(text.cast("string"))

@@ -51,6 +51,13 @@ def test_forward_sums_all_segmentations(word):
     assert all(np.isclose(got[i], want[i]) for i in want | got)
 
 
+def test_words_that_share_beginnings_score_as_alone():
+    scorer = langid.Scorer(_model())
+    words = sorted({"a", "ab", "aba", "abab", "abb", "b", "ba", "xab", "xx", "ab" * 16, "ab" * 17, "ab" * 300, "漢a", "漢b"})
+    for word, logs in zip(words, scorer.words_logs(words), strict=True):
+        np.testing.assert_allclose(logs, scorer.word_logs(word), rtol=1e-12)
+
+
 def test_long_words_do_not_underflow():
     logs = langid.Scorer(_model()).word_logs("ab" * 20_000)
     assert all(np.isfinite(logs)) and logs[0] != logs[1]
