@@ -30,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +42,11 @@ from marquee.llm.common import uncollected
 WORD_TABLE = 600_000
 #: Strings given to the library in one call.
 CALL = 8_192
-#: Texts encoded together.
-TOGETHER = 256
+#: Texts encoded together, and their characters (one text at least).
+TOGETHER, TOGETHER_CHARS = 8_192, 8 << 20
+#: Stands before the first word of a text, in whose place no blank is; regular
+#: texts have none.
+FIRST = "\x1f"
 #: Signs that the library cuts off behind a letter, always.
 SIGNS = ".,;:!?&$%*#|"
 
@@ -55,13 +59,47 @@ def is_regular(text: str) -> bool:
     return text.replace("\n", "").isprintable()  # of all kinds of blank, the space alone is printable
 
 
+def gathered(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The runs of ``pool`` that begin at ``start``, one behind the other."""
+    ends = np.cumsum(length)
+    return pool[np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Parts:
+    """Ids of the parts of texts, in one array: a word stands for itself behind a
+    blank, or, if it begins with a line break or ``FIRST``, for itself."""
+
+    def __init__(self, dtype: np.dtype):
+        self.rows: dict[str, int] = {}
+        self.pool, self.used = np.zeros(1 << 16, dtype=dtype), 0
+        self.start, self.length = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
+
+    def add(self, words: list[str], ids: np.ndarray, length: np.ndarray) -> None:
+        n, m = len(self.rows), len(self.rows) + len(words)
+        while m > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.start[n:m], self.length[n:m] = self.used + np.cumsum(length) - length, length
+        self.used += len(ids)
+        self.rows.update(zip(words, range(n, m), strict=True))
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words' ids begin, and how many they are."""
+        rows = np.fromiter(map(self.rows.__getitem__, words), dtype=np.int64, count=len(words))
+        return self.start[rows], self.length[rows]
+
+
 class TextEncoder:
     """Ids of texts by the tokenizers library.
 
     The library's byte-level pattern never joins a character to what stands
     before a lone blank, nor to a lone newline on either side, so the parts
     between them encode alike wherever they occur: each distinct part is given
-    to the library once. Other kinds of tokenizers get whole texts.
+    to the library once, many parts in one string, cut again at the ids whose
+    tokens begin with a blank or line break. Other kinds of tokenizers get whole
+    texts.
     """
 
     def __init__(self, path: str):
@@ -75,34 +113,62 @@ class TextEncoder:
         self.tokenizer.no_padding()
         pre = spec.get("pre_tokenizer") or {}
         self.by_part = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        #: Ids of the parts of texts: a word stands for itself behind a blank,
-        #: or, if it begins with a line break, for itself.
-        self.parts: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.signs: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.dtype = np.dtype("<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4")
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.begins[[i for token, i in vocabulary.items() if token[:1] in ("\u0120", "\u010a")]] = True  # blank and line break, as the byte-level alphabet writes them
+        self.known = self.old = Parts(self.dtype)
+        self.signs: dict[str, np.ndarray] = {}
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
         calls = (texts[k:k + CALL] for k in range(0, len(texts), CALL))
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for c in calls for e in self.tokenizer.encode_batch_fast(c, add_special_tokens=False)]
+        return [np.array(e.ids, dtype=self.dtype) for c in calls for e in self.tokenizer.encode_batch_fast(c, add_special_tokens=False)]
+
+    def _parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, one behind the other, and how many each has."""
+        first, inner = ([p for p in parts if (p[0] == FIRST) == x] for x in (True, False))
+        alone = self._library([p[1:] for p in first])
+        ids, length = [*alone], [np.array([len(x) for x in alone], dtype=np.int64)]
+        groups = [inner[k:k + CALL] for k in range(0, len(inner), CALL)]
+        texts = [[p if p[0] == "\n" else " " + p for p in g] for g in groups]
+        for group, found in zip(texts, self._library(["".join(g) for g in texts]), strict=True):
+            at = np.flatnonzero(self.begins[found])
+            size = np.diff(at, append=len(found))
+            if len(at) != len(group) or at[0]:  # added tokens that look like a beginning
+                each = self._library(group)
+                found, size = np.concatenate(each), np.array([len(x) for x in each], dtype=np.int64)
+            ids.append(found)
+            length.append(size)
+        parts[:] = first + inner
+        return np.concatenate(ids) if ids else np.zeros(0, dtype=self.dtype), np.concatenate(length)
 
     def _learn(self, new: set[str]) -> None:
         """Add parts to the table; a word with signs behind it is the word's ids
         and the signs' ids."""
-        known = self.parts
-        again = new.intersection(self.old)
-        known.update(zip(again, map(self.old.__getitem__, again)))
+        known = self.known
+        again = list(new.intersection(self.old.rows)) if self.old is not known else []
+        if again:
+            start, length = self.old.of(again)
+            known.add(again, gathered(self.old.pool, start, length), length)
         signed = {}
-        for p in new - again:
+        for p in new.difference(again):
             word = p.rstrip(SIGNS)
             if word != p and word[-1:].isalpha():
                 signed[p] = word
-        plain = list((new - again - signed.keys()).union(signed.values()).difference(known))
-        known.update(zip(plain, self._library([p if p[0] == "\n" else " " + p for p in plain]), strict=True))
-        signs = list({p[len(w):] for p, w in signed.items()}.difference(self.signs))
-        self.signs.update(zip(signs, self._library(signs), strict=True))
-        for p, w in signed.items():
-            known[p] = known[w] + self.signs[p[len(w):]]
+        plain = list(new.difference(again, signed).union(signed.values()).difference(known.rows))
+        if plain:
+            ids, length = self._parts(plain)
+            known.add(plain, ids, length)
+        if signed:
+            signs = list({p[len(w):] for p, w in signed.items()}.difference(self.signs))
+            self.signs.update(zip(signs, self._library(signs), strict=True))
+            behind = [self.signs[p[len(w):]] for p, w in signed.items()]
+            start, length = known.of(list(signed.values()))
+            more = np.fromiter(map(len, behind), dtype=np.int64, count=len(behind))
+            # word, signs, word, signs ... as runs of one array
+            pool = np.concatenate([known.pool[:known.used], *behind])
+            runs = np.stack([start, known.used + np.cumsum(more) - more], axis=1).ravel()
+            known.add(list(signed), gathered(pool, runs, np.stack([length, more], axis=1).ravel()), length + more)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``dtype``."""
@@ -110,23 +176,39 @@ class TextEncoder:
         regular = [i for i, t in enumerate(texts) if t and self.by_part and is_regular(t)]
         whole = sorted({i for i, t in enumerate(texts) if t}.difference(regular))
         for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        if len(self.parts) > WORD_TABLE:  # words in use move over to the new table
-            self.old, self.parts = self.parts, {}
-        get = self.parts.get
-        cut = [texts[i].replace("\n", " \n").split(" ") for i in regular]
-        first = self._library([words.pop(0) for words in cut])
-        found = [list(map(get, words)) for words in cut]
-        new = {w for words, ids in zip(cut, found) if None in ids for w, x in zip(words, ids) if x is None}
+            out[i] = ids.tobytes()
+        if not regular:
+            return out
+        if len(self.known.rows) > WORD_TABLE:  # words in use move over to the new table
+            self.old, self.known = self.known, Parts(self.dtype)
+        cut = pc.split_pattern(pc.replace_substring(pa.array([FIRST + texts[i] for i in regular], pa.large_string()), "\n", " \n"), " ")
+        words = cut.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        new = set(distinct).difference(self.known.rows)
         if new:
             self._learn(new)
-            known = self.parts
-            found = [[known[w] if x is None else x for w, x in zip(words, ids)] if None in ids else ids for words, ids in zip(cut, found)]
-        for i, begin, ids in zip(regular, first, found):
-            out[i] = begin + b"".join(ids)
+        start, length = self.known.of(distinct)
+        which = words.indices.to_numpy()
+        each = length[which]
+        ids = gathered(self.known.pool, start[which], each)
+        ends = np.concatenate([[0], np.cumsum(each)])[cut.offsets.to_numpy()]
+        for i, a, b in zip(regular, ends[:-1].tolist(), ends[1:].tolist()):
+            out[i] = ids[a:b].tobytes()
         return out
 
 
+def groups_of(sizes: Iterable[int]) -> Iterator[tuple[int, int]]:
+    """Begin and end of runs of texts that are encoded together."""
+    begin, total, at = 0, 0, -1
+    for at, size in enumerate(sizes):
+        if at > begin and (total + size > TOGETHER_CHARS or at - begin == TOGETHER):
+            yield begin, at
+            begin, total = at, 0
+        total += size
+    if at >= begin:
+        yield begin, at + 1
+
+
 @lru_cache(2)
 def encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
@@ -174,8 +256,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, out: str, end_id: int = 2
             nonlocal at
             for b in batches:
                 ids.extend(x for d in b.column(0).to_pylist() for x in (d or 0, int(d is not None)))
-                for k in range(0, b.num_rows, TOGETHER):
-                    for e in enc.encode([t or "" for t in b.column(1).slice(k, TOGETHER).to_pylist()]):
+                for k, m in groups_of(pc.binary_length(b.column(1).fill_null("")).to_pylist()):
+                    for e in enc.encode([t or "" for t in b.column(1).slice(k, m - k).to_pylist()]):
                         at += len(e) // width + 1
                         offsets.append(at)
                         yield e + end

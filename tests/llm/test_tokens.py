@@ -86,6 +86,20 @@ def test_text_encoder_cuts_where_the_library_does():
         assert np.frombuffer(a, enc.dtype).tolist() == e.ids, text
 
 
+def test_text_encoder_with_a_full_table_and_many_groups(monkeypatch):
+    monkeypatch.setattr(tokenfiles, "WORD_TABLE", 50)
+    monkeypatch.setattr(tokenfiles, "CALL", 7)
+    monkeypatch.setattr(tokenfiles, "TOGETHER_CHARS", 300)
+    enc = tokenfiles.TextEncoder(public_tokenizers.path(FILES[1]))
+    texts = [" ".join(f"w{k % (i + 2)}x{k}{'.,!'[k % 3]}" for k in range(i)) + ("\nend." if i % 2 else "") for i in range(60)]
+    groups = list(tokenfiles.groups_of(map(len, texts)))
+    assert [k for a, b in groups for k in range(a, b)] == list(range(len(texts))) and len(groups) > 5
+    got = [x for _ in range(2) for a, b in groups for x in enc.encode(texts[a:b])]
+    for text, a, e in zip(texts * 2, got, enc.tokenizer.encode_batch(texts * 2, add_special_tokens=False), strict=True):
+        assert np.frombuffer(a, enc.dtype).tolist() == e.ids, text
+    assert list(tokenfiles.groups_of([])) == [] and list(tokenfiles.groups_of([0, 0])) == [(0, 2)]
+
+
 def test_token_files_round_trip(spark, odd):
     path, out = public_tokenizers.path(FILES[1]), fresh_path(spark, "test")
     manifest = tokenfiles.write_token_files(odd(ODD_ROWS), path, out, end_id=2, partitions=3)
