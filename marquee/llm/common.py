@@ -4,6 +4,7 @@ Arrow plumbing."""
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import gc
 import tempfile
 import uuid
@@ -49,9 +50,37 @@ def ship_code(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Paths given out within the innermost ``scratch`` of this thread.
+_scratch: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/marquee-llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/marquee-llm/{name}-{uuid.uuid4().hex}"
+    made = _scratch.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the store that its path names, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the tables that were stored within it, for work whose
+    result has been written elsewhere by then."""
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in made:
+            delete(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

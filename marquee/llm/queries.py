@@ -191,4 +191,31 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM counted
 """
 
-ORACLE = {"op4_chat": CHAT_SQL, "op9_url_rules": _url_sql(), "op11_divergence": DIVERGENCE_SQL, "op12_interaction": INTERACTION_SQL}
+def _links_sql(size: int, percent: int, columns: str) -> str:
+    """Sets of shingles, pairs by shared shingles, components by reachability;
+    documents with equal sets are one class, named by its smallest id."""
+    return rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT doc_id, CASE WHEN len(w) < {size} THEN [array_to_string(w, ' ')] ELSE list_distinct([array_to_string(w[i:i + {size - 1}], ' ') FOR i IN range(1, len(w) - {size - 2})]) END AS s
+  FROM docs WHERE len(w) > 0),
+named AS MATERIALIZED (SELECT doc_id, len(s) AS n, min(doc_id) OVER (PARTITION BY md5(array_to_string(list_sort(s), chr(10)))) AS id, s FROM shingled),
+classes AS MATERIALIZED (SELECT id, any_value(n) AS n, count(*) AS docs, any_value(s) AS s FROM named GROUP BY id),
+items AS MATERIALIZED (SELECT id, n, unnest(s) AS shingle FROM classes),
+pairs AS MATERIALIZED (
+  SELECT a.id AS u, b.id AS v FROM items a JOIN items b USING (shingle)
+  WHERE a.id < b.id AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+links AS MATERIALIZED (SELECT u, v FROM pairs UNION ALL SELECT v, u FROM pairs),
+reach(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+least_of AS (SELECT u AS id, min(v) AS far FROM reach GROUP BY u),
+linked AS (SELECT u AS id, sum(c.docs) AS others FROM links JOIN classes c ON c.id = v GROUP BY u)
+SELECT d.doc_id, CAST(coalesce(x.n, 0) AS BIGINT) AS n_shingles, coalesce(least(x.id, far), x.id, d.doc_id) AS component_id, {columns}
+FROM docs d LEFT JOIN named x USING (doc_id) LEFT JOIN least_of ON least_of.id = x.id LEFT JOIN linked ON linked.id = x.id LEFT JOIN classes c ON c.id = x.id
+"""
+
+
+KEPT = "coalesce(least(x.id, far), x.id, d.doc_id) = d.doc_id AS kept"
+N_LINKS = "CAST(coalesce(others, 0) + coalesce(c.docs - 1, 0) AS BIGINT) AS n_links"
+ORACLE = {"op3_minhash": _links_sql(3, 85, KEPT), "op13_ngram_join": _links_sql(4, 85, N_LINKS), "op4_chat": CHAT_SQL, "op9_url_rules": _url_sql(), "op11_divergence": DIVERGENCE_SQL, "op12_interaction": INTERACTION_SQL}

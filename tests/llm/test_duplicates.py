@@ -6,15 +6,23 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from odd_rows import ODD_ROWS
+from harness.compare import compare, duck
+from odd_rows import ODD_ROWS, SF001
 from marquee.llm import decontam, linechunks, minhash
 from marquee.llm.common import bag_of_words
 from marquee.llm.components import connected_components
+from marquee.llm.queries import ORACLE, QUERIES
 
 _rnd = random.Random(0)
 VOCABULARY = sorted({"".join(_rnd.choices("abcdefghij", k=5)) for _ in range(4000)})
 
 
+@pytest.mark.parametrize("name", ["op3_minhash", "op13_ngram_join"])
+def test_query_matches_sql(spark, name):
+    r = compare(spark, duck(SF001), name, QUERIES[name], ORACLE[name], SF001)
+    assert r["columns_match"] and r["values_match"] and r["rows"] == r["oracle_rows"] > 0, r
+
+
 def test_components_of_random_graphs(spark):
     rnd = random.Random(3)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)] + [(7, 7), (None, 1)]

@@ -1,6 +1,7 @@
 """The pipeline against brute force, stage by stage, at sf0.001."""
 
 import hashlib
+import os
 
 import numpy as np
 import public_tokenizers
@@ -13,7 +14,7 @@ import corpus_pipeline
 from odd_rows import SF001, SF01
 from test_passages import _passages_by_hand as passages_by_hand
 from marquee.llm import langid
-from marquee.llm.common import bag_of_words, held_out
+from marquee.llm.common import bag_of_words, delete, held_out, scratch, stored
 
 
 def _language(spark, rows, documents):
@@ -75,3 +76,18 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, documents):
         out = stage(spark, empty, SF001)
         assert out.columns == documents.columns and out.count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, empty, SF001).count() == 0
+
+
+def test_scratch_tables_go_and_others_stay(spark):
+    def files(df):
+        return df.inputFiles()[0].removeprefix("file:")
+
+    before = stored(spark.range(5), "test-before")
+    with scratch(spark):
+        inner = files(stored(spark.range(5), "test-inner"))
+        assert os.path.exists(inner)
+    assert not os.path.exists(inner) and before.count() == 5
+    path = os.path.dirname(files(before))
+    delete(spark, path)
+    delete(spark, path)  # no folder, no error
+    assert not os.path.exists(path)
