@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from marquee.llm import bpe, decontam, langid, linechunks, minhash
-from marquee.llm.common import held_out, ship_code, stored
+from marquee.llm.common import delete, fresh_path, held_out, scratch, ship_code
 
 #: Least posterior of the predicted language.
 MIN_LANGUAGE_SCORE = 0.5
@@ -63,10 +63,16 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read
-    again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for n, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if n < len(STAGES) - 1:
-            docs = stored(docs, f"pipeline-{n}")
-    return docs
+    again by the next. What a stage stored on its way is deleted once its result
+    is written, and so is its input."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for n, (name, stage) in enumerate(STAGES[:-1]):
+        path = fresh_path(spark, f"pipeline-{n}")
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
