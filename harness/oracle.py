@@ -318,7 +318,7 @@ WHERE t.titleType = 'movie'""")
 # Stored collections: the same answers by name, by index, in another order on disk; and joins with salted keys.
 for _name, _like in (("titles_named_view", "titles_view"), ("people_with_titles_named_view", "people_with_titles"),
                      ("titles_credited_indexed", "titles_credited"), ("top_episodes_of_clustered", "top_episodes_of"),
-                     ("principals_by_title_salted", "principals_by_title"), ("people_salted", "people")):
+                     ("principals_by_title_salted", "principals_by_title"), ("principals_by_title_in_parts", "principals_by_title"), ("people_salted", "people")):
     ORACLE[_name] = ORACLE[_like]
 # Ratings from 1 to 10 are whole numbers of 2^-52: their sum is exact as such, and rounded once where its digits are read as a double.
 ORACLE["rating_per_genre_of_doubles"] = _q("""

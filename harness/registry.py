@@ -117,6 +117,12 @@ def q_principals_by_title(spark, sf_dir, salted: bool = False):
     return _explode(people, ["tconst"], "people", people_cols())
 
 
+def q_principals_in_parts(spark, sf_dir):
+    """Titles with more than one in 16,384 of all credits are put together from parts."""
+    people = principals_by_title(catalogue_from_driver_tables(spark, sf_dir), in_parts=16_384)
+    return _explode(people, ["tconst"], "people", people_cols())
+
+
 def _title_docs(type_: str):
     def run(spark, sf_dir):
         df = title_collection(catalogue_from_driver_tables(spark, sf_dir), type_)
@@ -372,6 +378,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "people_with_titles_named_view": q_people_with_titles_named_view,
     "titles_credited_indexed": q_titles_credited_indexed,
     "top_episodes_of_clustered": q_top_episodes_of_clustered,
+    "principals_by_title_in_parts": q_principals_in_parts,
     "principals_by_title_salted": lambda spark, sf_dir: q_principals_by_title(spark, sf_dir, True),
     "rating_per_genre_of_doubles": q_rating_per_genre_of_doubles,
     "title_basics_from_text": stored.titles_from_text,

@@ -60,6 +60,58 @@ def collect_sorted(
     return df.groupBy(*keys).agg(arr.alias(name))
 
 
+#: Rows drawn per part of a heavy key to choose where its parts begin, in expectation.
+DRAWN_PER_PART = 64
+
+
+def collect_sorted_in_parts(
+    df: DataFrame, key: str, fields: Sequence[str | Column], name: str, slots: int = 64
+) -> DataFrame:
+    """:func:`collect_sorted` in natural struct order, where no task sorts all
+    elements of a key that holds a large share of the rows.
+
+    A key (null included) with more than one in ``slots`` of the rows is heavy; a
+    count with map-side partials finds them, and there are fewer than ``slots``.
+    A heavy key's elements are dealt by value over as many parts as it has
+    ``slots``-ths of the rows: a draw by a hash of the element, some
+    ``DRAWN_PER_PART`` a part, gives the values where parts begin. Each
+    (key, part) is sorted and collected on its own, and the document joins its
+    few sorted parts end to end. The arrays equal those of ``collect_sorted``
+    whatever the draw holds, as parts never overlap in value; the draw only
+    evens out their sizes. Elements equal in all fields share a part.
+
+    The lists that are broadcast are bounded by ``slots``: heavy keys, and fewer
+    than three times ``slots`` begins in all. Other keys are collected as in
+    ``collect_sorted``, with one shuffle. ``df`` is read once for the counts, once
+    for the draw, and once each for heavy and other keys. Elements must be of a
+    type that can be ordered (no maps).
+    """
+    rows = df.select(F.col(key), F.struct(*fields).alias("_item"))
+    counts = rows.groupBy(F.col(key).alias("_hk")).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_t"))
+    heavy = counts.where(F.col("_n") * slots > total.scalar())
+    heavy = heavy.select("_hk", "_n", F.ceil(F.col("_n") * slots / total.scalar()).cast("int").alias("_parts"))
+    is_heavy = F.col(key).eqNullSafe(F.col("_hk"))
+
+    drawn = rows.join(F.broadcast(heavy), is_heavy).where(F.pmod(F.xxhash64("_item"), "_n") < DRAWN_PER_PART * F.col("_parts"))
+    drawn = drawn.groupBy("_hk", "_parts").agg(F.sort_array(F.collect_set("_item")).alias("_drawn"))
+    begins = F.transform(
+        F.sequence(F.lit(1), F.col("_parts") - 1),
+        lambda i: F.get("_drawn", F.floor(i * F.size("_drawn") / F.col("_parts")).cast("int")),
+    )
+    begins = heavy.select("_hk").join(drawn.select(F.col("_hk").alias("_dk"), begins.alias("_begins")), F.col("_hk").eqNullSafe(F.col("_dk")), "left")
+
+    dealt = rows.join(F.broadcast(begins.select("_hk", "_begins")), is_heavy)
+    before = F.size(F.filter("_begins", lambda b: b <= F.col("_item")))
+    dealt = dealt.select(key, "_item", F.when(F.col("_begins").isNull(), 0).otherwise(before).alias("_part"))
+    parts = dealt.groupBy(key, "_part").agg(F.sort_array(F.collect_list("_item")).alias("_items"))
+    whole = parts.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_part", "_items"))).alias("_all"))
+    whole = whole.select(key, F.flatten(F.transform("_all", lambda p: p["_items"])).alias(name))
+
+    others = rows.join(F.broadcast(heavy), is_heavy, "left_anti")
+    return others.groupBy(key).agg(F.sort_array(F.collect_list("_item")).alias(name)).unionAll(whole)
+
+
 def embed_children(
     parent: DataFrame,
     child: DataFrame,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.arrays import asc, parse_characters, split_list
 from marquee.operators.joins import left_join_salted, left_join_spread_nulls
-from marquee.operators.nesting import collect_sorted, embed_children, lookup_array, nest
+from marquee.operators.nesting import collect_sorted, collect_sorted_in_parts, embed_children, lookup_array, nest
 from marquee.sources.collections import Collections, read_collection, write_collection
 from marquee.sources.tables import Catalogue
 
@@ -63,9 +63,15 @@ def credits_with_people(cat: Catalogue, titles: DataFrame | None = None, charact
 
 
 def principals_by_title(cat: Catalogue, titles: DataFrame | None = None, characters_as_list: bool = False,
-                        salted: bool = False) -> DataFrame:
-    """N1: ``tconst, people[]`` with credits sorted by ordering."""
-    return collect_sorted(credits_with_people(cat, titles, characters_as_list, salted=salted), "tconst", PEOPLE_FIELDS, "people")
+                        salted: bool = False, in_parts: int | None = None) -> DataFrame:
+    """N1: ``tconst, people[]`` with credits sorted by ordering.
+
+    ``in_parts`` sorts the credits of a title with more than one in ``in_parts``
+    of all credits in parts (:func:`collect_sorted_in_parts`)."""
+    rows = credits_with_people(cat, titles, characters_as_list, salted=salted)
+    if in_parts:
+        return collect_sorted_in_parts(rows, "tconst", PEOPLE_FIELDS, "people", slots=in_parts)
+    return collect_sorted(rows, "tconst", PEOPLE_FIELDS, "people")
 
 
 def with_rating(df: DataFrame, ratings: DataFrame, key: str = "tconst") -> DataFrame:

@@ -169,3 +169,59 @@ def test_salted_collections_are_equal(spark):
     for build in (principals_by_title, people_collection):
         a, b = build(hot), build(hot, salted=True)
         assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_a_hot_document_is_sorted_in_parts(spark):
+    """A third of the rows in one document, a third under null: the same arrays,
+    and no task sorts more than a small share of them."""
+    from marquee.operators import collect_sorted, collect_sorted_in_parts
+
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.concat(F.lit("t"), (F.col("id") % 500).cast("string")))
+        rows = spark.range(30000).select(
+            key.alias("k"), F.when(F.col("id") % 11 > 0, F.pmod(F.hash("id"), F.lit(900))).alias("ordering"),
+            F.concat(F.lit("n"), F.pmod(F.hash("id"), F.lit(7000)).cast("string")).alias("name"))
+        plain = collect_sorted(rows, "k", ["ordering", "name"], "items")
+        parts = collect_sorted_in_parts(rows, "k", ["ordering", "name"], "items")
+        assert parts.schema == plain.schema
+        assert {r.k: r["items"] for r in parts.collect()} == {r.k: r["items"] for r in plain.collect()}
+        lines = parts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert any("Aggregate [k#" in x and "_part#" in x for x in lines)
+        for odd in (rows.limit(0), rows.limit(1), rows.limit(0).unionAll(spark.sql("SELECT 'x', 1, 'n' FROM range(3000)").toDF("k", "ordering", "name"))):
+            a, b = (f(odd, "k", ["ordering", "name"], "items").collect() for f in (collect_sorted, collect_sorted_in_parts))
+            assert sorted(map(str, a)) == sorted(map(str, b))
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
+def test_parts_of_a_hot_document_are_even(spark):
+    """The begins that a draw gives cut a hot key's elements into parts of like size."""
+    from unittest import mock
+
+    from marquee.operators import nesting
+
+    rows = spark.range(40000).select(F.lit("hot").alias("k"), F.pmod(F.hash("id"), F.lit(10**9)).alias("ordering"))
+    sizes = []
+    flatten = F.flatten
+
+    def seen(arrays):
+        sizes.append(arrays)
+        return flatten(F.array(F.transform("_all", lambda p: F.struct(F.size(p["_items"]).alias("ordering")))))
+
+    with mock.patch.object(nesting.F, "flatten", seen):
+        got = [x["ordering"] for x in nesting.collect_sorted_in_parts(rows, "k", ["ordering"], "items", slots=16).first()["items"]]
+    assert sizes and sum(got) == 40000 and len(got) == 16 and max(got) <= 3 * sorted(got)[8]
+
+
+def test_principals_in_parts_are_equal(spark):
+    from marquee.plans.collections import principals_by_title
+
+    cat = catalogue_from_driver_tables(spark, SF001)
+    hot = F.when(F.abs(F.hash("tconst", "ordering")) % 3 == 0, F.lit("tt1")).otherwise(F.col("tconst"))
+    cat = cat.__class__(**{**cat.tables(), "title_principals": cat.title_principals.withColumn("tconst", hot)})
+    a, b = principals_by_title(cat), principals_by_title(cat, in_parts=64)
+    assert a.schema == b.schema and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
