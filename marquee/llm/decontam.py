@@ -11,9 +11,8 @@ the item's own window (or of the whole item) in the text's window and its
 neighbours weeds out candidates that are close in the latent space alone.
 
 The benchmark is taken in blocks of items; only a block's vocabulary, latent
-vectors and items are sent to the tasks. Document frequencies and the search
-cover every text, whole. The latent space is fitted on all of the block's
-passages and a bounded, hash-drawn sample of documents.
+vectors and items are sent to the tasks. Document frequencies, the latent space
+and the search cover every text, whole.
 """
 
 from __future__ import annotations
@@ -27,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import bag_of_words, over_batches, spread, stored, unit_hash
+from marquee.llm.common import bag_of_words, over_batches, spread, stored
 
 #: Words of the items of one block, in expectation (a longer item is a block of
-#: its own size), and documents that the space is fitted on.
-BLOCK_WORDS, FIT_DOCS = 40_000, 10_000
+#: its own size).
+BLOCK_WORDS = 40_000
 #: Words per half window; a window is two halves, windows begin at every half.
 #: Shorter items are looked for in windows of shorter halves, the longest that
 #: are no longer than the item, so that the text around it does not dilute it.
@@ -50,6 +49,10 @@ MIN_COMMON, VERBATIM = 0.6, 0.85
 RAREST, RAREST_FOUND = 0.3, 0.6
 #: Occurrences, windows, and occurrences of one sum, worked on at once.
 SLICE, TOGETHER, SUMMED = 40_000, 4_096, 256
+#: Words up to which a task sums the products of all pairs of words in a table.
+DENSE = 4_096
+#: A large odd number, whose products with keys spread over the slots of a table.
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -64,20 +67,38 @@ class Shares:
     """What share of the weight of a group of words each of its words has."""
 
     size: int
-    keys: np.ndarray  # sorted: group number times words, plus word
-    shares: np.ndarray
+    keys: np.ndarray  # group number times words, plus word; last -1, which is none
+    shares: np.ndarray  # of each key
+    slots: np.ndarray  # number of the key in each slot; a key is in the first slot that was free from its own on
 
     @staticmethod
     def of(groups: list[np.ndarray], idf: np.ndarray) -> Shares:
         kinds = [np.unique(g) for g in groups]
         keys = np.concatenate([n * len(idf) + k for n, k in enumerate(kinds)])
-        return Shares(len(idf), keys, np.concatenate([idf[k] / idf[k].sum() for k in kinds]))
+        slots = np.full(1 << (8 * len(keys)).bit_length(), len(keys), dtype=np.int32)
+        out = Shares(len(idf), np.r_[keys, -1], np.concatenate([*(idf[k] / idf[k].sum() for k in kinds), [0.0]]), slots)
+        left, slot = np.arange(len(keys)), out._slot(keys)
+        while len(left):
+            free = slots[slot] == len(keys)
+            slots[slot[free]] = left[free]
+            again = slots[slot] != left
+            left, slot = left[again], (slot[again] + 1) % len(slots)
+        return out
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * ODD) >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
 
     def share(self, group: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Share of each word in its group's weight, 0 for words it lacks."""
         key = group.astype(np.int64) * self.size + word
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.shares[at], 0.0)
+        slot = self._slot(key)
+        at = self.slots[slot]
+        other = np.flatnonzero((self.keys[at] != key) & (at < len(self.keys) - 1))
+        while len(other):  # another key's slot: the next one
+            slot[other] = (slot[other] + 1) % len(self.slots)
+            at[other] = self.slots[slot[other]]
+            other = other[(self.keys[at[other]] != key[other]) & (at[other] < len(self.keys) - 1)]
+        return self.shares[at]
 
 
 @dataclass
@@ -88,6 +109,7 @@ class Scale:
     queries: np.ndarray  # unit latent vectors of the items' windows
     owner: np.ndarray  # item number of each
     of_windows: Shares  # in the order of queries
+    part: np.ndarray  # whether each window is less than its whole item
 
 
 @dataclass
@@ -229,11 +251,30 @@ def _gram_times(pos: np.ndarray, ids: np.ndarray, idf: np.ndarray, right: np.nda
     return len(starts)
 
 
-def _fit(tokens: DataFrame, n_docs: int, items: list[Item], idf: np.ndarray) -> np.ndarray:
-    """Right singular vectors of the passages of sampled documents and of all
-    items, both groups with equal weight."""
+def _add_pairs(pos: np.ndarray, ids: np.ndarray, idf: np.ndarray, out: np.ndarray) -> int:
+    """Add to ``out[i, j]`` the products of the weights of each two places of a
+    passage, words i and j there, once, of each place with itself half: ``out``
+    plus its transpose is A'A for the passages A. How many passages."""
+    size, flat, idf = len(idf), out.reshape(-1), idf.astype(np.float64)  # an unpickled dtype, equal but not the same, makes add.at slow
+    starts, w = _passages(pos, ids, idf)
+    ends, a = np.r_[starts[1:], len(pos)], 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(starts, starts[a] + SLICE)))
+        at = np.arange(starts[a], ends[b - 1])
+        n = np.repeat(ends[a:b], ends[a:b] - starts[a:b]) - at  # a place meets itself and those after it
+        own = np.cumsum(n) - n
+        other = np.arange(n.sum()) - np.repeat(own - at, n)
+        product = np.repeat(w[at], n) * w[other]
+        product[own] /= 2
+        np.add.at(flat, np.repeat(ids[at].astype(np.int64) * size, n) + ids[other], product)
+        a = b
+    return len(starts)
+
+
+def _fit(tokens: DataFrame, items: list[Item], idf: np.ndarray) -> np.ndarray:
+    """Right singular vectors of the passages of all documents and of all items,
+    both groups with equal weight."""
     size, width = len(idf), min(len(idf), RANK + OVERSAMPLE)
-    sample = spread(tokens.where(unit_hash("doc_id") < min(1.0, FIT_DOCS / max(n_docs, 1))).select("pos", "ids"))
     sc = tokens.sparkSession.sparkContext
     own_pos, own_ids, _ = _joined([np.arange(len(i.words)) for i in items], [np.array(i.words) for i in items])
 
@@ -242,14 +283,17 @@ def _fit(tokens: DataFrame, n_docs: int, items: list[Item], idf: np.ndarray) ->
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right, weight = shared.value
-            sums, rows = np.zeros((size, right.shape[1])), 0
+            sums, rows = np.zeros((size, size if size <= DENSE else right.shape[1])), 0
             for b in batches:
                 if b.num_rows:
-                    rows += _gram_times(*_joined(_ints(b.column(0)), _ints(b.column(1)))[:2], weight, right, sums)
+                    pos, ids, _ = _joined(_ints(b.column(0)), _ints(b.column(1)))
+                    rows += _add_pairs(pos, ids, weight, sums) if size <= DENSE else _gram_times(pos, ids, weight, right, sums)
+            if size <= DENSE:
+                sums = sums @ right + sums.T @ right
             at = np.flatnonzero(sums.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int32()), pa.array([np.array([rows], dtype=np.float64).tobytes(), *(x.tobytes() for x in sums[at])], pa.binary())], ["key", "v"])
 
-        sums = _vector_sums(sample.mapInArrow(run, "key int, v binary"))
+        sums = _vector_sums(tokens.select("pos", "ids").mapInArrow(run, "key int, v binary"))
         rows = float(sums.pop(-1, np.zeros(1))[0])
         corpus = np.zeros((size, right.shape[1]))
         for k, v in sums.items():
@@ -319,6 +363,14 @@ def _candidates(space: Space, pos: np.ndarray, ids: np.ndarray) -> Iterator[tupl
         yield from _close(space, scale, pos, ids, halves, sums)
 
 
+def _held(shares: Shares, group: np.ndarray, ids: np.ndarray, p: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """What share of its group's weight each place (words p to r) holds."""
+    size = r - p
+    begin = np.cumsum(size) - size
+    at = np.arange(size.sum()) - np.repeat(begin - p, size)
+    return np.add.reduceat(shares.share(np.repeat(group, size), ids[at]), begin)
+
+
 def _close(space: Space, scale: Scale, pos: np.ndarray, ids: np.ndarray, halves: np.ndarray, sums: np.ndarray) -> Iterator[tuple[int, int, float]]:
     """The candidates of one scale."""
     for a in range(0, len(halves), TOGETHER):
@@ -328,11 +380,10 @@ def _close(space: Space, scale: Scale, pos: np.ndarray, ids: np.ndarray, halves:
         for k in range(0, len(w), TOGETHER):
             first, item, near = halves[a + w[k:k + TOGETHER]] * scale.half, scale.owner[q[k:k + TOGETHER]], cos[w[k:k + TOGETHER], q[k:k + TOGETHER]]
             p, r = np.searchsorted(pos, first - HALF), np.searchsorted(pos, first + 2 * scale.half + HALF)
-            size = r - p
-            begin = np.cumsum(size) - size
-            at = np.arange(size.sum()) - np.repeat(begin - p, size)
-            held = np.add.reduceat(scale.of_windows.share(np.repeat(q[k:k + TOGETHER], size), ids[at]), begin)
-            held = np.maximum(held, np.add.reduceat(space.of_items.share(np.repeat(item, size), ids[at]), begin))
+            held = _held(scale.of_windows, q[k:k + TOGETHER], ids, p, r)
+            part = np.flatnonzero(scale.part[q[k:k + TOGETHER]])
+            if len(part):
+                held[part] = np.maximum(held[part], _held(space.of_items, item[part], ids, p[part], r[part]))
             for n in np.flatnonzero(held >= MIN_OVERLAP):
                 yield int(first[n]), int(item[n]), float(near[n])
 
@@ -357,7 +408,7 @@ def _scales(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> list[Scal
     out = []
     fits = [max([h for h in HALVES if h <= len(i.words)], default=HALVES[0]) for i in items]
     for half in sorted(set(fits)):
-        queries, owner, windows = [], [], []
+        queries, owner, windows, part = [], [], [], []
         for n, i in enumerate(items):
             if fits[n] == half:
                 halves, sums = _half_sums(np.arange(len(i.words)), np.array(i.words), latent, half)
@@ -365,8 +416,9 @@ def _scales(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> list[Scal
                 w = w[:max(1, len(w) - 1)]  # the last half alone is in the window before it
                 queries.append(w)
                 owner += [n] * len(w)
+                part += [2 * half < len(i.words)] * len(w)
                 windows += [np.array(i.words[h * half:(h + 2) * half]) for h in halves[:len(w)]]
-        out.append(Scale(half, _unit(np.concatenate(queries)), np.array(owner), Shares.of(windows, idf)))
+        out.append(Scale(half, _unit(np.concatenate(queries)), np.array(owner), Shares.of(windows, idf), np.array(part)))
     return out
 
 
@@ -416,7 +468,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
             continue
         tokens = stored(_tokens(docs, number), "decontam-tokens")
         idf = np.log((n_docs + 1) / (_document_counts(tokens, len(number)) + 1)) + 1e-3
-        latent = (idf[:, None] * _fit(tokens, n_docs, items, idf)).astype(np.float32)
+        latent = (idf[:, None] * _fit(tokens, items, idf)).astype(np.float32)
         out = out.unionAll(_search(tokens, Space(items, idf, latent, Shares.of([np.array(i.words) for i in items], idf), _scales(items, idf, latent))))
     return out
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,45 @@ def test_paraphrases_are_found_and_clean_texts_are_not(spark):
     assert not got - want and len(got) >= 0.97 * len(want) and {(i, i % 30) for i in range(60)} <= got
 
 
+def test_the_space_is_fitted_on_all_passages_of_all_texts(spark):
+    rnd = random.Random(4)
+    rows = [(i, [w for w in rnd.choices(range(40), k=rnd.randrange(1, 150))]) for i in range(12_000)]
+    items = [decontam.Item(n, rnd.choices(range(40), k=30), []) for n in range(5)]
+    idf = np.linspace(0.5, 3.0, 40)
+    gram, passages = np.zeros((40, 40)), 0
+    own, n_own = np.zeros((40, 40)), 0
+    for words, out in [*((w, gram) for _, w in rows), *((i.words, own) for i in items)]:
+        for a in range(0, len(words), 2 * decontam.HALF):
+            x = np.bincount(words[a:a + 2 * decontam.HALF], minlength=40) * idf
+            norm = np.sqrt((idf[words[a:a + 2 * decontam.HALF]] ** 2).sum())
+            out += np.outer(x, x) / norm**2
+            passages, n_own = passages + (out is gram), n_own + (out is own)
+    values, vectors = np.linalg.eigh(gram / passages + own / n_own)
+    packed = [(i, np.arange(len(w), dtype=np.int32).tobytes(), np.array(w, dtype=np.int32).tobytes()) for i, w in rows]
+    tokens = spark.createDataFrame(packed, "doc_id long, pos binary, ids binary")
+    got = decontam._fit(tokens, items, idf)
+    # all 40 directions are kept, by falling value: each is that of all passages
+    close = np.abs((got * vectors[:, ::-1]).sum(axis=0))
+    assert got.shape == (40, 40) and close.min() > 1 - 1e-6
+
+
+def test_pairs_of_words_sum_up_to_the_same_products():
+    rnd = np.random.default_rng(6)
+    pos, idf, right = np.unique(rnd.integers(0, 9_000, 5_000)), rnd.random(70) + 0.1, rnd.standard_normal((70, 9))
+    ids, want, pairs = rnd.integers(0, 70, len(pos)), np.zeros((70, 9)), np.zeros((70, 70))
+    assert decontam._gram_times(pos, ids, idf, right, want) == decontam._add_pairs(pos, ids, idf, pairs)
+    assert np.allclose((pairs + pairs.T) @ right, want)
+
+
+def test_shares_of_words_in_groups():
+    rnd = np.random.default_rng(7)
+    idf, groups = rnd.random(90) + 0.1, [rnd.integers(0, 90, rnd.integers(1, 30)) for _ in range(50)]
+    group, word = (x.ravel() for x in np.meshgrid(np.arange(50), np.arange(90), indexing="ij"))
+    got = decontam.Shares.of(groups, idf).share(group, word).reshape(50, 90)
+    for n, g in enumerate(groups):
+        assert got[n].tolist() == [idf[w] / idf[np.unique(g)].sum() if w in g else 0.0 for w in range(90)]
+
+
 def test_answers_decide_about_paraphrases(spark):
     question = " ".join(f"q{i}" for i in range(20))
     changed = " ".join(f"q{i}" if i % 4 else "other" for i in range(20))
