@@ -36,6 +36,8 @@ from marquee.llm.common import over_batches
 #: Words and tested pairs kept per worker before a table is emptied and filled
 #: anew (a matter of memory only, never of results).
 WORD_TABLE, PAIR_TABLE = 400_000, 200_000
+#: Characters compared with the tokenizers library's tables at once.
+TRIED = 1 << 14
 
 # How byte-level vocabularies spell bytes as characters, and the
 # pattern that cuts text into words where the tokenizer file names none.
@@ -58,8 +60,8 @@ def new_characters() -> tuple[dict[int, str], re.Pattern]:
     place of each, and a pattern that finds them."""
     from tokenizers import Regex, pre_tokenizers
 
-    known = regex.findall(r"[\p{L}\p{N}]", "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000))
-    young = [c for c in known if unicodedata.category(c) == "Cn"]
+    letter = regex.compile(r"[\p{L}\p{N}]")
+    young = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn" and letter.match(c)]
     theirs = pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]"), "removed", invert=True)
     same = {t for t, _ in theirs.pre_tokenize_str("".join(young))}
     codes = sorted(ord(c) for c in young if c not in same)
@@ -79,14 +81,18 @@ def other_characters() -> re.Pattern:
     differ, lower-cases, composes or orders otherwise than Python."""
     from tokenizers import normalizers
 
-    every = [chr(i) for i in range(0x80, 0x110000) if not 0xD800 <= i < 0xE000 and unicodedata.category(chr(i)) != "Co"]
-    lower = normalizers.Lowercase().normalize_str("\n".join(every)).split("\n")
-    found = {c for c, theirs in zip(every, lower, strict=True) if theirs != c.lower()}
-    # a mark of a low and one of a high class tell where a character is put among marks
-    tries = "\n".join(f"{c}a{c}\u0334a\u0301{c}\u0334" for c in every)
-    ours, theirs = unicodedata.normalize("NFC", tries), normalizers.NFC().normalize_str(tries)
-    if ours != theirs:
-        found.update(c for c, a, b in zip(every, ours.split("\n"), theirs.split("\n"), strict=True) if a != b)
+    found = set()
+    for first in range(0x80, 0x110000, TRIED):
+        every = [chr(i) for i in range(first, min(first + TRIED, 0x110000)) if not 0xD800 <= i < 0xE000 and unicodedata.category(chr(i)) != "Co"]
+        if not every:
+            continue
+        lower = normalizers.Lowercase().normalize_str("\n".join(every)).split("\n")
+        found.update(c for c, theirs in zip(every, lower, strict=True) if theirs != c.lower())
+        # a mark of a low and one of a high class tell where a character is put among marks
+        tries = "\n".join(f"{c}a{c}\u0334a\u0301{c}\u0334" for c in every)
+        ours, theirs = unicodedata.normalize("NFC", tries), normalizers.NFC().normalize_str(tries)
+        if ours != theirs:
+            found.update(c for c, a, b in zip(every, ours.split("\n"), theirs.split("\n"), strict=True) if a != b)
     return re.compile("[" + "".join(map(re.escape, sorted(found))) + "]" if found else r"(?!)")
 
 

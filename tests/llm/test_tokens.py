@@ -1,7 +1,10 @@
 """BPE by prefixes and token files, against the tokenizers library."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -26,6 +29,13 @@ def _texts():
     return out
 
 
+def test_comparing_unicode_tables_takes_little_memory():
+    code = "import tracemalloc; from marquee.llm import bpe; import tokenizers; tracemalloc.start(); bpe.new_characters(); bpe.other_characters(); print(tracemalloc.get_traced_memory()[1])"
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    run = subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, check=True, timeout=300)
+    assert int(run.stdout) < 60_000_000
+
+
 @pytest.mark.parametrize("name", FILES)
 def test_codec_gives_the_librarys_ids_and_texts(name, documents):
     path = public_tokenizers.path(name)
