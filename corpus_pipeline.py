@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from marquee.llm import bpe, decontam, langid, linechunks, minhash
-from marquee.llm.common import delete, fresh_path, held_out, scratch, ship_code
+from marquee.llm.common import delete, fresh_path, held_out, scratch, ship_code, stored
 
 #: Least posterior of the predicted language.
 MIN_LANGUAGE_SCORE = 0.5
@@ -23,11 +23,12 @@ MIN_LANGUAGE_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those without letters, those that could
     as well be of another language, and those whose words fit none of the
-    learned languages go."""
+    learned languages go. Texts are judged once, for the floor and for what stays."""
     ship_code(spark)
-    known = docs.where(~held_out("doc_id"))
-    model = langid.train(known, public_tokenizers.path("piece_bpe_32k.model"))
-    return docs.where(langid.recognised(model, F.col("text"), MIN_LANGUAGE_SCORE, langid.floor(known, model)))
+    model = langid.train(docs.where(~held_out("doc_id")), public_tokenizers.path("piece_bpe_32k.model"))
+    rows = stored(docs.withColumn("__judged", langid.judgement(model, F.col("text"))), "pipeline-judged")
+    floor = langid.floor_of(rows.where(~held_out("doc_id") & F.col("lang").isNotNull()).select("__judged.fit"))
+    return rows.where((F.col("__judged.posterior") >= MIN_LANGUAGE_SCORE) & (F.col("__judged.fit") >= floor)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

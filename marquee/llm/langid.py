@@ -32,9 +32,6 @@ from marquee.llm.common import over_batches, spread, stored, uncollected, unit_h
 UND = "und"
 START = "▁"  # the vocabulary's mark for the start of a word
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Training documents per language, in expectation (a bounded sample of the
-#: labelled rows, drawn by a hash of the id).
-TRAIN_DOCS = 2_000
 #: Share of a piece's probability that does not depend on the language, and the
 #: probability of a character outside the vocabulary.
 SHARED, UNKNOWN = 0.02, 1e-7
@@ -42,8 +39,11 @@ WORD_TABLE = 350_000
 #: Characters of texts whose new words are learned together; letters of a word up
 #: to which no product of probabilities gets too small for a double.
 TOGETHER, SHORT = 1 << 20, 32
-#: Share of the drawn rows whose fit may be lower than what counts as usual.
+#: Share of the labelled rows whose fit may be lower than what counts as usual.
 STRAY = 0.01
+#: Decimal places to which fits are told apart where their quantiles are taken, and
+#: the lowest fit (rows below count as that): so many values are there at most.
+FIT_PLACES, FIT_LEAST = 4, -100.0
 #: How many times that share's distance from the median a text may lie below it.
 #: Texts of the learned languages with words that training lacks lie within four,
 #: other languages and random letters beyond twelve.
@@ -242,13 +242,13 @@ def _expected_counts(words: DataFrame, model: Model) -> np.ndarray:
     return out
 
 
-def train(rows: DataFrame, vocabulary: str, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_lang: int = TRAIN_DOCS, rounds: int = 2) -> Model:
+def train(rows: DataFrame, vocabulary: str, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_lang: int | None = None, rounds: int = 2) -> Model:
     """Learn a model from the rows whose language is not null.
 
     ``vocabulary`` is a sentencepiece model file whose pieces are used as they
-    are. At most about ``per_lang`` documents of each language are drawn, by a
-    hash of the id, so that the draw does not depend on the layout. Without any
-    labelled row the model knows no language.
+    are. All rows are learned from, or with ``per_lang`` at most about that many
+    documents of each language, drawn by a hash of the id, so that the draw does
+    not depend on the layout. Without any labelled row the model knows no language.
     """
     pieces = pieces_of(vocabulary)
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id")).where(F.col("lang").isNotNull())
@@ -256,8 +256,10 @@ def train(rows: DataFrame, vocabulary: str, lang_col: str = "lang", text_col: st
     langs = sorted(sizes)
     if not langs:
         return Model([], pieces, np.zeros((len(pieces), 0)), np.zeros(0))
-    share = F.element_at(F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, per_lang / sizes[k])))]), F.col("lang"))
-    words = spread(stored(_word_counts(rows.where(unit_hash("id") < share).select("lang", "text")), "langid-words"))
+    if per_lang is not None:
+        share = F.element_at(F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, per_lang / sizes[k])))]), F.col("lang"))
+        rows = rows.where(unit_hash("id") < share)
+    words = spread(stored(_word_counts(rows.select("lang", "text")), "langid-words"))
     model = Model(langs, pieces, np.full((len(pieces), len(langs)), 1.0 / len(pieces)), np.ones(len(langs)) / len(langs))
     for _ in range(rounds):
         counts = _expected_counts(words, model)
@@ -314,32 +316,35 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def floor(rows: DataFrame, model: Model, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_lang: int = TRAIN_DOCS) -> float:
-    """The fit below which a text is of no learned language: ``FAR`` times as far
-    below the drawn rows' median as their ``STRAY`` quantile is. Minus infinity without labelled rows. About ``per_lang`` rows a
-    language are drawn, by a hash of the id."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def judgement(model: Model, text: Column) -> Column:
+    """``posterior`` and ``fit`` of a text (see :func:`judged`), as a struct."""
+    scorers: dict[int, Scorer] = {}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([f for _, _, f in judged(scorer, b.column(0).to_pylist())], pa.float64())], ["fit"])
+    @F.pandas_udf("posterior double, fit double")
+    def told(texts: pd.Series) -> pd.DataFrame:
+        scorer = scorers.get(0) or scorers.setdefault(0, Scorer(model))
+        return pd.DataFrame([(p, f) for _, p, f in judged(scorer, list(texts))], columns=["posterior", "fit"], dtype=float)
+
+    return told(text.cast("string"))
 
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id")).where(F.col("lang").isNotNull())
-    total = max(rows.count(), 1)
-    drawn = rows.where(unit_hash("id") < min(1.0, per_lang * len(model.langs) / total)).select("text")
-    fits = drawn.mapInArrow(run, "fit double").where("fit > double('-Infinity')").agg(F.percentile("fit", F.array(F.lit(STRAY), F.lit(0.5))).alias("p")).first()["p"]
-    return fits[1] - FAR * (fits[1] - fits[0]) if fits else -math.inf
+
+def floor_of(fits: DataFrame) -> float:
+    """The fit below which a text is of no learned language, from the column
+    ``fit`` of all labelled rows: ``FAR`` times as far below their median as
+    their ``STRAY`` quantile is. Minus infinity without rows that have letters.
+    The quantiles come from counts of the fits by their ``FIT_PLACES``."""
+    counts = fits.where("fit > double('-Infinity')").groupBy(F.round(F.greatest("fit", F.lit(FIT_LEAST)), FIT_PLACES).alias("fit")).agg(F.count("*").alias("n"))
+    at = counts.agg(F.percentile("fit", F.array(F.lit(STRAY), F.lit(0.5)), F.col("n")).alias("p")).first()["p"]
+    return at[1] - FAR * (at[1] - at[0]) if at else -math.inf
+
+
+def floor(rows: DataFrame, model: Model, lang_col: str = "lang", text_col: str = "text") -> float:
+    """:func:`floor_of` the rows whose language is not null."""
+    return floor_of(rows.where(F.col(lang_col).isNotNull()).select(judgement(model, F.col(text_col))["fit"].alias("fit")))
 
 
 def recognised(model: Model, text: Column, least: float, floor: float = -math.inf) -> Column:
     """Whether a text has a language whose posterior is at least ``least``, and
     a fit of ``floor`` or more."""
-    scorers: dict[int, Scorer] = {}
-
-    @F.pandas_udf("boolean")
-    def told(texts: pd.Series) -> pd.Series:
-        scorer = scorers.get(0) or scorers.setdefault(0, Scorer(model))
-        return pd.Series([p >= least and f >= floor for _, p, f in judged(scorer, list(texts))], dtype=bool)
-
-    return told(text.cast("string"))
+    found = judgement(model, text)
+    return (found["posterior"] >= least) & (found["fit"] >= floor)

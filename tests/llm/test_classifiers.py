@@ -73,6 +73,27 @@ def test_language_held_out_accuracy(spark):
     assert kept == langid.predict(docs, model).where("score >= 0.5").count()
 
 
+def test_language_is_learned_from_all_labelled_rows(spark):
+    rows = spark.range(6_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("der die das x"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"), F.lit("de").alias("lang"))
+    words = langid._word_counts(rows.select("lang", "text")).where("word = 'der'").first()["n"]
+    probs = langid.train(rows, PIECES, rounds=1).probs
+    few = langid.train(rows, PIECES, per_lang=2_000, rounds=1).probs
+    assert words == 6_000 and not np.allclose(probs, few, rtol=0.01, atol=0)
+    # all rows once more give the same shares of all pieces
+    assert np.allclose(langid.train(rows.unionAll(rows), PIECES, rounds=1).probs, probs, rtol=1e-3, atol=1e-9)
+
+
+def test_floor_is_taken_over_all_labelled_rows(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    model = langid.train(docs, PIECES, per_lang=150)
+    many = docs.select("text", "lang").crossJoin(spark.range(3).select("id")).select(F.when(F.col("id") == 0, F.col("text")).otherwise(F.lit("the house of the people")).alias("text"), "lang", "id")
+    many = many.withColumn("doc_id", F.monotonically_increasing_id())
+    scorer = langid.Scorer(model)
+    fits = sorted(f for f in (langid.fit(scorer, r.text) for r in many.select("text").collect()) if f > -np.inf)
+    low, mid = np.quantile(fits, [langid.STRAY, 0.5])
+    assert abs(langid.floor(many, model) - (mid - langid.FAR * (mid - low))) < 0.01
+
+
 def test_language_of_odd_rows(odd):
     none = langid.train(odd(ODD_ROWS), PIECES)  # no labelled row
     assert none.langs == []
