@@ -51,6 +51,8 @@ RAREST, RAREST_FOUND = 0.3, 0.6
 SLICE, TOGETHER, SUMMED = 40_000, 4_096, 256
 #: Words up to which a task sums the products of all pairs of words in a table.
 DENSE = 4_096
+#: Slots up to which a table of shares has one for each group and word.
+DIRECT = 1 << 21
 #: A large odd number, whose products with keys spread over the slots of a table.
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,13 +72,15 @@ class Shares:
     keys: np.ndarray  # group number times words, plus word; last -1, which is none
     shares: np.ndarray  # of each key
     slots: np.ndarray  # number of the key in each slot; a key is in the first slot that was free from its own on
+    direct: bool  # whether each possible key has a slot
 
     @staticmethod
     def of(groups: list[np.ndarray], idf: np.ndarray) -> Shares:
         kinds = [np.unique(g) for g in groups]
         keys = np.concatenate([n * len(idf) + k for n, k in enumerate(kinds)])
-        slots = np.full(1 << (8 * len(keys)).bit_length(), len(keys), dtype=np.int32)
-        out = Shares(len(idf), np.r_[keys, -1], np.concatenate([*(idf[k] / idf[k].sum() for k in kinds), [0.0]]), slots)
+        direct = len(groups) * len(idf) <= DIRECT
+        slots = np.full(len(groups) * len(idf) if direct else 1 << (8 * len(keys)).bit_length(), len(keys), dtype=np.int32)
+        out = Shares(len(idf), np.r_[keys, -1], np.concatenate([*(idf[k] / idf[k].sum() for k in kinds), [0.0]]), slots, direct)
         left, slot = np.arange(len(keys)), out._slot(keys)
         while len(left):
             free = slots[slot] == len(keys)
@@ -86,6 +90,8 @@ class Shares:
         return out
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
+        if self.direct:
+            return key
         return ((key.astype(np.uint64) * ODD) >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
 
     def share(self, group: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -93,6 +99,8 @@ class Shares:
         key = group.astype(np.int64) * self.size + word
         slot = self._slot(key)
         at = self.slots[slot]
+        if self.direct:
+            return self.shares[at]
         other = np.flatnonzero((self.keys[at] != key) & (at < len(self.keys) - 1))
         while len(other):  # another key's slot: the next one
             slot[other] = (slot[other] + 1) % len(self.slots)
@@ -377,9 +385,10 @@ def _close(space: Space, scale: Scale, pos: np.ndarray, ids: np.ndarray, halves:
         b = min(len(halves), a + TOGETHER)
         cos = _unit(_windows(halves[a:b + 1], sums[a:b + 1])[:b - a]) @ scale.queries.T
         w, q = np.nonzero(cos >= MIN_COSINE)
+        low, high = np.searchsorted(pos, halves[a:b] * scale.half - HALF), np.searchsorted(pos, halves[a:b] * scale.half + 2 * scale.half + HALF)
         for k in range(0, len(w), TOGETHER):
             first, item, near = halves[a + w[k:k + TOGETHER]] * scale.half, scale.owner[q[k:k + TOGETHER]], cos[w[k:k + TOGETHER], q[k:k + TOGETHER]]
-            p, r = np.searchsorted(pos, first - HALF), np.searchsorted(pos, first + 2 * scale.half + HALF)
+            p, r = low[w[k:k + TOGETHER]], high[w[k:k + TOGETHER]]
             held = _held(scale.of_windows, q[k:k + TOGETHER], ids, p, r)
             part = np.flatnonzero(scale.part[q[k:k + TOGETHER]])
             if len(part):

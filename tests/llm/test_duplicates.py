@@ -203,7 +203,9 @@ def test_pairs_of_words_sum_up_to_the_same_products():
     assert np.allclose((pairs + pairs.T) @ right, want)
 
 
-def test_shares_of_words_in_groups():
+@pytest.mark.parametrize("direct", [0, 1 << 21])
+def test_shares_of_words_in_groups(monkeypatch, direct):
+    monkeypatch.setattr(decontam, "DIRECT", direct)
     rnd = np.random.default_rng(7)
     idf, groups = rnd.random(90) + 0.1, [rnd.integers(0, 90, rnd.integers(1, 30)) for _ in range(50)]
     group, word = (x.ravel() for x in np.meshgrid(np.arange(50), np.arange(90), indexing="ij"))
