@@ -49,9 +49,11 @@ def named_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
 
 
 def lookup_collections(spark: SparkSession, sf_dir: str) -> tuple[Collections, DataFrame]:
-    """The collections in lookup order, read back, and the credit index."""
+    """The collections in lookup order, read back, and the credit index. The
+    credits are nested once for all of them."""
     base = shared_folder(spark)
-    write_lookup_collections(_collections(spark, sf_dir)[0], base)
+    colls, _ = M.build_collections(catalogue_from_driver_tables(spark, sf_dir), cut_lineage=True)
+    write_lookup_collections(colls, base)
     return read_collections(spark, base), read_credit_index(spark, base)
 
 

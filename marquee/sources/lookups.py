@@ -54,12 +54,13 @@ def credit_index(titles: DataFrame) -> DataFrame:
 def write_lookup_collections(colls: Collections, base: str, **kwargs) -> None:
     """The four collections and the movies' credit index below ``base``, each in
     the order in which it is looked up: movies and shorts by ``tconst``, series
-    by ``title``, people by ``nconst``, credits by ``name``."""
+    by ``title``, people by ``nconst``, credits by ``name``. The index is made of
+    the movies as written, so that they are not built again for it."""
     for name, df in (("movies", colls.movies), ("shorts", colls.shorts)):
         write_clustered(df, f"{base}/{name}", ["tconst"], ["tconst", "title"], **kwargs)
     write_clustered(colls.tvSeries, f"{base}/tvSeries", ["title", "tconst"], ["title", "tconst"], **kwargs)
     write_clustered(colls.people, f"{base}/people", ["nconst"], ["nconst", "primaryName"], **kwargs)
-    write_clustered(credit_index(colls.movies), f"{base}/movieCredits", ["name", "category", "tconst"], ["name", "nconst"], **kwargs)
+    write_clustered(credit_index(read_collection(colls.movies.sparkSession, f"{base}/movies", kwargs.get("fmt", "parquet"))), f"{base}/movieCredits", ["name", "category", "tconst"], ["name", "nconst"], **kwargs)
 
 
 def read_credit_index(spark: SparkSession, base: str) -> DataFrame:

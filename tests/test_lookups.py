@@ -91,3 +91,21 @@ def test_any_number_of_ids(spark, stored, most):
     want = lookup.movies.join(ids.distinct(), "tconst", "left_semi")
     assert _same(want, with_ids(lookup.movies, ids.limit(ids.count()), most=most))
     assert with_ids(lookup.movies, ids.limit(0), most=most).count() == 0
+
+
+def test_credits_are_nested_once_for_all_lookup_collections(spark, monkeypatch):
+    from harness import stored
+    from marquee.sources import lookups
+
+    plans, write = {}, lookups.write_clustered
+
+    def noted(df, target, *args, **kwargs):
+        plans[target.rsplit("/", 1)[-1]] = df._jdf.queryExecution().optimizedPlan().toString()
+        write(df, target, *args, **kwargs)
+
+    monkeypatch.setattr(lookups, "write_clustered", noted)
+    stored.lookup_collections(spark, "/root/testdata/sf0.001")
+    # credits are numbered by a window, before they are nested: the stored ones are read
+    assert {"movies", "shorts", "tvSeries", "people", "movieCredits"} <= plans.keys()
+    assert not [name for name, plan in plans.items() if "Window" in plan]
+    assert "Join" not in plans["movieCredits"]
