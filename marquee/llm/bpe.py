@@ -13,7 +13,9 @@ a left and a right link fires when it ranks before both links' own next merges
 (on the left strictly, as the leftmost of equal merges goes first).
 
 Words are independent of each other, so each distinct word is encoded once per
-worker and then taken from a bounded table.
+worker and then taken from a bounded table. Where no word goes across a blank or
+depends on it, what stands between two blanks is looked up first, and cut into
+words only where it is new.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterable
 from functools import lru_cache
@@ -35,13 +38,19 @@ from marquee.llm.common import over_batches
 
 #: Words and tested pairs kept per worker before a table is emptied and filled
 #: anew (a matter of memory only, never of results).
-WORD_TABLE, PAIR_TABLE = 400_000, 200_000
+WORD_TABLE, PAIR_TABLE = 600_000, 200_000
+#: Characters up to which what stands between two blanks is kept in the words' table.
+CHUNK = 40
 #: Characters compared with the tokenizers library's tables at once.
 TRIED = 1 << 14
 
 # How byte-level vocabularies spell bytes as characters, and the
 # pattern that cuts text into words where the tokenizer file names none.
 PRINTABLE = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+# Patterns whose matches hold no blank and do not depend on what is beside them:
+# literals, classes of letters and numbers, and classes of all but blanks and those.
+_CLASS = r"(?:'\w+|\[?(?:\\p\{[LN]\})+\]?\+?|\[\^\\s(?:\\p\{[LN]\})*\]\+?)"
+BETWEEN_BLANKS = re.compile(f"{_CLASS}(?:\\|{_CLASS})*")
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -197,19 +206,22 @@ class BpeCodec:
         pattern = split["pattern"]["Regex"] if split else BYTE_LEVEL_PATTERN
         self.split = regex.compile(pattern)
         self.drops_blanks = split is not None and regex.compile(pattern).search(" \n\t") is None
+        # also: a run of letters is one word
+        self.cuts_at_blanks = split is not None and BETWEEN_BLANKS.fullmatch(pattern) is not None and self.split.findall("ab ab,") == ["ab", "ab", ","]
 
     def segments(self, text: str) -> Iterable[str | int]:
-        """Words of the text in order; ids for the special strings in it."""
+        """The text's parts between special strings, in normal form; ids for the
+        special strings."""
         if self.special_split is None or "<|" not in text and not self.special_split.search(text):
-            yield from self._plain(text)
+            yield self._normal(text)
             return
         for i, part in enumerate(self.special_split.split(text)):
             if i % 2:
                 yield self.special[part]
             elif part:
-                yield from self._plain(part)
+                yield self._normal(part)
 
-    def _plain(self, text: str) -> list[str]:
+    def _normal(self, text: str) -> str:
         theirs = (self.nfc or self.lower) and not text.isascii() and other_characters().search(text)
         if theirs:
             text = self._normalised(text)
@@ -220,6 +232,10 @@ class BpeCodec:
                 text = pattern.sub(by, text)
         if self.lower and not theirs:  # character by character: no special last sigma
             text = text.replace("Σ", "σ").lower()
+        return text
+
+    def _cut(self, text: str) -> list[str]:
+        """Words of a text in normal form."""
         new, pattern = new_characters()
         if text.isascii() or not pattern.search(text):
             return self.split.findall(text)
@@ -310,24 +326,25 @@ class BpeCodec:
         step, own, below, length, link = a.next, a.own, a.below, a.length, a.link
         if len(pairs) > PAIR_TABLE:
             pairs.clear()
-        last = [-1] * (len(raw) + 1)
+        known, last = pairs.get, [-1] * (len(raw) + 1)
         state = matched = 0
         for end, c in enumerate(raw, 1):
-            while c not in step[state]:
+            to = step[state].get(c)
+            while to is None:
                 state = link[state]
                 matched = length[state]
-            state = step[state][c]
+                to = step[state].get(c)
+            state = to
             matched += 1
             s = state if matched == length[state] and own[state] >= 0 else below[state]
             while True:
                 t, begin = own[s], end - length[s]
                 if begin == 0:
                     break
-                p = last[begin]
-                pair = (p, t)
-                fits = pairs.get(pair)
+                pair = (last[begin], t)
+                fits = known(pair)
                 if fits is None:
-                    fits = pairs[pair] = self._apart(p, t)
+                    fits = pairs[pair] = self._apart(*pair)
                 if fits:
                     break
                 s = below[s]
@@ -344,16 +361,46 @@ class BpeCodec:
         """Ids of a text as little-endian unsigned 32-bit integers; null gives none."""
         if not text:
             return b""
-        words, out = self.words, []
-        for w in self.segments(text):
-            ids = words.get(w)
-            if ids is None:
-                if len(words) >= WORD_TABLE:
-                    words.clear()
-                ids = words[w] = np.array([w] if isinstance(w, int) else self.encode_word(w), dtype="<u4").tobytes()
-            out.append(ids)
+        out: list[bytes] = []
+        for part in self.segments(text):
+            if isinstance(part, int):
+                out.append(np.array([part], dtype="<u4").tobytes())
+            elif self.cuts_at_blanks:
+                chunks = part.replace("\n", " ").split(" ")
+                ids = list(map(self.words.get, chunks))
+                if None in ids:
+                    ids = [self._chunk(c) if i is None else i for c, i in zip(chunks, ids, strict=True)]
+                out.extend(ids)
+            else:
+                out.extend(map(self._word, self._cut(part)))
         return b"".join(out)
 
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of what stands between two blanks."""
+        if chunk.isascii() and chunk.isalpha():
+            return self._word(chunk)
+        if chunk.isascii() and chunk[:-1].isalpha() and not chunk[-1].isalnum():
+            cut = [chunk[:-1], *self._cut(chunk[-1])]
+        else:
+            cut = self._cut(chunk)
+        ids = b"".join(map(self._word, cut))
+        if len(chunk) <= CHUNK:
+            self._keep(chunk, ids)
+        return ids
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        if len(self.words) >= WORD_TABLE:
+            self.words.clear()
+        self.words[word] = ids
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            found = self.encode_word(word)
+            ids = struct.pack(f"<{len(found)}I", *found)
+            self._keep(word, ids)
+        return ids
+
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), dtype="<u4").tolist()
 

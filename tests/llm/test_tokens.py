@@ -57,6 +57,35 @@ def test_every_character_is_encoded_as_the_library_does(name):
     assert not bad
 
 
+class _Counting:
+    def __init__(self, pattern):
+        self.pattern, self.calls = pattern, 0
+
+    def findall(self, text):
+        self.calls += 1
+        return self.pattern.findall(text)
+
+
+def test_what_stands_between_blanks_is_cut_into_words_once():
+    path = public_tokenizers.path(FILES[0])
+    ours, theirs = bpe.BpeCodec(path), Tokenizer.from_file(path)
+    ours.split = _Counting(ours.split)
+    texts = ["don't stop, we've 2 dogs.\n\nDon't  stop, two dogs"] * 50 + ["stop, dogs<|endoftext|>dogs. we've" + " two" * 50]
+    assert [ours.encode(t) for t in texts] == [e.ids for e in theirs.encode_batch(texts, add_special_tokens=False)]
+    assert ours.split.calls <= 10
+
+
+def test_codec_with_full_tables_and_long_chunks(monkeypatch):
+    monkeypatch.setattr(bpe, "WORD_TABLE", 3)
+    monkeypatch.setattr(bpe, "CHUNK", 4)
+    path = public_tokenizers.path(FILES[0])
+    ours, theirs = bpe.BpeCodec(path), Tokenizer.from_file(path)
+    texts = _texts()[:3000]
+    for text, e in zip(texts, theirs.encode_batch(texts, add_special_tokens=False)):
+        assert ours.encode(text) == e.ids, text
+        assert len(ours.words) <= 3
+
+
 def test_suffix_automaton_lists_the_tokens_that_end_at_each_place():
     rnd = random.Random(1)
     tokens = {t: i for i, t in enumerate({"".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 6))) for _ in range(60)} | {"a", "b", "c"})}
