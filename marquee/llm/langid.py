@@ -19,7 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from os.path import commonprefix
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -37,8 +37,12 @@ LETTERS = re.compile(r"[^\W\d_]+")
 SHARED, UNKNOWN = 0.02, 1e-7
 WORD_TABLE = 350_000
 #: Characters of texts whose new words are learned together; letters of a word up
-#: to which no product of probabilities gets too small for a double.
-TOGETHER, SHORT = 1 << 20, 32
+#: to which no product of probabilities gets too small for a double; likelihoods
+#: at the places of words whose passes are made at once.
+TOGETHER, SHORT, PLACES = 1 << 20, 32, 1 << 20
+#: More than any code point, and a large odd number, whose products with keys spread
+#: over the slots of a table.
+CODES, ODD = 0x110000, np.uint64(0x9E3779B97F4A7C15)
 #: Share of the labelled rows whose fit may be lower than what counts as usual.
 STRAY = 0.01
 #: Decimal places to which fits are told apart where their quantiles are taken, and
@@ -68,25 +72,130 @@ class Model:
     probs: np.ndarray
     prior: np.ndarray
 
+    @cached_property
+    def trie(self) -> Trie:
+        return Trie(self.pieces)
+
+
+class Trie:
+    """The beginnings of all pieces, in a table by beginning and next character."""
+
+    def __init__(self, pieces: list[str]):
+        number = {"": 0}
+        for p in pieces:
+            for k in range(1, len(p) + 1):
+                number.setdefault(p[:k], len(number))
+        self.longest = max(map(len, pieces), default=1)
+        self.unknown = len(pieces)
+        self.piece = np.full(len(number) + 1, -1, dtype=np.int32)  # of each beginning; the last one is none
+        self.piece[[number[p] for p in pieces]] = np.arange(len(pieces))
+        keys = np.array([number[b[:-1]] * CODES + ord(b[-1]) for b in number if b], dtype=np.int64)
+        self.bits = (4 * len(keys) + 1).bit_length()
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.nodes = np.full(1 << self.bits, -1, dtype=np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]], self.nodes[slot[free]] = keys[left[free]], left[free] + 1
+            again = self.keys[slot] != keys[left]
+            left, slot = left[again], (slot[again] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * ODD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def next(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The beginnings one character longer; -1 where no piece begins so."""
+        key = node * CODES + code
+        slot = self._slot(key)
+        found = self.keys[slot]
+        other = np.flatnonzero((found != key) & (found >= 0))
+        while len(other):  # another key's slot: the next one
+            slot[other] = (slot[other] + 1) & (len(self.keys) - 1)
+            found = self.keys[slot[other]]
+            other = other[(found != key[other]) & (found >= 0)]
+        return self.nodes[slot].astype(np.int64)
+
+    def arcs(self, words: list[str]) -> Arcs:
+        """All pieces within the words, each word with its ``START``; a character
+        that is no piece is an arc of its own."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + len(START)
+        codes = np.frombuffer("".join([START + w for w in words]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), lengths)
+        end = np.cumsum(lengths)
+        first, last = (end - lengths)[word], end[word]
+        at, node = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64)
+        starts, pieces = [], []
+        for k in range(self.longest):
+            node = self.next(node, codes[at + k])
+            piece = self.piece[node]
+            if k == 0:
+                piece[piece < 0] = self.unknown
+            held = piece >= 0
+            starts.append(at[held])
+            pieces.append(piece[held])
+            on = (node >= 0) & (at + k + 1 < last[at])
+            at, node = at[on], node[on]
+        start, piece = np.concatenate(starts), np.concatenate(pieces)
+        size = np.repeat(np.arange(1, len(starts) + 1), [len(x) for x in starts])
+        key = (start - first[start] + size) * (self.longest + 1) + size
+        order = np.argsort(key.astype(np.uint16) if key.max(initial=0) < 1 << 16 else key, kind="stable")
+        start, size, key = start[order], size[order], key[order]
+        cuts = [*np.flatnonzero(np.r_[True, key[1:] != key[:-1]]).tolist(), len(key)] if len(key) else [0]
+        begin = start + word[start]
+        return Arcs(word[start], begin, begin + size, piece[order], cuts, end - lengths + np.arange(len(words)), end + np.arange(len(words)))
+
+
+@dataclass
+class Arcs:
+    """Pieces within words, whose places (one more than a word has characters) are
+    numbered through: shorter ends first, and between two ``cuts`` all of one end
+    and one size, so that no two of them begin or end at the same place."""
+
+    word: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    piece: np.ndarray
+    cuts: list[int]
+    first: np.ndarray  # first and last place of each word
+    last: np.ndarray
+
+    def ahead(self, p: np.ndarray) -> np.ndarray:
+        """Forward pass, with the probabilities of each arc."""
+        out = np.zeros((int(self.last[-1]) + 1, *p.shape[1:]))
+        out[self.first] = 1.0
+        for a, b in zip(self.cuts, self.cuts[1:]):
+            out[self.end[a:b]] += out[self.begin[a:b]] * p[a:b]
+        return out
+
+    def back(self, p: np.ndarray) -> np.ndarray:
+        """Backward pass."""
+        out = np.zeros((int(self.last[-1]) + 1, *p.shape[1:]))
+        out[self.last] = 1.0
+        for a, b in zip(self.cuts[-2::-1], self.cuts[:0:-1]):
+            out[self.begin[a:b]] += out[self.end[a:b]] * p[a:b]
+        return out
+
 
 class Scorer:
     """Forward pass over words, with a bounded table of words seen."""
 
     def __init__(self, model: Model):
         self.model = model
-        # each piece's probabilities; None for what only begins pieces
-        self.pieces: dict[str, tuple | None] = {p[:k]: None for p in model.pieces for k in range(1, len(p))}
-        self.pieces.update(zip(model.pieces, map(tuple, model.probs.tolist()), strict=True))
-        # the same for what only ends pieces
-        self.endings: dict[str, tuple | None] = {p[k:]: None for p in model.pieces for k in range(1, len(p))}
-        self.endings.update((p, self.pieces[p]) for p in model.pieces)
         self.index = {p: i for i, p in enumerate(model.pieces)}
         self.longest = max(map(len, model.pieces), default=1)
+        self.probs = np.concatenate([model.probs, np.full((1, len(model.langs)), UNKNOWN)])
         self.unknown = (UNKNOWN,) * len(model.langs)
         self.rows: dict[str, int] = {}
         self.table = np.zeros((1024, len(model.langs)))
         self.old_rows, self.old_table = self.rows, self.table
 
+    @cached_property
+    def pieces(self) -> dict[str, tuple | None]:
+        """Each piece's probabilities, for long words; None for what only begins pieces."""
+        out: dict[str, tuple | None] = {p[:k]: None for p in self.model.pieces for k in range(1, len(p))}
+        out.update(zip(self.model.pieces, map(tuple, self.model.probs.tolist()), strict=True))
+        return out
+
     def arcs(self, s: str, i: int) -> Iterator[tuple[int, str | None, tuple]]:
         """Pieces that start at ``i``: end, piece, probabilities. A character
         outside the vocabulary is an arc of its own."""
@@ -130,30 +239,18 @@ class Scorer:
             at[i] = None
         return [off + math.log(x) if x > 0 else -1e6 for x in at[n]]
 
-    def words_logs(self, words: list[str]) -> Iterator[list[float]]:
-        """``word_logs`` of each of the sorted words. What a word's forward pass
-        reaches within the beginning it shares with the word before is kept."""
-        get, nothing, unknown = self.endings.get, (), self.unknown
-        at, last = [[1.0] * len(self.model.langs)], ""
-        for word in words:
-            if len(word) > SHORT:
-                yield self.word_logs(word)
-                continue
-            s = START + word
-            same = len(commonprefix((s, last)))
-            del at[same + 1:]
-            last = s
-            for j in range(same + 1, len(s) + 1):
-                i = j - 1
-                p = get(s[i], nothing)
-                b = [x * y for x, y in zip(at[i], p or unknown)]
-                while (p or p is None) and i:
-                    i -= 1
-                    p = get(s[i:j], nothing)
-                    if p:
-                        b = [z + x * y for z, x, y in zip(b, at[i], p)]
-                at.append(b)
-            yield [math.log(x) if x > 0 else -1e6 for x in at[-1]]
+    def words_logs(self, words: list[str]) -> np.ndarray:
+        """``word_logs`` of each word, a row a word; the passes of those that are
+        not long are made together."""
+        out = np.empty((len(words), len(self.model.langs)))
+        for n, w in enumerate(words):
+            if len(w) > SHORT:
+                out[n] = self.word_logs(w)
+        for part in _parts(words, PLACES // max(1, len(self.model.langs))):
+            arcs = self.model.trie.arcs([words[n] for n in part])
+            found = arcs.ahead(self.probs[arcs.piece])[arcs.last]
+            out[part] = np.where(found > 0, np.log(np.where(found > 0, found, 1.0)), -1e6)
+        return out
 
     def learn(self, words: set[str]) -> None:
         """Rows of the table for words that have none."""
@@ -162,14 +259,14 @@ class Scorer:
             self.rows, self.table = {}, np.zeros((WORD_TABLE // 4, len(self.model.langs)))
         new = words.difference(self.rows)
         again = list(new.intersection(self.old_rows)) if self.old_rows is not self.rows else []
-        fresh = sorted(new.difference(again))
+        fresh = list(new.difference(again))
         n = len(self.rows)
         while n + len(new) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         if again:
             self.table[n:n + len(again)] = self.old_table[[self.old_rows[w] for w in again]]
         if fresh:
-            self.table[n + len(again):n + len(new)] = list(self.words_logs(fresh))
+            self.table[n + len(again):n + len(new)] = self.words_logs(fresh)
         self.rows.update(zip(again + fresh, range(n, n + len(new))))
 
     def logs_of(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, int] | None]:
@@ -206,14 +303,49 @@ class Scorer:
                     yield self.index[piece], ahead[i] * p * back[j] / ahead[n]
 
 
+    def add_expected(self, words: list[str], lang: np.ndarray, n: np.ndarray, sums: np.ndarray) -> None:
+        """Add the expected counts of ``n`` times each word, given its language's
+        number, to ``sums`` (piece, language)."""
+        for k, w in enumerate(words):
+            if len(w) > SHORT:
+                for i, x in self.expected(w, lang[k]):
+                    sums[i, lang[k]] += n[k] * x
+        for part in _parts(words, PLACES // 8):
+            arcs, spoken, times = self.model.trie.arcs([words[k] for k in part]), lang[part], n[part]
+            p = self.probs[arcs.piece, spoken[arcs.word]]
+            ahead, back = arcs.ahead(p), arcs.back(p)
+            total = ahead[arcs.last]
+            share = np.divide(times, total, out=np.zeros(len(total)), where=total > 0)
+            known = np.flatnonzero(arcs.piece < len(sums))
+            word, piece = arcs.word[known], arcs.piece[known].astype(np.int64)
+            x = ahead[arcs.begin[known]] * p[known] * back[arcs.end[known]] * share[word]
+            sums += np.bincount(piece * sums.shape[1] + spoken[word], x, sums.size).reshape(sums.shape)
+
+
+def _parts(words: list[str], places: int) -> Iterator[list[int]]:
+    """The numbers of the words that are not long, some ``places`` characters at once."""
+    part, size = [], 0
+    for k, w in enumerate(words):
+        if len(w) <= SHORT:
+            part.append(k)
+            size += len(w) + 2
+            if size >= places:
+                yield part
+                part, size = [], 0
+    if part:
+        yield part
+
+
 def _word_counts(rows: DataFrame) -> DataFrame:
     """``lang, word, n`` of the rows' texts."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        found: Counter = Counter()
+        found: dict[str, Counter] = {}
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            found.update((lang, w) for w in LETTERS.findall((text or "").lower()))
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()), pa.array(list(found.values()), pa.int64())], ["lang", "word", "n"])
+            found.setdefault(lang, Counter()).update(LETTERS.findall((text or "").lower()))
+        langs = pa.array([lang for lang, words in found.items() for _ in range(len(words))], pa.string())
+        words = pa.array([w for words in found.values() for w in words], pa.string())
+        return pa.RecordBatch.from_arrays([langs, words, pa.array([n for words in found.values() for n in words.values()], pa.int64())], ["lang", "word", "n"])
 
     return over_batches(rows, run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -225,12 +357,11 @@ def _expected_counts(words: DataFrame, model: Model) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         lang_no = {lang: i for i, lang in enumerate(scorer.model.langs)}
-        sums = np.zeros_like(scorer.model.probs)
+        sums = np.zeros(scorer.model.probs.shape)
         for b in batches:
-            for lang, word, n in zip(*(c.to_pylist() for c in b.columns)):
-                k = lang_no[lang]
-                for i, x in scorer.expected(word, k):
-                    sums[i, k] += n * x
+            if b.num_rows:
+                lang = np.array([lang_no[x] for x in b.column(0).to_pylist()], dtype=np.int64)
+                scorer.add_expected(b.column(1).to_pylist(), lang, b.column(2).to_numpy().astype(np.float64), sums)
         piece, lang = np.nonzero(sums)
         whole = np.rint(sums[piece, lang] * SCALE).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(whole)], ["piece", "lang", "n"])

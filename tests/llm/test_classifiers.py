@@ -58,6 +58,22 @@ def test_words_that_share_beginnings_score_as_alone():
         np.testing.assert_allclose(logs, scorer.word_logs(word), rtol=1e-12)
 
 
+def test_expected_counts_of_many_words_are_worked_out_together(monkeypatch):
+    scorer = langid.Scorer(_model())
+    words = ["a", "ab", "aba", "bab", "abzab", "aabbab", "zz", "a" * 32, "漢a", "a", "ba" * 20]
+    lang, n, want = np.arange(len(words)) % 2, np.arange(len(words)) + 1.0, np.zeros((8, 2))
+    for w, k, times in zip(words, lang.tolist(), n.tolist()):
+        for i, x in scorer.expected(w, k):
+            want[i, k] += times * x
+    alone, got = [], np.zeros((8, 2))
+    one = scorer.expected
+    monkeypatch.setattr(scorer, "expected", lambda w, k: alone.append(w) or one(w, k))
+    scorer.add_expected(words, lang, n, got)
+    assert np.allclose(got, want, rtol=1e-12) and alone == ["ba" * 20]  # long words alone
+    scorer.add_expected([], lang[:0], n[:0], got)
+    assert np.allclose(got, want, rtol=1e-12)
+
+
 def test_long_words_do_not_underflow():
     logs = langid.Scorer(_model()).word_logs("ab" * 20_000)
     assert all(np.isfinite(logs)) and logs[0] != logs[1]
