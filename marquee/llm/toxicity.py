@@ -4,8 +4,10 @@ Texts are TF-IDF vectors over all words, and beginnings of words, that occur in
 the labelled examples. The words that tell the labels apart make up a fixed
 share of a vector's length, the others the rest: they weigh more, and none is
 left out. The index holds the examples as an inverted index in blocks, with
-each word's largest weight per block; a search bounds every block's best cosine
-from those, opens the blocks of the best bounds, and then all that could still
+each word's largest weight per block, but for the commonest words, whose weights
+are rows of a matrix: a product gives what they add to the cosines of some texts
+with all examples. From that and the largest weights a search bounds every block's
+best cosine, opens the blocks of the best bounds, and then all that could still
 hold one of the k nearest, so its result is exact. The neighbours vote with
 weights that fall with their distance; the vote becomes a probability through a
 monotone curve fitted on the examples' own leave-one-out votes. The neighbours
@@ -19,7 +21,7 @@ document is scored, whole.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -42,6 +44,9 @@ EMPHASIS = 0.8
 NEIGHBOURS, BLOCK = 25, 64
 #: Blocks opened before the first bound is known.
 FIRST = 3
+#: A word in more than one in this many examples is common, at most so many words
+#: are; texts whose products with the common words' weights are made at once.
+SHARE_COMMON, COMMON, TOGETHER = 8, 512, 64
 #: Bytes of a word's beginning that are a term of their own, as inflected words
 #: share them.
 BEGINNING = 5
@@ -69,7 +74,9 @@ class Index:
     """Examples in blocks of ``BLOCK``. The places of term t and the blocks that
     hold it are ``first[t]`` to ``first[t + 1]``: ``block``, its largest weight
     there ``best``, and where its postings in that block begin (``at``) and how
-    many they are (``size``); postings are examples ``who`` and weights ``weight``."""
+    many they are (``size``); postings are examples ``who`` and weights ``weight``.
+    Common terms have no places but a row of ``common`` (``row[t]``, else -1): their
+    weight in each example."""
 
     terms: list[str]
     idf: np.ndarray
@@ -84,6 +91,8 @@ class Index:
     size: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     who: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     weight: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    row: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    common: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     curve: list[tuple[float, float]] = field(default_factory=list)
     empty_score: float = 0.0
 
@@ -100,17 +109,38 @@ class Index:
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest positive cosine (equal ones: lowest number
         first), without example ``without``."""
+        return next(self.nearest_of([(t, w)], k, [without]))
+
+    def nearest_of(self, vectors: Sequence[Terms], k: int = NEIGHBOURS, without: Sequence[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each of the vectors."""
+        for a in range(0, len(vectors), TOGETHER):
+            some = vectors[a:a + TOGETHER]
+            left, rest = np.zeros((len(some), len(self.common))), []
+            for n, (t, w) in enumerate(some):
+                row = self.row[t]
+                held = row >= 0
+                left[n, row[held]] = w[held]
+                rest.append((t[~held], w[~held]))
+            for n, cos in enumerate(left @ self.common):
+                yield self._nearest(cos, *rest[n], k, without[a + n] if without else -1)
+
+    def _nearest(self, cos: np.ndarray, t: np.ndarray, w: np.ndarray, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
+        """``nearest`` of a vector, given its cosines by its common terms, and its
+        other terms."""
         sizes = self.first[t + 1] - self.first[t]
         places = _ranges(self.first[t], sizes)
         x, block = np.repeat(w, sizes), self.block[places]
-        bound = np.bincount(block, x * self.best[places], -(-len(self.ids) // BLOCK))
-        cos, opened = np.zeros(len(self.ids)), bound <= 0
+        if without >= 0:
+            cos[without] = 0
+        bound = np.maximum.reduceat(cos, np.arange(0, len(cos), BLOCK)) + np.bincount(block, x * self.best[places], -(-len(self.ids) // BLOCK))
+        opened = bound <= 0
         now = np.zeros(len(bound), dtype=bool)
         now[np.argsort(-bound, kind="stable")[:FIRST]] = True
         now &= ~opened
         while now.any():
-            inside = now[block]
-            p, n = places[inside], self.size[places[inside]]
+            inside = np.flatnonzero(now[block])
+            p = places[inside]
+            n = self.size[p]
             found = _ranges(self.at[p], n)
             cos += np.bincount(self.who[found], np.repeat(x[inside], n) * self.weight[found], len(cos))
             opened |= now
@@ -118,7 +148,9 @@ class Index:
                 cos[without] = 0
             kth = np.partition(cos, -k)[-k] if len(cos) > k else 0.0
             now = ~opened & (bound >= kth - 1e-8)  # an equal cosine may stand there
-        best = np.argsort(-np.round(cos, 9), kind="stable")[:k]
+        cos_of = np.round(cos, 9)
+        near = np.flatnonzero(cos_of >= np.partition(cos_of, -k)[-k]) if len(cos) > k else np.arange(len(cos))
+        best = near[np.argsort(-cos_of[near], kind="stable")[:k]]
         best = best[cos[best] > 0]
         return best, np.minimum(cos[best], 1.0)
 
@@ -254,13 +286,14 @@ def _frequencies(texts: DataFrame, terms: list[str]) -> tuple[int, np.ndarray]:
 
 def _build(terms: list[str], idf: np.ndarray, vectors: dict[int, Terms], label_of: dict[int, int], weight: dict[int, float], telling: np.ndarray | None = None) -> Index:
     """The index over all examples that hold a term, like ones side by side so
-    that blocks are tight; then its curve."""
+    that blocks are tight; then its curve, from the places of all terms, and the
+    matrix of the common ones."""
     telling = np.zeros(len(terms), dtype=bool) if telling is None else telling
-    common = np.argsort(np.argsort(idf, kind="stable"))
+    rank = np.argsort(np.argsort(idf, kind="stable"))
 
     def likeness(i: int) -> tuple:
         t = vectors[i][0]
-        return sorted(t[telling[t]].tolist()), np.sort(common[t])[:4].tolist(), i
+        return sorted(t[telling[t]].tolist()), np.sort(rank[t])[:4].tolist(), i
 
     order = sorted(vectors, key=likeness)
     index = Index(terms, idf, telling, np.array(order, dtype=np.int64), np.array([label_of[i] for i in order], dtype=float), np.array([weight[label_of[i]] for i in order]))
@@ -269,22 +302,37 @@ def _build(terms: list[str], idf: np.ndarray, vectors: dict[int, Terms], label_o
     who = np.repeat(np.arange(len(order)), [len(t) for t, _ in sparse])
     by_term = np.argsort(term, kind="stable")  # examples stay in order
     term, index.who, index.weight = term[by_term], who[by_term], x[by_term]
-    block = index.who // BLOCK
-    index.at = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])])
-    index.size, index.block = np.diff(np.r_[index.at, len(term)]), block[index.at]
-    index.best = np.maximum.reduceat(index.weight, index.at)
-    index.first = np.searchsorted(term[index.at], np.arange(len(terms) + 1))
+    index.row, index.common = np.full(len(terms), -1, dtype=np.int64), np.zeros((0, len(order)))
+    _place(index, term)
     votes, has = np.zeros(len(order)), np.zeros(len(order), dtype=bool)
-    for n, (t, w) in enumerate(sparse):
-        near, cos = index.nearest(t, w, without=n)
+    for n, (near, cos) in enumerate(index.nearest_of(sparse, without=range(len(order)))):
         has[n] = len(near) > 0
         if has[n]:
             votes[n] = index.vote(near, cos)
     index.curve = _monotone(votes[has], index.labels[has], index.weights[has]) if has.any() else [(0.0, 0.0), (1.0, 1.0)]
     index.empty_score = float((index.weights * index.labels).sum() / index.weights.sum())
+    held = np.bincount(term, minlength=len(terms))
+    common = np.argsort(-held, kind="stable")[:COMMON]
+    common = common[held[common] * SHARE_COMMON > len(order)]
+    index.row[common] = np.arange(len(common))
+    index.common = np.zeros((len(common), len(order)))
+    row = index.row[term]
+    index.common[row[row >= 0], index.who[row >= 0]] = index.weight[row >= 0]
+    index.who, index.weight = index.who[row < 0], index.weight[row < 0]
+    _place(index, term[row < 0])
     return index
 
 
+def _place(index: Index, term: np.ndarray) -> None:
+    """Set the places of the terms, from the term of each posting in order."""
+    block = index.who // BLOCK
+    starts = np.flatnonzero((term[1:] != term[:-1]) | (block[1:] != block[:-1])) + 1
+    index.at = np.r_[0, starts] if len(term) else starts
+    index.size, index.block = np.diff(np.r_[index.at, len(term)]), block[index.at]
+    index.best = np.maximum.reduceat(index.weight, index.at) if len(term) else index.weight
+    index.first = np.searchsorted(term[index.at], np.arange(len(index.terms) + 1))
+
+
 def score(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col: str = "text", cut: float = 0.3) -> DataFrame:
     """``doc_id, score, predicted, near_ids, near_cosines`` for every row.
 
@@ -301,22 +349,21 @@ def score(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col
         nothing = (ix.empty_score if ix else 0.0, [], [])
         known: dict[bytes, tuple[float, list, list]] = {}
         for b in batches:
-            out = []
-            for text in b.column(1).to_pylist():
-                digest = xxhash.xxh3_128_digest(utf8(text))
-                found = known.get(digest)
-                if found is None:
-                    found, numbers = nothing, [i for i in map(get, text_terms(text)) if i is not None]
-                else:
-                    numbers = []
-                if numbers:
-                    near, cos = ix.nearest(*ix.vector(counted(numbers)))
-                    if len(near):
-                        found = (ix.score(ix.vote(near, cos)), ix.ids[near].tolist(), cos.tolist())
+            out, texts = [], b.column(1).to_pylist()
+            for a in range(0, len(texts), TOGETHER):
                 if len(known) >= COPY_TABLE:
                     known.clear()
-                known[digest] = found
-                out.append(found)
+                digests, fresh = [xxhash.xxh3_128_digest(utf8(text)) for text in texts[a:a + TOGETHER]], {}
+                for text, digest in zip(texts[a:], digests):
+                    if digest not in known:
+                        known[digest] = nothing
+                        numbers = [i for i in map(get, text_terms(text)) if i is not None]
+                        if numbers:
+                            fresh[digest] = ix.vector(counted(numbers))
+                for digest, (near, cos) in zip(fresh, ix.nearest_of(list(fresh.values())) if ix else ()):
+                    if len(near):
+                        known[digest] = (ix.score(ix.vote(near, cos)), ix.ids[near].tolist(), cos.tolist())
+                out += map(known.__getitem__, digests)
             scores = [x[0] for x in out]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= cut) for s in scores], pa.int32()), pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.float64()))], ["doc_id", "score", "predicted", "near_ids", "near_cosines"])
 

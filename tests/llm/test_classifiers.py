@@ -122,6 +122,20 @@ def test_language_of_odd_rows(odd):
     assert langid.predict(odd([]), model).collect() == []
 
 
+def test_common_words_are_a_product_for_many_texts(monkeypatch):
+    rng = np.random.default_rng(3)
+    vectors = {i: toxicity.counted([*rng.choice(6, 4).tolist(), *rng.choice(300, 5).tolist()]) for i in range(900)}
+    args = [f"t{i}" for i in range(300)], 1 + rng.random(300), vectors, {i: i % 2 for i in range(900)}, {0: 1.0, 1: 2.0}
+    index = toxicity._build(*args)
+    assert 0 < len(index.common) < 10 and not set(index.common.nonzero()[0]) - set(index.row)
+    monkeypatch.setattr(toxicity, "COMMON", 0)  # without: all words have places
+    plain = toxicity._build(*args)
+    assert len(plain.common) == 0 and np.allclose(plain.curve, index.curve)
+    texts = [index.vector(vectors[i]) for i in range(0, 900, 7)]
+    for (near, cos), (ids, all_cos) in zip(index.nearest_of(texts), plain.nearest_of(texts), strict=True):
+        assert near.tolist() == ids.tolist() and np.allclose(cos, all_cos)
+
+
 def _counts(text):
     import re
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
