@@ -48,7 +48,9 @@ MIN_COMMON, VERBATIM = 0.6, 0.85
 #: paraphrase must hold.
 RAREST, RAREST_FOUND = 0.3, 0.6
 #: Occurrences, windows, and occurrences of one sum, worked on at once.
-SLICE, TOGETHER, SUMMED = 40_000, 4_096, 256
+SLICE, TOGETHER, SUMMED = 10_000, 4_096, 256
+#: Occurrences of the texts joined at once, in expectation (a longer text alone).
+JOINED = 1 << 16
 #: Words up to which a task sums the products of all pairs of words in a table.
 DENSE = 4_096
 #: Slots up to which a table of shares has one for each group and word.
@@ -70,7 +72,7 @@ class Shares:
 
     size: int
     keys: np.ndarray  # group number times words, plus word; last -1, which is none
-    shares: np.ndarray  # of each key
+    shares: np.ndarray  # of each key, or of each slot if direct
     slots: np.ndarray  # number of the key in each slot; a key is in the first slot that was free from its own on
     direct: bool  # whether each possible key has a slot
 
@@ -78,9 +80,13 @@ class Shares:
     def of(groups: list[np.ndarray], idf: np.ndarray) -> Shares:
         kinds = [np.unique(g) for g in groups]
         keys = np.concatenate([n * len(idf) + k for n, k in enumerate(kinds)])
-        direct = len(groups) * len(idf) <= DIRECT
-        slots = np.full(len(groups) * len(idf) if direct else 1 << (8 * len(keys)).bit_length(), len(keys), dtype=np.int32)
-        out = Shares(len(idf), np.r_[keys, -1], np.concatenate([*(idf[k] / idf[k].sum() for k in kinds), [0.0]]), slots, direct)
+        shares = np.concatenate([*(idf[k] / idf[k].sum() for k in kinds), [0.0]])
+        if len(groups) * len(idf) <= DIRECT:
+            table = np.zeros(len(groups) * len(idf))
+            table[keys] = shares[:-1]
+            return Shares(len(idf), keys, table, np.zeros(0, dtype=np.int32), True)
+        slots = np.full(1 << (8 * len(keys)).bit_length(), len(keys), dtype=np.int32)
+        out = Shares(len(idf), np.r_[keys, -1], shares, slots, False)
         left, slot = np.arange(len(keys)), out._slot(keys)
         while len(left):
             free = slots[slot] == len(keys)
@@ -90,17 +96,15 @@ class Shares:
         return out
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
-        if self.direct:
-            return key
         return ((key.astype(np.uint64) * ODD) >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
 
     def share(self, group: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Share of each word in its group's weight, 0 for words it lacks."""
-        key = group.astype(np.int64) * self.size + word
+        key = group.astype(np.int64, copy=False) * self.size + word
+        if self.direct:
+            return self.shares[key]
         slot = self._slot(key)
         at = self.slots[slot]
-        if self.direct:
-            return self.shares[at]
         other = np.flatnonzero((self.keys[at] != key) & (at < len(self.keys) - 1))
         while len(other):  # another key's slot: the next one
             slot[other] = (slot[other] + 1) % len(self.slots)
@@ -176,6 +180,17 @@ def _joined(pos: list[np.ndarray], ids: list[np.ndarray]) -> tuple[np.ndarray, n
     return np.concatenate([p + b for p, b in zip(pos, begin.tolist())]), np.concatenate(ids), begin
 
 
+def _some_texts(pos: list[np.ndarray], ids: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray], list[np.ndarray]]]:
+    """The texts in runs of about ``JOINED`` words: number of the first one, places
+    and words. So a task's memory grows with no batch's size."""
+    a, words = 0, 0
+    for b, x in enumerate(ids, 1):
+        words += len(x)
+        if words >= JOINED or b == len(ids):
+            yield a, pos[a:b], ids[a:b]
+            a, words = b, 0
+
+
 def _starts(groups: np.ndarray) -> np.ndarray:
     """Where each run of equal numbers begins."""
     return np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
@@ -293,8 +308,8 @@ def _fit(tokens: DataFrame, items: list[Item], idf: np.ndarray) -> np.ndarray:
             right, weight = shared.value
             sums, rows = np.zeros((size, size if size <= DENSE else right.shape[1])), 0
             for b in batches:
-                if b.num_rows:
-                    pos, ids, _ = _joined(_ints(b.column(0)), _ints(b.column(1)))
+                for _, pos, ids in _some_texts(_ints(b.column(0)), _ints(b.column(1))):
+                    pos, ids, _ = _joined(pos, ids)
                     rows += _add_pairs(pos, ids, weight, sums) if size <= DENSE else _gram_times(pos, ids, weight, right, sums)
             if size <= DENSE:
                 sums = sums @ right + sums.T @ right
@@ -436,7 +451,7 @@ def _search(tokens: DataFrame, space: Space) -> DataFrame:
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         docs = b.column(0).to_pylist()
-        rows = [(docs[n], *hit) for n, *hit in _search_texts(shared.value, _ints(b.column(1)), _ints(b.column(2)))]
+        rows = [(docs[a + n], *hit) for a, pos, ids in _some_texts(_ints(b.column(1)), _ints(b.column(2))) for n, *hit in _search_texts(shared.value, pos, ids)]
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["doc_id", "item_id", "cosine", "common", "first_word"])
 

@@ -214,6 +214,23 @@ def test_shares_of_words_in_groups(monkeypatch, direct):
         assert got[n].tolist() == [idf[w] / idf[np.unique(g)].sum() if w in g else 0.0 for w in range(90)]
 
 
+def test_texts_are_joined_and_searched_some_at_once(monkeypatch):
+    rnd = np.random.default_rng(8)
+    pos = [np.arange(n, dtype=np.int32) for n in (5, 70, 1, 400, 30)]
+    ids = [rnd.integers(0, 60, len(p)).astype(np.int32) for p in pos]
+    items = [decontam.Item(1, ids[1][10:50].tolist(), []), decontam.Item(2, ids[3][100:140].tolist(), [])]
+    idf, latent = rnd.random(60) + 0.5, rnd.standard_normal((60, 16)).astype(np.float32)
+    space = decontam.Space(items, idf, latent, decontam.Shares.of([np.array(i.words) for i in items], idf), decontam._scales(items, idf, latent))
+    whole = decontam._search_texts(space, pos, ids)
+    monkeypatch.setattr(decontam, "JOINED", 80)
+    runs = list(decontam._some_texts(pos, ids))
+    assert [(a, [len(x) for x in p]) for a, p, _ in runs] == [(0, [5, 70, 1, 400]), (4, [30])] or max(len(p) for _, p, _ in runs) < 5
+    found = [(a + n, *hit) for a, p, w in runs for n, *hit in decontam._search_texts(space, p, w)]
+    assert {(f[0], f[1]) for f in found} == {(1, 1), (3, 2)} and len(whole) == len(found)
+    assert all(x[:2] == y[:2] and np.allclose(x[2:], y[2:]) for x, y in zip(whole, found))
+    assert list(decontam._some_texts([], [])) == []
+
+
 def test_answers_decide_about_paraphrases(spark):
     question = " ".join(f"q{i}" for i in range(20))
     changed = " ".join(f"q{i}" if i % 4 else "other" for i in range(20))
