@@ -3,12 +3,10 @@
 Texts are TF-IDF vectors over all words, and beginnings of words, that occur in
 the labelled examples. The words that tell the labels apart make up a fixed
 share of a vector's length, the others the rest: they weigh more, and none is
-left out. The index holds the examples as an inverted index in blocks, with
-each word's largest weight per block, but for the commonest words, whose weights
-are rows of a matrix: a product gives what they add to the cosines of some texts
-with all examples. From that and the largest weights a search bounds every block's
-best cosine, opens the blocks of the best bounds, and then all that could still
-hold one of the k nearest, so its result is exact. The neighbours vote with
+left out. The index holds the examples as an inverted index, but for the
+commonest words, whose weights are rows of a matrix: a product gives what they add
+to the cosines of some texts with all examples, the postings of a text's other
+words give the rest, so that the search is exact. The neighbours vote with
 weights that fall with their distance; the vote becomes a probability through a
 monotone curve fitted on the examples' own leave-one-out votes. The neighbours
 are the evidence.
@@ -41,18 +39,17 @@ MIN_EXAMPLES = 3
 MARGIN = 3.0
 #: Share of a squared vector that telling words make up, where a text has both.
 EMPHASIS = 0.8
-NEIGHBOURS, BLOCK = 25, 64
-#: Blocks opened before the first bound is known.
-FIRST = 3
+NEIGHBOURS = 25
 #: A word in more than one in this many examples is common, at most so many words
 #: are; texts whose products with the common words' weights are made at once.
-SHARE_COMMON, COMMON, TOGETHER = 8, 512, 64
+SHARE_COMMON, COMMON, TOGETHER = 12, 768, 64
 #: Bytes of a word's beginning that are a term of their own, as inflected words
 #: share them.
 BEGINNING = 5
 CURVE_BINS = 40
-#: Texts whose result a task keeps for their copies before it begins anew.
-COPY_TABLE = 20_000
+#: Texts whose result a task keeps for their copies, and words whose terms it
+#: keeps, before it begins anew.
+COPY_TABLE, WORD_TABLE = 20_000, 1 << 18
 
 Terms = tuple[np.ndarray, np.ndarray]
 
@@ -63,20 +60,41 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(begin - before, size) + np.arange(int(size.sum()))
 
 
-def counted(numbers: list[int]) -> Terms:
+def counted(numbers: Sequence[int] | np.ndarray) -> Terms:
     """Different term numbers and how often each stands there."""
-    t, n = np.unique(np.array(numbers, dtype=np.int64), return_counts=True)
+    t, n = np.unique(np.asarray(numbers, dtype=np.int64), return_counts=True)
     return t, n
 
 
+class Numbers(dict):
+    """For a word, the number of its term and of its beginning's, each plus one (0:
+    none), in the upper and lower half of an integer; looked up once a word."""
+
+    def __init__(self, terms: Sequence[str]):
+        super().__init__()
+        self.number = {t.encode("latin-1"): i for i, t in enumerate(terms, 1)}
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORD_TABLE:
+            self.clear()
+        get = self.number.get
+        both = self[word] = get(word, 0) << 32 | (get(word[:BEGINNING] + b"*", 0) if len(word) > BEGINNING else 0)
+        return both
+
+    def of(self, text: str | None) -> np.ndarray:
+        """The numbers of those of the text's terms that have one."""
+        words = bag_of_words(text)
+        found = list(map(self.get, words))  # faster than one by one where few words are new
+        both = np.array([self[w] if b is None else b for w, b in zip(words, found)] if None in found else found, dtype=np.int64)
+        numbers = np.concatenate([both >> 32, both & 0xFFFFFFFF])
+        return numbers[numbers > 0] - 1
+
+
 @dataclass
 class Index:
-    """Examples in blocks of ``BLOCK``. The places of term t and the blocks that
-    hold it are ``first[t]`` to ``first[t + 1]``: ``block``, its largest weight
-    there ``best``, and where its postings in that block begin (``at``) and how
-    many they are (``size``); postings are examples ``who`` and weights ``weight``.
-    Common terms have no places but a row of ``common`` (``row[t]``, else -1): their
-    weight in each example."""
+    """The postings of term t are ``first[t]`` to ``first[t + 1]``: examples ``who``
+    and weights ``weight``. Common terms have no postings but a row of ``common``
+    (``row[t]``, else -1): their weight in each example."""
 
     terms: list[str]
     idf: np.ndarray
@@ -85,10 +103,6 @@ class Index:
     labels: np.ndarray
     weights: np.ndarray
     first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))
-    block: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
-    best: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    at: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
-    size: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     who: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     weight: np.ndarray = field(default_factory=lambda: np.zeros(0))
     row: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
@@ -128,26 +142,10 @@ class Index:
         """``nearest`` of a vector, given its cosines by its common terms, and its
         other terms."""
         sizes = self.first[t + 1] - self.first[t]
-        places = _ranges(self.first[t], sizes)
-        x, block = np.repeat(w, sizes), self.block[places]
+        found = _ranges(self.first[t], sizes)
+        cos += np.bincount(self.who[found], np.repeat(w, sizes) * self.weight[found], len(cos))
         if without >= 0:
             cos[without] = 0
-        bound = np.maximum.reduceat(cos, np.arange(0, len(cos), BLOCK)) + np.bincount(block, x * self.best[places], -(-len(self.ids) // BLOCK))
-        opened = bound <= 0
-        now = np.zeros(len(bound), dtype=bool)
-        now[np.argsort(-bound, kind="stable")[:FIRST]] = True
-        now &= ~opened
-        while now.any():
-            inside = np.flatnonzero(now[block])
-            p = places[inside]
-            n = self.size[p]
-            found = _ranges(self.at[p], n)
-            cos += np.bincount(self.who[found], np.repeat(x[inside], n) * self.weight[found], len(cos))
-            opened |= now
-            if without >= 0:
-                cos[without] = 0
-            kth = np.partition(cos, -k)[-k] if len(cos) > k else 0.0
-            now = ~opened & (bound >= kth - 1e-8)  # an equal cosine may stand there
         cos_of = np.round(cos, 9)
         near = np.flatnonzero(cos_of >= np.partition(cos_of, -k)[-k]) if len(cos) > k else np.arange(len(cos))
         best = near[np.argsort(-cos_of[near], kind="stable")[:k]]
@@ -265,12 +263,12 @@ def _frequencies(texts: DataFrame, terms: list[str]) -> tuple[int, np.ndarray]:
     shared = texts.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {t.encode("latin-1"): i for i, t in enumerate(shared.value)}
-        sums, docs = np.zeros(len(number), dtype=np.int64), 0
+        numbers, docs = Numbers(shared.value), 0
+        sums = np.zeros(len(numbers.number), dtype=np.int64)
         for b in batches:
             for text in b.column(0).to_pylist():
                 docs += 1
-                sums[[number[w] for w in number.keys() & set(text_terms(text))]] += 1
+                sums[np.unique(numbers.of(text))] += 1
         held = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, held], pa.int64()), pa.array(np.r_[docs, sums[held]], pa.int64())], ["term", "n"])
 
@@ -285,9 +283,8 @@ def _frequencies(texts: DataFrame, terms: list[str]) -> tuple[int, np.ndarray]:
 
 
 def _build(terms: list[str], idf: np.ndarray, vectors: dict[int, Terms], label_of: dict[int, int], weight: dict[int, float], telling: np.ndarray | None = None) -> Index:
-    """The index over all examples that hold a term, like ones side by side so
-    that blocks are tight; then its curve, from the places of all terms, and the
-    matrix of the common ones."""
+    """The index over all examples that hold a term, like ones side by side; then
+    its curve, from the postings of all terms, and the matrix of the common ones."""
     telling = np.zeros(len(terms), dtype=bool) if telling is None else telling
     rank = np.argsort(np.argsort(idf, kind="stable"))
 
@@ -303,7 +300,7 @@ def _build(terms: list[str], idf: np.ndarray, vectors: dict[int, Terms], label_o
     by_term = np.argsort(term, kind="stable")  # examples stay in order
     term, index.who, index.weight = term[by_term], who[by_term], x[by_term]
     index.row, index.common = np.full(len(terms), -1, dtype=np.int64), np.zeros((0, len(order)))
-    _place(index, term)
+    index.first = np.searchsorted(term, np.arange(len(terms) + 1))
     votes, has = np.zeros(len(order)), np.zeros(len(order), dtype=bool)
     for n, (near, cos) in enumerate(index.nearest_of(sparse, without=range(len(order)))):
         has[n] = len(near) > 0
@@ -319,20 +316,10 @@ def _build(terms: list[str], idf: np.ndarray, vectors: dict[int, Terms], label_o
     row = index.row[term]
     index.common[row[row >= 0], index.who[row >= 0]] = index.weight[row >= 0]
     index.who, index.weight = index.who[row < 0], index.weight[row < 0]
-    _place(index, term[row < 0])
+    index.first = np.searchsorted(term[row < 0], np.arange(len(terms) + 1))
     return index
 
 
-def _place(index: Index, term: np.ndarray) -> None:
-    """Set the places of the terms, from the term of each posting in order."""
-    block = index.who // BLOCK
-    starts = np.flatnonzero((term[1:] != term[:-1]) | (block[1:] != block[:-1])) + 1
-    index.at = np.r_[0, starts] if len(term) else starts
-    index.size, index.block = np.diff(np.r_[index.at, len(term)]), block[index.at]
-    index.best = np.maximum.reduceat(index.weight, index.at) if len(term) else index.weight
-    index.first = np.searchsorted(term[index.at], np.arange(len(index.terms) + 1))
-
-
 def score(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col: str = "text", cut: float = 0.3) -> DataFrame:
     """``doc_id, score, predicted, near_ids, near_cosines`` for every row.
 
@@ -345,7 +332,7 @@ def score(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: Index | None = shared.value
-        get = {t.encode("latin-1"): i for i, t in enumerate(ix.terms)}.get if ix else {}.get
+        terms = Numbers(ix.terms if ix else [])
         nothing = (ix.empty_score if ix else 0.0, [], [])
         known: dict[bytes, tuple[float, list, list]] = {}
         for b in batches:
@@ -357,8 +344,8 @@ def score(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col
                 for text, digest in zip(texts[a:], digests):
                     if digest not in known:
                         known[digest] = nothing
-                        numbers = [i for i in map(get, text_terms(text)) if i is not None]
-                        if numbers:
+                        numbers = terms.of(text)
+                        if len(numbers):
                             fresh[digest] = ix.vector(counted(numbers))
                 for digest, (near, cos) in zip(fresh, ix.nearest_of(list(fresh.values())) if ix else ()):
                     if len(near):

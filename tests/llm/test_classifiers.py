@@ -226,3 +226,15 @@ def test_toxicity_held_out(spark, odd):
     assert toxicity.fit(docs, labels.where("toxic = 0")) is None
     assert {r.score for r in toxicity.score(odd(ODD_ROWS), None).collect()} == {0.0}
     assert toxicity.score(odd([]), index).collect() == []
+
+
+@pytest.mark.parametrize("kept", [2, 1_000])
+def test_a_word_is_looked_up_once_until_the_table_begins_anew(monkeypatch, kept):
+    monkeypatch.setattr(toxicity, "WORD_TABLE", kept)
+    texts = ["Horses, horse! horses' HORSES unknown unknowns", "größere Größe horse x", "", None, "unknown", "horse"]
+    terms = sorted({w.decode("latin-1") for t in texts[:2] for w in toxicity.text_terms(t)} - {"unknown", "unkno*"})
+    numbers = toxicity.Numbers(terms)
+    for text in texts * 2:
+        want = [terms.index(w.decode("latin-1")) for w in toxicity.text_terms(text) if w.decode("latin-1") in terms]
+        assert sorted(numbers.of(text).tolist()) == sorted(want)
+        assert len(numbers) <= kept
