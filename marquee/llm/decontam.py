@@ -51,8 +51,11 @@ RAREST, RAREST_FOUND = 0.3, 0.6
 SLICE, TOGETHER, SUMMED = 10_000, 4_096, 256
 #: Occurrences of the texts joined at once, in expectation (a longer text alone).
 JOINED = 1 << 16
-#: Words up to which a task sums the products of all pairs of words in a table.
-DENSE = 4_096
+#: Words up to which a task sums the products of all pairs of words in a table, and
+#: rows of it that are multiplied at once.
+DENSE, STRIP = 4_096, 256
+#: Texts of a batch that are made Python strings at once.
+READ = 512
 #: Slots up to which a table of shares has one for each group and word.
 DIRECT = 1 << 21
 #: A large odd number, whose products with keys spread over the slots of a table.
@@ -142,11 +145,12 @@ def _tokens(docs: DataFrame, number: dict[bytes, int]) -> DataFrame:
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         get, pos, ids = shared.value.get, [], []
-        for text in b.column(1).to_pylist():
-            all_ids = np.array([get(w, -1) for w in bag_of_words(text)], dtype=np.int32)
-            at = np.flatnonzero(all_ids >= 0).astype(np.int32)
-            pos.append(at.tobytes())
-            ids.append(all_ids[at].tobytes())
+        for a in range(0, b.num_rows, READ):
+            for text in b.column(1).slice(a, READ).to_pylist():
+                all_ids = np.array([get(w, -1) for w in bag_of_words(text)], dtype=np.int32)
+                at = np.flatnonzero(all_ids >= 0).astype(np.int32)
+                pos.append(at.tobytes())
+                ids.append(all_ids[at].tobytes())
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(pos, pa.binary()), pa.array(ids, pa.binary())], ["doc_id", "pos", "ids"])
 
     return over_batches(docs, run, "doc_id long, pos binary, ids binary").where(F.length("ids") > 0)
@@ -274,26 +278,53 @@ def _gram_times(pos: np.ndarray, ids: np.ndarray, idf: np.ndarray, right: np.nda
     return len(starts)
 
 
+def _rows_from(size: int) -> np.ndarray:
+    """Where row i of a table of pairs i <= j, row after row, would have its word 0:
+    pair i, j is at ``_rows_from(size)[i] + j`` of ``size * (size + 1) // 2``."""
+    i = np.arange(size, dtype=np.int64)
+    return i * size - i * (i + 1) // 2
+
+
 def _add_pairs(pos: np.ndarray, ids: np.ndarray, idf: np.ndarray, out: np.ndarray) -> int:
-    """Add to ``out[i, j]`` the products of the weights of each two places of a
-    passage, words i and j there, once, of each place with itself half: ``out``
-    plus its transpose is A'A for the passages A. How many passages."""
-    size, flat, idf = len(idf), out.reshape(-1), idf.astype(np.float64)  # an unpickled dtype, equal but not the same, makes add.at slow
+    """Add to ``out``, at pair i <= j, the products of the weights of each two places
+    of a passage, words i and j there, once, of each place with itself half: ``out``
+    plus its transpose is A'A for the passages A. ``out`` is a square or the rows of its
+    upper triangle, one after another. How many passages."""
+    rows, flat = np.arange(len(idf)) * len(idf) if out.ndim == 2 else _rows_from(len(idf)), out.reshape(-1)
+    idf = idf.astype(np.float64)  # an unpickled dtype, equal but not the same, makes add.at slow
     starts, w = _passages(pos, ids, idf)
     ends, a = np.r_[starts[1:], len(pos)], 0
     while a < len(starts):
         b = max(a + 1, int(np.searchsorted(starts, starts[a] + SLICE)))
-        at = np.arange(starts[a], ends[b - 1])
-        n = np.repeat(ends[a:b], ends[a:b] - starts[a:b]) - at  # a place meets itself and those after it
+        low, high = starts[a], ends[b - 1]
+        end = np.repeat(ends[a:b], ends[a:b] - starts[a:b]) - low
+        order = np.argsort(end * len(idf) + ids[low:high])  # each passage's words in order, so that i <= j
+        word, weight = ids[low:high][order].astype(np.int64), w[low:high][order]
+        at = np.arange(high - low)
+        n = end - at  # a place meets itself and those after it
         own = np.cumsum(n) - n
         other = np.arange(n.sum()) - np.repeat(own - at, n)
-        product = np.repeat(w[at], n) * w[other]
+        product = np.repeat(weight, n) * weight[other]
         product[own] /= 2
-        np.add.at(flat, np.repeat(ids[at].astype(np.int64) * size, n) + ids[other], product)
+        np.add.at(flat, np.repeat(rows[word], n) + word[other], product)
         a = b
     return len(starts)
 
 
+def _pairs_times(pairs: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The sums of ``_add_pairs`` and their transpose, times ``right``: some rows of
+    the triangle at once."""
+    size, rows, out = len(right), _rows_from(len(right)), np.zeros_like(right)
+    for a in range(0, size, STRIP):
+        b = min(size, a + STRIP)
+        strip = np.zeros((b - a, size - a))
+        for i in range(a, b):
+            strip[i - a, i - a:] = pairs[rows[i] + i:rows[i] + size]
+        out[a:b] += strip @ right[a:]
+        out[a:] += strip.T @ right[a:b]
+    return out
+
+
 def _fit(tokens: DataFrame, items: list[Item], idf: np.ndarray) -> np.ndarray:
     """Right singular vectors of the passages of all documents and of all items,
     both groups with equal weight."""
@@ -306,13 +337,13 @@ def _fit(tokens: DataFrame, items: list[Item], idf: np.ndarray) -> np.ndarray:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right, weight = shared.value
-            sums, rows = np.zeros((size, size if size <= DENSE else right.shape[1])), 0
+            sums, rows = np.zeros(size * (size + 1) // 2 if size <= DENSE else right.shape), 0
             for b in batches:
                 for _, pos, ids in _some_texts(_ints(b.column(0)), _ints(b.column(1))):
                     pos, ids, _ = _joined(pos, ids)
                     rows += _add_pairs(pos, ids, weight, sums) if size <= DENSE else _gram_times(pos, ids, weight, right, sums)
             if size <= DENSE:
-                sums = sums @ right + sums.T @ right
+                sums = _pairs_times(sums, right)
             at = np.flatnonzero(sums.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int32()), pa.array([np.array([rows], dtype=np.float64).tobytes(), *(x.tobytes() for x in sums[at])], pa.binary())], ["key", "v"])
 

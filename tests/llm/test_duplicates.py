@@ -203,6 +203,16 @@ def test_pairs_of_words_sum_up_to_the_same_products():
     assert np.allclose((pairs + pairs.T) @ right, want)
 
 
+@pytest.mark.parametrize("strip", [7, 256])
+def test_pairs_of_words_need_only_a_triangle(monkeypatch, strip):
+    monkeypatch.setattr(decontam, "STRIP", strip)
+    rnd = np.random.default_rng(8)
+    pos, idf, right = np.unique(rnd.integers(0, 9_000, 5_000)), rnd.random(70) + 0.1, rnd.standard_normal((70, 9))
+    ids, want, pairs = rnd.integers(0, 70, len(pos)), np.zeros((70, 9)), np.zeros(70 * 71 // 2)
+    assert decontam._gram_times(pos, ids, idf, right, want) == decontam._add_pairs(pos, ids, idf, pairs)
+    assert np.allclose(decontam._pairs_times(pairs, right), want)
+
+
 @pytest.mark.parametrize("direct", [0, 1 << 21])
 def test_shares_of_words_in_groups(monkeypatch, direct):
     monkeypatch.setattr(decontam, "DIRECT", direct)
